@@ -18,10 +18,13 @@ class Given:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.opened: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A given table."""
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table, opened once so that equal scans can be shared."""
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     def regions(self) -> DataFrame:
         """Regions; times in nanoseconds, region 4 without an opening time."""

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from quotemart.checks.bindings import Given
 from quotemart.functions.calendar import landing_day, time_of_day, trading_day
 from quotemart.functions.text import clock_text, date_token, token_date, token_of
-from quotemart.functions.values import money, present, price_trend, whole_number
+from quotemart.functions.values import money, price_trend
 from quotemart.operators import quality
 from quotemart.operators.days import drop_null_keys, replace_days
-from quotemart.operators.dedup import keep_first
 from quotemart.operators.history import (
     append_current,
     company_key,
@@ -23,7 +22,6 @@ from quotemart.operators.history import (
 )
 from quotemart.operators.keys import assign_keys
 from quotemart.operators.resolve import (
-    accepted,
     disposition_counts,
     resolve_companies,
     resolve_exchanges,
@@ -566,7 +564,7 @@ def json_roundtrip(g: Given) -> DataFrame:
 
 @query
 def warehouse_load(g: Given) -> DataFrame:
-    """The whole warehouse job, written to tables twice and read back; the second run changes nothing."""
+    """The whole warehouse job, from lake snapshots to tables, and the fact read back."""
     lake, store = scratch_dir(g.spark, "lake"), Store(g.spark, scratch_dir(g.spark, "warehouse"))
     tables = {
         "regions": g.regions().withColumns(
@@ -578,6 +576,5 @@ def warehouse_load(g: Given) -> DataFrame:
         "companies": g.companies(),
     }
     snapshot_tables(tables, g.bars(), lake, "2024_01_02")
-    for _ in range(2):
-        load_warehouse(g.spark, lake, store)
+    load_warehouse(g.spark, lake, store)
     return plain(read_fact(g.spark, fact_path(store)))

@@ -11,12 +11,23 @@ from quotemart.functions.values import flag
 from quotemart.operators.dedup import keep_first
 
 
+def days(bars: DataFrame) -> DataFrame:
+    """The days with bars and the bars of each; a calendar bounds its rows."""
+    dated = bars.select(F.to_date("timestamp").alias("full_date")).where("full_date IS NOT NULL")
+    counted = dated.groupBy("full_date").agg(F.count(F.lit(1)).alias("bars"))
+    return counted.select(day_key(F.col("full_date")).alias("date_key"), "full_date", "bars")
+
+
 def date_rows(bars: DataFrame) -> DataFrame:
     """One row per day with bars."""
-    days = bars.select(F.to_date("timestamp").alias("full_date")).where("full_date IS NOT NULL").distinct()
+    return calendar(days(bars))
+
+
+def calendar(some_days: DataFrame) -> DataFrame:
+    """Date dimension rows of ``days``."""
     day = F.col("full_date")
-    return days.select(
-        day_key(day).alias("date_key"),
+    return some_days.select(
+        "date_key",
         day.cast("timestamp_ntz").alias("full_date"),
         *[value.alias(name) for name, value in calendar_columns(day).items()],
     )

@@ -61,17 +61,18 @@ def constraints(tables: Mapping[str, DataFrame], names: list[str]) -> list[DataF
     return checks
 
 
-def load_source(spark: SparkSession, landing: str, store: Store, processed: str | None = None, token: str = "") -> DataFrame:
+def load_source(
+    spark: SparkSession, landing: str, store: Store, processed: str | None = None, token: str = ""
+) -> DataFrame:
     """Bring the source tables up to date from the newest landing files; returns disposition counts.
 
-    Order matters: exchanges need region ids, companies need all other ids. Entities are written as
-    JSON too if ``processed`` names a folder.
+    Order matters: exchanges need region ids, companies need all other ids. Every entity's rows are
+    staged with their dispositions, rejects included, before the table changes. Entities are
+    written as JSON too if ``processed`` names a folder.
     """
     feed, markets = read_companies(spark, f"{landing}/companies"), read_markets(spark, f"{landing}/markets")
     now = F.localtimestamp()
-    counts = []
     entities: dict[str, DataFrame] = {}
-
     if markets is not None:
         entities["regions"] = normalize.regions(markets)
         entities["exchanges"] = normalize.exchanges(markets)
@@ -84,54 +85,64 @@ def load_source(spark: SparkSession, landing: str, store: Store, processed: str
             write_json(rows, f"{processed}/{name}", SNAPSHOT, token)
             keep_latest(spark, f"{processed}/{name}", SNAPSHOT)
 
+    staged: dict[str, DataFrame] = {}
     if markets is not None:
-        rows = resolve_regions(entities["regions"])
-        columns = ["region_market_type", "region_local_open", "region_local_close"]
-        old = store.read("regions")
+        staged["regions"] = store.stage("regions", resolve_regions(entities["regions"]))
         store.write(
-            "regions", upsert(old, accepted(rows), ["region_name"], columns, "region_id", STAMPS["regions"], now)
+            "regions",
+            upsert(
+                store.read("regions"),
+                accepted(staged["regions"]),
+                ["region_name"],
+                ["region_market_type", "region_local_open", "region_local_close"],
+                "region_id",
+                STAMPS["regions"],
+                now,
+            ),
         )
-        counts.append(disposition_counts("regions", rows))
     if feed is not None:
-        rows = resolve_industries(entities["industries"])
-        old = store.read("industries")
-        on = ["industry_name", "industry_sector"]
+        staged["industries"] = store.stage("industries", resolve_industries(entities["industries"]))
         store.write(
-            "industries", insert_absent(old, accepted(rows), on, "industry_id", STAMPS["industries"], now)
+            "industries",
+            insert_absent(
+                store.read("industries"),
+                accepted(staged["industries"]),
+                ["industry_name", "industry_sector"],
+                "industry_id",
+                STAMPS["industries"],
+                now,
+            ),
         )
-        counts.append(disposition_counts("industries", rows))
-        rows = resolve_sic(entities["sicindustries"])
-        old = store.read("sicindustries")
+        staged["sicindustries"] = store.stage("sicindustries", resolve_sic(entities["sicindustries"]))
         # Codes that differ as text but not as numbers: the later text updates the earlier row.
-        one = latest_per(accepted(rows), "sic_id")
-        store.write("sicindustries", upsert_sic(old, one, STAMPS["sicindustries"], now))
-        counts.append(disposition_counts("sicindustries", rows))
+        codes = keep_first(accepted(staged["sicindustries"]), ["sic_id"], [F.col("pos").desc()])
+        store.write(
+            "sicindustries", upsert_sic(store.read("sicindustries"), codes, STAMPS["sicindustries"], now)
+        )
     if markets is not None:
         rows = resolve_exchanges(entities["exchanges"], store.read("regions"))
-        old = store.read("exchanges")
+        staged["exchanges"] = store.stage("exchanges", rows)
         store.write(
             "exchanges",
             upsert(
-                old, accepted(rows), ["exchange_name"], ["exchange_region_id"], "exchange_id", STAMPS["exchanges"], now
+                store.read("exchanges"),
+                accepted(staged["exchanges"]),
+                ["exchange_name"],
+                ["exchange_region_id"],
+                "exchange_id",
+                STAMPS["exchanges"],
+                now,
             ),
         )
-        counts.append(disposition_counts("exchanges", rows))
     if feed is not None:
-        old = store.read("companies")
-        rows = resolve_companies(
-            feed, store.read("exchanges"), store.read("industries"), store.read("sicindustries"), old
+        others = [store.read(t) for t in ("exchanges", "industries", "sicindustries", "companies")]
+        staged["companies"] = store.stage("companies", resolve_companies(feed, *others))
+        store.write(
+            "companies", merge_companies(store.read("companies"), staged["companies"], STAMPS["companies"], now)
         )
-        # Counted on the frame bound to the old table version, which stays readable.
-        counts.append(disposition_counts("companies", rows))
-        store.write("companies", merge_companies(old, rows, STAMPS["companies"], now))
     quality.require(constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
     empty = spark.createDataFrame([], "entity string, disposition string, rows bigint")
-    return quality.report([empty, *counts])
-
-
-def latest_per(rows: DataFrame, key: str) -> DataFrame:
-    """The last row per key in feed order."""
-    return keep_first(rows, [key], [F.col("pos").desc()])
+    return quality.report([empty, *[disposition_counts(name, rows) for name, rows in staged.items()]])
 
 
 def snapshot_tables(
@@ -185,9 +196,11 @@ def load_fact(
     industry_by_name: bool = False,
 ) -> dict[str, int]:
     """Add the bars' days to the date dimension and replace those days in the fact."""
-    # One row per day of the calendar; used by the dimension, the replaced days and the partitions.
-    dates = dimensions.date_rows(bars).cache()
-    store.write("dim_date", insert_absent(store.read("dim_date"), dates, ["date_key"]))
+    # One row per day of the calendar; used by the date dimension and the replaced days.
+    touched = dimensions.days(bars).cache()
+    store.write(
+        "dim_date", insert_absent(store.read("dim_date"), dimensions.calendar(touched), ["date_key"])
+    )
     keys = ticker_keys(
         lake_tables["companies"],
         lake_tables["exchanges"],
@@ -201,8 +214,8 @@ def load_fact(
     path = fact_path(store)
     if not files.exists(store.spark, path):
         init_fact(store.spark, path)
-    done = write_days(daily_fact(bars, keys), path, dates.select("date_key"))
-    dates.unpersist()
+    done = write_days(daily_fact(bars, keys), path, touched)
+    touched.unpersist()
     return done
 
 

@@ -11,6 +11,9 @@ from quotemart.schemas import FACT, SCHEMAS
 from quotemart.sources import files
 
 DAY = "date_key"
+# A fact row takes some 50 bytes: about 500 MB per task.
+ROWS_PER_TASK = 10_000_000
+TASKS_PER_CORE = 4
 
 
 def init_fact(spark: SparkSession, path: str) -> None:
@@ -27,30 +30,43 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(by_day).parquet(path).select(*schema.names)
 
 
+def by_day(fact: DataFrame, most_rows: int, days: int) -> DataFrame:
+    """Gather the rows of a day for the partitioned write.
+
+    If no day is too large for one task, a day goes to one task and into one file, and the days
+    spread over all cores. Otherwise ``rebalance`` lets adaptive execution split the large days and
+    join the small ones.
+    """
+    if most_rows > ROWS_PER_TASK:
+        return fact.hint("rebalance", DAY)
+    cores = fact.sparkSession.sparkContext.defaultParallelism
+    return fact.repartition(max(1, min(days, TASKS_PER_CORE * cores)), DAY)
+
+
 def write_days(fact: DataFrame, path: str, touched: DataFrame) -> dict[str, int]:
     """Replace every touched day by its rows in ``fact`` and return row and day counts.
 
-    One write: dynamic overwrite stages all partitions and moves them in when the job commits, so a
-    failed job leaves the table as it was. A touched day without rows would keep its old partition,
-    so it is deleted after the commit. Day lists are bounded by the calendar. ``rebalance`` gathers
-    a day into few files and splits a day too large for one task.
+    ``touched`` holds date_key and bars, one row per day of the input bars; like all day lists here
+    it is bounded by the calendar. One write: dynamic overwrite stages all partitions and moves
+    them in when the job commits, so a failed job leaves the table as it was. A touched day without
+    rows would keep its old partition, so it is deleted after the commit.
     """
     spark = fact.sparkSession
+    sizes = {r[DAY]: r["bars"] for r in touched.select(DAY, "bars").collect()}
     seen = Observation()
     observed = drop_null_keys(fact).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(DAY).alias("days")
     )
-    days = {r[DAY] for r in touched.select(DAY).distinct().collect() if r[DAY] is not None}
     (
-        observed.hint("rebalance", DAY)
+        by_day(observed, max(sizes.values(), default=0), len(sizes))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )
     written = set(seen.get["days"])
-    for day in sorted(days - written):
-        partition = f"{path}/{DAY}={day}"
-        if files.exists(spark, partition):
-            files.delete(spark, partition)
-    return {"rows": seen.get["rows"], "days": len(written), "emptied": len(days - written)}
+    present = set(files.names(spark, path))
+    emptied = [d for d in sorted(set(sizes) - written) if f"{DAY}={d}" in present]
+    for day in emptied:
+        files.delete(spark, f"{path}/{DAY}={day}")
+    return {"rows": seen.get["rows"], "days": len(written), "emptied": len(emptied)}

@@ -39,12 +39,24 @@ class Store:
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Write the next version of a table and return it as read back."""
-        last = latest_token(self.spark, self.path(table), VERSION)
-        token = f"{int(last or 0) + 1:09d}"
         empty = self.spark.createDataFrame([], SCHEMAS[table])
-        shaped(df, empty).write.mode("overwrite").parquet(f"{self.path(table)}/{VERSION}={token}")
-        keep_latest(self.spark, self.path(table), VERSION, KEPT_VERSIONS)
-        return self.read(table)
+        return self._next(table, shaped(df, empty))
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write intermediate rows kept for audit and return them as read back.
+
+        What follows starts from the written rows, so they are computed once and a lost executor
+        costs no more than a new read.
+        """
+        return self._next(f"audit/{name}", df)
+
+    def _next(self, name: str, df: DataFrame) -> DataFrame:
+        table = self.path(name)
+        last = latest_token(self.spark, table, VERSION)
+        token = f"{int(last or 0) + 1:09d}"
+        df.write.mode("overwrite").parquet(f"{table}/{VERSION}={token}")
+        keep_latest(self.spark, table, VERSION, KEPT_VERSIONS)
+        return read_snapshot(self.spark, table, VERSION, df.schema, token)
 
 
 def fact_path(store: Store) -> str:
