@@ -57,7 +57,8 @@ def latest_file(spark: SparkSession, folder: str, suffix: str = ".json") -> str
 
 def landing_texts(spark: SparkSession, path: str) -> DataFrame:
     """One row per landing file: file, value."""
-    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
+    texts = reader.load(path)
     return texts.select(F.col("_metadata.file_name").alias("file"), "value")
 
 

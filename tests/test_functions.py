@@ -1,0 +1,118 @@
+import datetime as dt
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotemart.functions import calendar as C
+from quotemart.functions import text as X
+from quotemart.functions import values as V
+
+
+@pytest.fixture
+def value(spark):
+    one = spark.range(1)
+    return lambda column: one.select(column.alias("v")).first()["v"]
+
+
+def test_text(value):
+    assert value(X.normal_ticker(F.lit("  BrK.b "))) == "brk.b"
+    assert value(X.normal_name(F.lit(" NYSE Arca "))) == "NYSE Arca"
+    assert value(X.split_names(F.lit("NYSE, NASDAQ,, \tAMEX\n"))) == ["NYSE", "NASDAQ", "AMEX"]
+    assert value(X.split_names(F.lit(""))) == []
+    assert value(X.text_id(F.lit("Börse"))) == hashlib.md5("Börse".encode()).hexdigest()
+    assert value(X.industry_text(F.lit(None).cast("string"), F.lit("Banks"))) == "_Banks"
+    assert value(X.clock_text(F.lit("0 days 09:30:00"))) == "09:30:00"
+    assert value(X.clock_text(F.lit("NaT"))) is None
+    assert value(X.date_token(F.lit("ohlcs_2024_02_29.parquet"))) == "2024_02_29"
+    assert value(X.date_token(F.lit("ohlcs.parquet"))) is None
+    assert value(X.token_date(F.lit("2024_02_29"))) == dt.date(2024, 2, 29)
+    assert value(X.token_of(F.lit(dt.date(2024, 2, 9)))) == "2024_02_09"
+
+
+@pytest.mark.parametrize(
+    "day, weekend, key",
+    [(dt.date(2026, 6, 20), True, 20260620), (dt.date(2026, 6, 22), False, 20260622), (None, False, None)],
+)
+def test_calendar_flags(value, day, weekend, key):
+    column = F.lit(day).cast("date")
+    assert value(C.is_weekend(column)) is weekend
+    assert value(C.day_key(column)) == key
+
+
+def test_calendar_columns(spark):
+    day = F.lit(dt.date(2027, 1, 1))
+    row = spark.range(1).select(*[c.alias(n) for n, c in C.calendar_columns(day).items()]).first()
+    assert tuple(row) == (1, 1, 2027, 1, "Friday", 53, False, False)
+
+
+def test_times(value):
+    assert value(C.time_of_day(F.lit(34_200_000_000_000))) == "09:30:00"
+    assert value(C.time_of_day(F.lit(25 * 3_600_000_000_000))) == "01:00:00"
+    assert value(C.time_of_day(F.lit(None).cast("bigint"))) == "00:00:00"
+    assert value(C.millis_to_timestamp(F.lit(1_718_900_000_123))) == dt.datetime(2024, 6, 20, 16, 13, 20, 123000)
+    assert value(C.millis_to_timestamp(F.lit(-1))) == dt.datetime(1969, 12, 31, 23, 59, 59, 999000)
+    assert value(C.market_time(F.lit("9:30"))) == "09:30:00"
+    assert value(C.market_time(F.lit("16:00:05"))) == "16:00:05"
+    assert value(C.market_time(F.lit("24:00"))) is None
+    assert value(C.market_time(F.lit(""))) is None
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, value):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert value(C.millis_to_timestamp(F.lit(0))) == dt.datetime(1970, 1, 1)
+        assert value(C.time_of_day(F.lit(0))) == "00:00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize(
+    "today, expected",
+    [
+        (dt.date(2026, 6, 21), dt.date(2026, 6, 19)),
+        (dt.date(2026, 6, 22), dt.date(2026, 6, 19)),
+        (dt.date(2026, 6, 23), dt.date(2026, 6, 22)),
+    ],
+)
+def test_trading_day(value, today, expected):
+    assert value(C.trading_day(F.lit(today))) == expected
+
+
+def test_exchange_today_is_a_date_near_now(value):
+    assert abs((value(C.exchange_today()) - dt.datetime.now(dt.timezone.utc).date()).days) <= 1
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("7372", 7372), (" 7372 ", 7372), ("abc", None), ("12.0", None), ("", None), (None, None), ("99999999999", None)],
+)
+def test_whole_number(value, text, number):
+    assert value(V.whole_number(F.lit(text).cast("string"))) == number
+
+
+@pytest.mark.parametrize(
+    "opened, closed, trend, change",
+    [
+        (1.0, 2.0, "up", "1.0000"),
+        (2.0, 1.0, "down", "-1.0000"),
+        (1.0, 1.0, "unchanged", "0.0000"),
+        (1.0, None, "unchanged", None),
+        (1.00001, 1.00002, "up", "0.0000"),
+    ],
+)
+def test_trend_comes_before_rounding(value, opened, closed, trend, change):
+    difference = F.lit(closed).cast("double") - F.lit(opened)
+    assert value(V.price_trend(difference)) == trend
+    rounded = value(V.money(difference))
+    assert (str(rounded) if rounded is not None else None) == change or (rounded == 0 and change == "0.0000")
+
+
+def test_volume_and_flags(value):
+    assert value(V.share_volume(F.lit(5.9))) == 5
+    assert value(V.share_volume(F.lit(float("nan")))) is None
+    assert value(V.flag(F.lit(None).cast("boolean"))) is False
+    assert value(V.flag(F.lit(1))) is True
+    assert value(V.present(F.lit(None).cast("string"))) is False
+    assert value(V.present(F.lit(""))) is False
