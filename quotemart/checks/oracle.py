@@ -249,6 +249,12 @@ ORACLE = {
                 row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn
             FROM customer) q
         WHERE rn <= 50""",
+    "company_lists_union": """
+        SELECT pos, c_name, c_mktsegment FROM (
+            SELECT c_custkey + (dense_rank() OVER (ORDER BY c_mktsegment) - 1) * 1099511627776 AS pos, c_name, c_mktsegment,
+                row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn
+            FROM customer) q
+        WHERE rn <= 20""",
     "resolve_exchange_rows": "SELECT * FROM exchange_resolved",
     "resolve_company_rows": """
         SELECT pos, ticker AS company_ticker, delisted AS company_is_delisted, exchange_id AS company_exchange_id,
@@ -413,6 +419,27 @@ ORACLE = {
         UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part
         UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem
         UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'fact_stock_daily', count(*) FROM fact""",
+    "retention_latest": """
+        SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year
+        FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
+    "source_load": r"""
+        WITH good_regions AS (SELECT region FROM market_feed WHERE region <> '' GROUP BY region
+                HAVING arg_min(local_open, pos) <> '25:00'),
+            named AS (SELECT pos, region, regexp_replace(unnest(string_split(primary_exchanges, ',')), '^\s+|\s+$', '', 'g') AS name
+                FROM market_feed),
+            good_exchanges AS (SELECT name FROM named WHERE name <> '' GROUP BY name
+                HAVING arg_min(region, pos) IN (SELECT region FROM good_regions)),
+            feed AS (SELECT *, coalesce(isDelisted, false) AS delisted,
+                CASE WHEN exchange IN ('', 'UNKNOWN') THEN exchange WHEN category IS NOT NULL THEN concat(category, ' X')
+                    ELSE 'HUB' END AS listed_at FROM company_feed),
+            valid AS (SELECT *, row_number() OVER (PARTITION BY ticker, delisted ORDER BY pos) AS rn FROM feed
+                WHERE ticker <> '' AND name IS NOT NULL AND cik <> '' AND length(ticker) <= 10
+                    AND listed_at IN (SELECT name FROM good_exchanges))
+        SELECT ticker AS company_ticker, delisted AS company_is_delisted, name AS company_name, cik AS company_cik,
+            listed_at AS exchange_name, CASE WHEN sector IS NOT NULL THEN industry END AS industry_name, sector AS industry_sector,
+            CASE WHEN regexp_full_match(trim(sic), '[0-9]+') THEN CAST(trim(sic) AS INTEGER) END AS company_sic_id,
+            category AS company_category, location AS company_location
+        FROM valid WHERE rn = 1""",
     "parquet_roundtrip": "SELECT * FROM fx_bars",
     "warehouse_load": "SELECT * FROM fact",
 }

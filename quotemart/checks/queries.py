@@ -32,14 +32,14 @@ from quotemart.operators.resolve import (
 from quotemart.operators.upsert import insert_absent, merge_companies, upsert, upsert_sic
 from quotemart.plans import dimensions, normalize
 from quotemart.plans.fact import daily_fact, ticker_keys
-from quotemart.plans.jobs import load_warehouse, snapshot_tables
+from quotemart.plans.jobs import load_feeds, load_warehouse, references_of, snapshot_tables
 from quotemart.schemas import FOREIGN, LENGTHS, REQUIRED, SCHEMAS, UNIQUE
 from quotemart.session import scratch_dir
 from quotemart.sinks.fact import read_fact
-from quotemart.sinks.snapshots import write_json, write_snapshot
+from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import landing
-from quotemart.sources.snapshots import only_latest, read_snapshot
+from quotemart.sources.snapshots import only_latest, read_all_snapshots, read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -270,6 +270,14 @@ def companies_per_exchange_limit(g: Given) -> DataFrame:
     return normalize.limit_per_exchange(feed, 250, 5)
 
 
+@query
+def company_lists_union(g: Given) -> DataFrame:
+    rows = g.table("customer").select(F.col("c_custkey").alias("pos"), "c_name", "c_mktsegment")
+    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    lists = [rows.where(F.col("c_mktsegment") == segment) for segment in segments]
+    return normalize.join_lists(lists, 100)
+
+
 def exchange_batch(g: Given) -> DataFrame:
     """An exchange per supplier, some without name, some of an unknown region."""
     key = F.col("s_suppkey")
@@ -518,18 +526,16 @@ def quality_unique(g: Given) -> DataFrame:
 @query
 def quality_foreign_keys(g: Given) -> DataFrame:
     tables = source_tables(g)
+    children = sorted({child for child, _ in FOREIGN})
     return quality.report(
-        [
-            quality.foreign_key(tables[t], t, column, tables[parent], parent_column)
-            for (t, column), (parent, parent_column) in FOREIGN.items()
-        ]
+        [quality.foreign_keys(tables[t], t, references_of(tables, t)) for t in children]
     )
 
 
 @query
 def quality_length(g: Given) -> DataFrame:
-    feed = g.company_feed().select(*[F.col(c).alias(f"company_{c}") for c in ("name", "cik", "ticker", "category", "currency", "location")])
     bounds = LENGTHS["companies"]
+    feed = g.company_feed().select(*[F.col(c.removeprefix("company_")).alias(c) for c in bounds])
     return quality.report(
         [
             quality.max_length(feed, "companies", bounds),
@@ -562,6 +568,50 @@ def json_roundtrip(g: Given) -> DataFrame:
     return back
 
 
+@query
+def retention_latest(g: Given) -> DataFrame:
+    """A snapshot per calendar year is written, all but the latest are removed, the rest is read."""
+    folder = scratch_dir(g.spark, "orders")
+    rows = g.table("orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    for (year,) in rows.select("year").distinct().collect():
+        write_snapshot(rows.where(F.col("year") == year), folder, "snapshot_date", f"{year}_01_01")
+    keep_latest(g.spark, folder, "snapshot_date")
+    return read_all_snapshots(g.spark, folder, rows.schema).drop("snapshot_date")
+
+
+@query
+def source_load(g: Given) -> DataFrame:
+    """The whole source job, from feeds to tables, and the companies read back with their names."""
+    feed = g.company_feed().withColumns(
+        {
+            "exchange": F.when(F.col("exchange").isin("", "UNKNOWN"), F.col("exchange"))
+            .when(F.col("category").isNotNull(), F.concat("category", F.lit(" X")))
+            .otherwise("HUB"),
+            "sicSector": F.lit("S"),
+            "sicIndustry": F.concat(F.lit("I"), "sic"),
+        }
+    )
+    store = Store(g.spark, scratch_dir(g.spark, "source"))
+    load_feeds(g.spark, feed, g.market_feed(), store)
+    companies, exchanges, industries = (store.read(t) for t in ("companies", "exchanges", "industries"))
+    return (
+        companies.join(exchanges, F.col("company_exchange_id") == F.col("exchange_id"))
+        .join(industries, F.col("company_industry_id") == F.col("industry_id"), "left")
+        .select(
+            "company_ticker",
+            "company_is_delisted",
+            "company_name",
+            "company_cik",
+            "exchange_name",
+            "industry_name",
+            "industry_sector",
+            "company_sic_id",
+            "company_category",
+            "company_location",
+        )
+    )
+
+
 @query
 def warehouse_load(g: Given) -> DataFrame:
     """The whole warehouse job, from lake snapshots to tables, and the fact read back."""

@@ -46,19 +46,37 @@ def unique(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
     )
 
 
-def foreign_key(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose key has no parent; NULL keys pass.
+def foreign_keys(
+    child: DataFrame, table: str, references: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """Child rows whose key has no parent, per key column; NULL keys pass.
 
-    Child rows are counted per key before the join, so a hot key costs one row.
+    ``references`` maps an integer column to its parent and the parent's column. One pass over the
+    child counts its rows per column and key before the join, so a hot key costs one row.
     """
-    used = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    held = parent.select(F.col(parent_column).alias(column))
-    lost = used.join(held, column, "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-        F.lit(table).alias("table"),
-        F.lit("foreign key").alias("rule"),
-        F.lit(column).alias("columns"),
-        "violations",
+    pairs = [
+        F.struct(F.lit(c).alias("columns"), F.col(c).cast("long").alias("key")) for c in references
+    ]
+    used = (
+        child.select(F.inline(F.array(*pairs)))
+        .where("key IS NOT NULL")
+        .groupBy("columns", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    held = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(c).alias("columns"), F.col(p).cast("long").alias("key"))
+            for c, (parent, p) in references.items()
+        ],
+    )
+    lost = used.join(held, ["columns", "key"], "left_anti").select("columns", "n")
+    none = child.sparkSession.createDataFrame([(c, 0) for c in references], lost.schema)
+    return (
+        lost.unionByName(none)
+        .groupBy("columns")
+        .agg(F.sum("n").alias("violations"))
+        .select(F.lit(table).alias("table"), F.lit("foreign key").alias("rule"), "columns", "violations")
     )
 
 

@@ -47,30 +47,49 @@ from quotemart.sources.snapshots import read_snapshot
 SNAPSHOT = "snapshot_date"
 
 
+def references_of(tables: Mapping[str, DataFrame], name: str) -> dict[str, tuple[DataFrame, str]]:
+    """Key columns of a table with the tables they refer to."""
+    return {
+        column: (tables[parent], parent_column)
+        for (child, column), (parent, parent_column) in FOREIGN.items()
+        if child == name
+    }
+
+
 def constraints(tables: Mapping[str, DataFrame], names: list[str]) -> list[DataFrame]:
     """All constraint checks of the named tables; ``tables`` must hold their parents too."""
     checks = []
     for name in names:
         checks.append(quality.not_null(tables[name], name, REQUIRED[name]))
         checks += [quality.unique(tables[name], name, key) for key in UNIQUE.get(name, [])]
-        checks += [
-            quality.foreign_key(tables[name], name, column, tables[parent], parent_column)
-            for (child, column), (parent, parent_column) in FOREIGN.items()
-            if child == name
-        ]
+        references = references_of(tables, name)
+        if references:
+            checks.append(quality.foreign_keys(tables[name], name, references))
     return checks
 
 
 def load_source(
     spark: SparkSession, landing: str, store: Store, processed: str | None = None, token: str = ""
 ) -> DataFrame:
-    """Bring the source tables up to date from the newest landing files; returns disposition counts.
+    """Bring the source tables up to date from the newest landing files; returns disposition counts."""
+    feed, markets = read_companies(spark, f"{landing}/companies"), read_markets(spark, f"{landing}/markets")
+    return load_feeds(spark, feed, markets, store, processed, token)
+
+
+def load_feeds(
+    spark: SparkSession,
+    feed: DataFrame | None,
+    markets: DataFrame | None,
+    store: Store,
+    processed: str | None = None,
+    token: str = "",
+) -> DataFrame:
+    """Bring the source tables up to date from a company and a market feed; returns disposition counts.
 
     Order matters: exchanges need region ids, companies need all other ids. Every entity's rows are
     staged with their dispositions, rejects included, before the table changes. Entities are
     written as JSON too if ``processed`` names a folder.
     """
-    feed, markets = read_companies(spark, f"{landing}/companies"), read_markets(spark, f"{landing}/markets")
     now = F.localtimestamp()
     entities: dict[str, DataFrame] = {}
     if markets is not None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +73,20 @@ def exchanges(markets: DataFrame) -> DataFrame:
     )
 
 
+# Positions of one list stay below this bound, so lists can follow one another.
+LIST_SPAN = 1 << 40
+
+
+def join_lists(lists: Sequence[DataFrame], total: int | None) -> DataFrame:
+    """Company lists of several crawls as one feed, in list order; each list gives its share of ``total``."""
+    tagged = [rows.withColumn("_list", F.lit(i)) for i, rows in enumerate(lists)]
+    joined = reduce(DataFrame.unionByName, tagged)
+    share = total // len(lists) if total and total > 0 else 0
+    kept = first_rows(joined, ["_list"], [F.col("pos")], share) if share else joined
+    place = F.col("_list").cast("long") * LIST_SPAN + F.col("pos")
+    return kept.withColumn("pos", place).drop("_list")
+
+
 def limit_per_exchange(feed: DataFrame, total: int | None, exchanges: int) -> DataFrame:
     """The first companies of each exchange in feed order, ``total`` shared evenly; no limit if not positive."""
     if not total or total <= 0:

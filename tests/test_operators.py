@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quotemart.operators import quality
 from quotemart.operators.days import drop_null_keys, replace_days
-from quotemart.operators.dedup import keep_first, mark_first
+from quotemart.operators.dedup import first_rows, keep_first, mark_first
 from quotemart.operators.history import append_current, company_key, expire_and_insert
 from quotemart.operators.keys import assign_keys
 from quotemart.operators.lookup import has_at_most, lookup_side
@@ -23,6 +23,7 @@ from quotemart.operators.resolve import (
 )
 from quotemart.operators.upsert import insert_absent, merge_companies, upsert, upsert_sic
 from quotemart.schemas import SCHEMAS
+from quotemart.session import scratch_dir
 from quotemart.sources.snapshots import only_latest
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -80,6 +81,22 @@ def test_keys_start_at_one(spark):
         assert sorted(r["id"] for r in keyed.collect()) == [1, 2, 3]
 
 
+class Session:
+    """As much of a session as the scratch folder asks for."""
+
+    def __init__(self, master, **settings):
+        self.conf, self.sparkContext, self.master = settings, self, master
+
+
+def test_scratch_folder_is_the_shared_one_where_the_session_names_it(spark):
+    shared = Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/place/"})
+    assert scratch_dir(shared, "x").startswith("hdfs://shared/place/x-")
+    assert scratch_dir(shared, "x") != scratch_dir(shared, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn"), "x")
+    assert "quotemart-" in scratch_dir(spark, "x")
+
+
 def test_lookup_side_is_broadcast_only_below_the_bound(spark):
     small, big = spark.range(10).withColumnRenamed("id", "k"), spark.range(1000).select((F.col("id") % 10).alias("k"))
     assert has_at_most(small, 10) and not has_at_most(small, 9)
@@ -317,7 +334,7 @@ def test_quality(spark, rows):
         quality.not_null(df, "t", ["id", "name"]),
         quality.unique(df, "t", ["id"]),
         quality.unique(df, "t", ["id", "name"]),
-        quality.foreign_key(df, "t", "id", parent, "id"),
+        quality.foreign_keys(df, "t", {"id": (parent, "id")}),
         quality.max_length(df, "t", {"name": 2}),
     ]
     assert rows(quality.report(checks)) == sorted(
@@ -336,6 +353,28 @@ def test_quality(spark, rows):
     quality.require(checks[2:3])
 
 
+def test_foreign_keys_of_several_columns(spark, rows):
+    child = spark.createDataFrame([(1, 5), (1, None), (2, 6), (3, 5)], "a int, b int")
+    one, two = spark.createDataFrame([(1,), (2,), (3,)], "x int"), spark.createDataFrame([(5,)], "y int")
+    found = quality.foreign_keys(child, "t", {"a": (one, "x"), "b": (two, "y")})
+    assert rows(found, "columns", "violations") == [("a", 0), ("b", 1)]
+
+
+def test_first_rows_beyond_the_planner_bound(spark):
+    df = spark.range(20_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 7).alias("k"), F.col("id").alias("pos")
+    )
+    got = first_rows(df, ["k"], [F.col("pos").desc()], 1500)
+    assert "row_number(), 1500" not in plan_of(got)
+    expected = {}
+    for r in sorted(df.collect(), key=lambda r: -r["pos"]):
+        expected.setdefault(r["k"], []).append(r["pos"])
+    found = {}
+    for r in got.collect():
+        found.setdefault(r["k"], []).append(r["pos"])
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v[:1500]) for k, v in expected.items()}
+
+
 def test_only_latest(spark, rows):
     df = spark.createDataFrame([("2024_01_02", 1), ("2024_01_10", 2), ("2023_12_31", 3)], "token string, v int")
     assert rows(only_latest(df, "token"), "v") == [(2,)]
