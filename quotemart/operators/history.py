@@ -40,7 +40,7 @@ def current(dim: DataFrame) -> DataFrame:
 def append_current(dim: DataFrame, rows: DataFrame, natural: NaturalKey, key: str) -> DataFrame:
     """Append all rows as current and expire nothing, so every run adds a full copy."""
     added = assign_keys(rows, list(natural().values()), key, dim).withColumn("is_current", F.lit(True))
-    return dim.unionByName(shaped(added, dim))
+    return dim.unionByName(shaped(added, dim.schema))
 
 
 def expire_and_insert(dim: DataFrame, rows: DataFrame, natural: NaturalKey, key: str) -> DataFrame:
@@ -75,4 +75,4 @@ def expire_and_insert(dim: DataFrame, rows: DataFrame, natural: NaturalKey, key:
     )
     added = assign_keys(fresh, list(names.values()), key, dim).withColumn("is_current", F.lit(True))
     past = dim.where(~F.col("is_current"))
-    return past.unionByName(expired).unionByName(shaped(added, dim))
+    return past.unionByName(expired).unionByName(shaped(added, dim.schema))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quotemart.operators.dedup import keep_first
 from quotemart.operators.keys import assign_keys
@@ -45,13 +46,16 @@ def new_rows(old: DataFrame, new: DataFrame, on: Sequence[str]) -> DataFrame:
     return new.join(old.select(*on), list(on), "left_anti")
 
 
-def shaped(df: DataFrame, like: DataFrame, stamp: str | None = None, now: Column | None = None) -> DataFrame:
-    """Columns and types of ``like``; the stamp is set, other absent columns become NULL."""
+def shaped(
+    df: DataFrame, schema: StructType, stamp: str | None = None, now: Column | None = None
+) -> DataFrame:
+    """Columns and types of ``schema``; the stamp is set, other absent columns become NULL."""
+    held = set(df.columns)
     columns = []
-    for field in like.schema.fields:
+    for field in schema.fields:
         if field.name == stamp:
             value = now
-        elif field.name in df.columns:
+        elif field.name in held:
             value = F.col(field.name)
         else:
             value = F.lit(None)
@@ -71,7 +75,7 @@ def upsert(
     """Update the rows ``new`` names and append the others under fresh keys."""
     kept = update_rows(old, new, on, columns, stamp, now)
     added = assign_keys(new_rows(old, new, on), [F.col(c) for c in on], key, old)
-    return kept.unionByName(shaped(added, old, stamp, now))
+    return kept.unionByName(shaped(added, old.schema, stamp, now))
 
 
 def insert_absent(
@@ -86,7 +90,7 @@ def insert_absent(
     added = new_rows(old, new, on)
     if key:
         added = assign_keys(added, [F.col(c) for c in on], key, old)
-    return old.unionByName(shaped(added, old, stamp, now))
+    return old.unionByName(shaped(added, old.schema, stamp, now))
 
 
 def upsert_sic(
@@ -110,7 +114,7 @@ def upsert_sic(
     updated = update_rows(old, free, ["sic_id"], pair, stamp, now)
     fresh = new_rows(updated, new_rows(old, new, ["sic_id"]), pair)
     added = keep_first(fresh, pair, [F.col("pos")])
-    return updated.unionByName(shaped(added, old, stamp, now))
+    return updated.unionByName(shaped(added, old.schema, stamp, now))
 
 
 # Natural key and replaceable columns of the companies table.
@@ -142,4 +146,4 @@ def merge_companies(
     added = assign_keys(
         winners.where(~F.col("known")), [F.col(c) for c in COMPANY_KEY], "company_id", old
     )
-    return kept.unionByName(shaped(added, old, stamp, now))
+    return kept.unionByName(shaped(added, old.schema, stamp, now))

@@ -37,7 +37,7 @@ from quotemart.schemas import (
     STAMPS,
     UNIQUE,
 )
-from quotemart.sinks.fact import init_fact, read_fact, write_days
+from quotemart.sinks.fact import init_fact, write_days
 from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import files
@@ -170,12 +170,10 @@ def snapshot_tables(
     """Publish table snapshots and bars to the lake, empty ones left out; older snapshots go."""
     rows = {}
     for name, df in tables.items():
-        empty = df.sparkSession.createDataFrame([], SCHEMAS[name])
-        rows[name] = write_snapshot(shaped(df, empty), f"{lake}/db/{name}", SNAPSHOT, token)
+        rows[name] = write_snapshot(shaped(df, SCHEMAS[name]), f"{lake}/db/{name}", SNAPSHOT, token)
         keep_latest(df.sparkSession, f"{lake}/db/{name}", SNAPSHOT)
     if bars is not None:
-        empty = bars.sparkSession.createDataFrame([], SCHEMAS["bars"])
-        rows["bars"] = write_snapshot(shaped(bars, empty), f"{lake}/bars", SNAPSHOT, token)
+        rows["bars"] = write_snapshot(shaped(bars, SCHEMAS["bars"]), f"{lake}/bars", SNAPSHOT, token)
         keep_latest(bars.sparkSession, f"{lake}/bars", SNAPSHOT)
     return rows
 
@@ -230,6 +228,7 @@ def load_fact(
         every_listing,
         industry_by_name,
     )
+    keys = store.stage("ticker_keys", keys)
     path = fact_path(store)
     if not files.exists(store.spark, path):
         init_fact(store.spark, path)
@@ -251,11 +250,14 @@ def load_warehouse(
     snapshot: str | None = None,
     trading_date: int | None = None,
     append: bool = False,
+    every_listing: bool = False,
+    industry_by_name: bool = False,
 ) -> dict[str, int]:
     """Load dimensions and fact from the lake.
 
     ``snapshot`` names a bar snapshot by its token, by default the latest; ``trading_date`` limits
-    the load to one day key.
+    the load to one day key. The flags choose the literal behaviours told in ``load_dimensions`` and
+    ``ticker_keys``.
     """
     tables = {t: read_snapshot(spark, f"{lake}/db/{t}", SNAPSHOT, SCHEMAS[t]) for t in SOURCE_TABLES}
     bars = read_snapshot(spark, f"{lake}/bars", SNAPSHOT, SCHEMAS["bars"], snapshot)
@@ -263,7 +265,6 @@ def load_warehouse(
         day = F.to_timestamp_ntz(F.lit(str(trading_date)), F.lit("yyyyMMdd"))
         bars = bars.where((F.col("timestamp") >= day) & (F.col("timestamp") < day + F.expr("INTERVAL '1' DAY")))
     load_dimensions(tables, store, append)
-    done = load_fact(bars, tables, store)
-    warehouse = {t: store.read(t) for t in DIMENSIONS} | {"fact_stock_daily": read_fact(spark, fact_path(store))}
-    quality.require(constraints(warehouse, DIMENSIONS))
+    done = load_fact(bars, tables, store, every_listing, industry_by_name)
+    quality.require(constraints({t: store.read(t) for t in DIMENSIONS}, DIMENSIONS))
     return done

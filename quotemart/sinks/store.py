@@ -39,8 +39,7 @@ class Store:
 
     def write(self, table: str, df: DataFrame) -> DataFrame:
         """Write the next version of a table and return it as read back."""
-        empty = self.spark.createDataFrame([], SCHEMAS[table])
-        return self._next(table, shaped(df, empty))
+        return self._next(table, shaped(df, SCHEMAS[table]))
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write intermediate rows kept for audit and return them as read back.

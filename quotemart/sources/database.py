@@ -44,7 +44,7 @@ def read_table(
     span = reader.option("query", bounds_query(table)).load().first()
     reader = spark.read.format("jdbc").option("url", url).options(**(properties or {}))
     rows = reader.options(**split_options(table, span[0], span[1], partitions)).load()
-    return shaped(rows, spark.createDataFrame([], SCHEMAS[table]))
+    return shaped(rows, SCHEMAS[table])
 
 
 def read_source(

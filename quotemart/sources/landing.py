@@ -71,6 +71,11 @@ def records(texts: DataFrame, value: str = "value") -> DataFrame:
     return texts.select(*rest, F.posexplode(F.from_json(value, RECORDS_TYPE)).alias("pos", "record"))
 
 
+def unreadable(texts: DataFrame, value: str = "value") -> DataFrame:
+    """The texts that are no well-formed array of objects, without their content."""
+    return texts.where(F.from_json(value, RECORDS_TYPE).isNull()).drop(value)
+
+
 def field(name: str) -> Column:
     """Value of a key, NULL if it is null or absent."""
     return F.try_element_at("record", F.lit(name))
@@ -108,7 +113,7 @@ def bar_feed(rows: DataFrame) -> DataFrame:
     """
     keep = [c for c in rows.columns if c != "record"]
     texts = {
-        long: F.when(has(long), field(long)).otherwise(field(short)) for long, short in BAR_KEYS.items()
+        long: F.coalesce(field(long), F.when(~has(long), field(short))) for long, short in BAR_KEYS.items()
     }
     types = {f.name: f.dataType for f in SCHEMAS["bars"].fields}
     millis = texts.pop("timestamp").try_cast("bigint")

@@ -19,6 +19,7 @@ def test_broken_file_is_dropped_alone_and_whole(spark, land, rows):
     land("bars", "d.txt", '[{"T":"F"}]')
     folder = land("bars", "b.json", [{"T": "C", "t": 1}])
     assert rows(landing.read_bars(spark, folder), "file", "ticker") == [("b.json", "C")]
+    assert rows(landing.unreadable(landing.landing_texts(spark, folder))) == [("a.json",), ("c.json",)]
 
 
 def test_otc_default_and_types(spark, land, rows):
