@@ -65,8 +65,7 @@ def write_days(fact: DataFrame, path: str, touched: DataFrame) -> dict[str, int]
         .parquet(path)
     )
     written = set(seen.get["days"])
-    present = set(files.names(spark, path))
-    emptied = [d for d in sorted(set(sizes) - written) if f"{DAY}={d}" in present]
+    emptied = [d for d in sorted(set(sizes) - written) if files.exists(spark, f"{path}/{DAY}={d}")]
     for day in emptied:
         files.delete(spark, f"{path}/{DAY}={day}")
     return {"rows": seen.get["rows"], "days": len(written), "emptied": len(emptied)}

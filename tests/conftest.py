@@ -14,9 +14,11 @@ from quotemart.session import build_session
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         spark__ui__enabled="false",
-        spark__sql__shuffle__partitions="4",
+        spark__ui__showConsoleProgress="false",
+        spark__sql__shuffle__partitions="2",
+        spark__default__parallelism="2",
         spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,14 +1,19 @@
 import datetime as dt
+import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from quotemart.operators.quality import ConstraintError
-from quotemart.plans import dimensions
-from quotemart.plans.fact import daily_fact, ticker_keys
+from quotemart.operators.quality import ConstraintError, require
+from quotemart.plans import dimensions, fact
+from quotemart.plans.fact import daily_fact, first_bars, ticker_keys
 from quotemart.plans.jobs import (
     constraints,
     init_warehouse,
+    load_dimensions,
+    load_fact,
     load_source,
     load_warehouse,
     publish,
@@ -19,6 +24,7 @@ from quotemart.sinks import fact as fact_sink
 from quotemart.sinks.snapshots import keep_latest, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import database, files
+from quotemart.sources.landing import read_bars
 from quotemart.sources.snapshots import read_snapshot, snapshot_tokens
 from quotemart.streaming.daily import follow_bars
 
@@ -66,12 +72,26 @@ def bar(ticker, day, opened, closed, **more):
     return {"T": ticker, "o": opened, "h": max(opened, closed), "l": min(opened, closed), "c": closed, "v": 10.9, "t": int(at.timestamp() * 1000)} | more
 
 
+BARS = {
+    "crawl_ohlcs_2024_01_02.json": [
+        bar("AAA", "2024-01-02", 1.0, 2.0),
+        bar("bbb ", "2024-01-02", 2.0, 1.0),
+        bar("ZZZ", "2024-01-02", 1.0, 1.0),
+    ],
+    "crawl_ohlcs_2024_01_03.json": [
+        bar("AAA", "2024-01-03", 1.0, 1.0),
+        bar("AAA", "2024-01-03", 7.0, 8.0),
+        bar("EEE", "2024-01-03", 5.0, 5.00001),
+    ],
+}
+
+
 @pytest.fixture
 def landing(land, tmp_path):
     land("landing/markets", "crawl_markets_2024_01_01.json", MARKETS)
     land("landing/companies", "crawl_companies_2024_01_01.json", COMPANIES)
-    land("landing/bars", "crawl_ohlcs_2024_01_02.json", [bar("AAA", "2024-01-02", 1.0, 2.0), bar("bbb ", "2024-01-02", 2.0, 1.0), bar("ZZZ", "2024-01-02", 1.0, 1.0)])
-    land("landing/bars", "crawl_ohlcs_2024_01_03.json", [bar("AAA", "2024-01-03", 1.0, 1.0), bar("AAA", "2024-01-03", 7.0, 8.0), bar("EEE", "2024-01-03", 5.0, 5.00001)])
+    for name, bars in BARS.items():
+        land("landing/bars", name, bars)
     return str(tmp_path / "landing")
 
 
@@ -80,6 +100,26 @@ def store(spark, folder):
     return Store(spark, folder("source"))
 
 
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """Source tables and lake, loaded once; tests leave both as they are."""
+    root = tmp_path_factory.mktemp("loaded")
+    feeds = {"markets": {"m.json": MARKETS}, "companies": {"c.json": COMPANIES}, "bars": BARS}
+    for kind, contents in feeds.items():
+        (root / "landing" / kind).mkdir(parents=True)
+        for name, content in contents.items():
+            (root / "landing" / kind / name).write_text(json.dumps(content), encoding="utf-8")
+    source = Store(spark, str(root / "source"))
+    load_source(spark, str(root / "landing"), source)
+    assert publish(spark, str(root / "landing"), source, str(root / "lake"), "2024_01_04")["bars"] == 5
+    return source, str(root / "lake")
+
+
+@pytest.fixture
+def warehouse(spark, folder):
+    return Store(spark, folder("warehouse"))
+
+
 def fact_view(spark, warehouse):
     """The fact with readable names instead of keys."""
     names = [
@@ -129,38 +169,34 @@ def test_source_load_and_rerun(spark, landing, store, rows, folder):
     assert files.names(spark, f"{processed}/regions") == ["snapshot_date=2024_01_03"]
 
 
-def test_warehouse_load_and_rerun(spark, landing, store, rows, folder):
-    load_source(spark, landing, store)
-    lake, warehouse = folder("lake"), Store(spark, folder("warehouse"))
-    assert publish(spark, landing, store, lake, "2024_01_04")["bars"] == 5
+def test_warehouse_load_and_rerun(spark, loaded, warehouse, rows):
+    lake = loaded[1]
     init_warehouse(warehouse)
     done = load_warehouse(spark, lake, warehouse)
     assert done == {"rows": 4, "days": 2, "emptied": 0}
     assert rows(fact_view(spark, warehouse)) == FACT_ROWS
     first = {t: rows(warehouse.read(t)) for t in DIMENSIONS}
-    fact = rows(fact_sink.read_fact(spark, fact_path(warehouse)))
+    facts = rows(fact_sink.read_fact(spark, fact_path(warehouse)))
     assert [r[0] for r in first["dim_date"]] == [20240102, 20240103]
 
     load_warehouse(spark, lake, warehouse)
     assert {t: rows(warehouse.read(t)) for t in DIMENSIONS} == first
-    assert rows(fact_sink.read_fact(spark, fact_path(warehouse))) == fact
+    assert rows(fact_sink.read_fact(spark, fact_path(warehouse))) == facts
     tables = {t: warehouse.read(t) for t in DIMENSIONS} | {FACT: fact_sink.read_fact(spark, fact_path(warehouse))}
-    checks = constraints(tables, [*DIMENSIONS, FACT])
-    assert all(r["violations"] == 0 for c in checks for r in c.collect())
+    require(constraints(tables, [*DIMENSIONS, FACT]))
 
 
-def test_changed_company_moves_and_an_emptied_day_goes(spark, landing, land, store, rows, folder):
-    load_source(spark, landing, store)
-    lake, warehouse = folder("lake"), Store(spark, folder("warehouse"))
-    publish(spark, landing, store, lake, "2024_01_04")
-    load_warehouse(spark, lake, warehouse)
+def test_changed_company_moves_and_an_emptied_day_goes(spark, loaded, warehouse, rows, folder):
+    source, old_lake = loaded
+    load_warehouse(spark, old_lake, warehouse)
 
-    companies = store.read("companies")
-    moved = companies.withColumn(
-        "company_location", F.when(F.col("company_ticker") == "BBB", "TX").otherwise(F.col("company_location"))
-    ).where("company_ticker <> 'EEE' AND (company_ticker <> 'AAA' OR company_is_delisted)")
-    tables = {t: store.read(t) for t in SOURCE_TABLES} | {"companies": moved.where("company_ticker <> 'AAA'")}
-    snapshot_tables(tables, None, lake, "2024_01_05")
+    location = F.when(F.col("company_ticker") == "BBB", "TX").otherwise(F.col("company_location"))
+    left = source.read("companies").where("company_ticker NOT IN ('AAA', 'EEE')")
+    tables = {t: source.read(t) for t in SOURCE_TABLES}
+    tables["companies"] = left.withColumn("company_location", location)
+    bars = read_snapshot(spark, f"{old_lake}/bars", "snapshot_date", SCHEMAS["bars"])
+    lake = folder("lake")
+    snapshot_tables(tables, bars, lake, "2024_01_05")
     done = load_warehouse(spark, lake, warehouse)
     assert done == {"rows": 1, "days": 1, "emptied": 1}
     assert rows(fact_view(spark, warehouse)) == [(20240102, "BBB", "NASDAQ", "Money", 1.0, 10, "down")]
@@ -168,31 +204,26 @@ def test_changed_company_moves_and_an_emptied_day_goes(spark, landing, land, sto
     assert versions == [("CA", False), ("TX", True)]
 
 
-def test_one_trading_date_leaves_other_days_alone(spark, landing, store, rows, folder):
-    load_source(spark, landing, store)
-    lake, warehouse = folder("lake"), Store(spark, folder("warehouse"))
-    publish(spark, landing, store, lake, "2024_01_04")
+def test_one_trading_date_leaves_other_days_alone(spark, loaded, warehouse, rows):
+    lake = loaded[1]
     assert load_warehouse(spark, lake, warehouse, trading_date=20240103)["days"] == 1
     assert rows(fact_view(spark, warehouse)) == FACT_ROWS[2:]
     load_warehouse(spark, lake, warehouse, snapshot="2024_01_04", trading_date=20240102)
     assert rows(fact_view(spark, warehouse)) == FACT_ROWS
 
 
-def test_append_mode_fans_out_on_a_second_run(spark, landing, store, folder):
-    load_source(spark, landing, store)
-    lake, warehouse = folder("lake"), Store(spark, folder("warehouse"))
-    publish(spark, landing, store, lake, "2024_01_04")
+def test_append_mode_fans_out_on_a_second_run(spark, loaded, warehouse):
+    lake = loaded[1]
     assert load_warehouse(spark, lake, warehouse, append=True)["rows"] == 4
     assert load_warehouse(spark, lake, warehouse, append=True)["rows"] == 4 * 2**3
 
 
-def test_stream_gives_the_same_fact_as_the_full_load(spark, landing, land, store, rows, folder):
-    load_source(spark, landing, store)
-    lake, full, daily = folder("lake"), Store(spark, folder("full")), Store(spark, folder("daily"))
-    publish(spark, landing, store, lake, "2024_01_04")
-    tables = {t: store.read(t) for t in SOURCE_TABLES}
-    load_warehouse(spark, lake, full)
-    load_warehouse(spark, lake, daily, trading_date=19000101)
+def test_stream_gives_the_same_fact_as_the_full_load(spark, loaded, landing, land, warehouse, rows, folder):
+    source, old_lake = loaded
+    tables = {t: source.read(t) for t in SOURCE_TABLES}
+    daily, lake = Store(spark, folder("daily")), folder("lake")
+    for store in (daily, warehouse):
+        load_dimensions(tables, store)
     log, checkpoint = folder("log"), folder("checkpoint")
 
     def follow():
@@ -200,13 +231,17 @@ def test_stream_gives_the_same_fact_as_the_full_load(spark, landing, land, store
         assert query.awaitTermination(120) and query.exception() is None
 
     follow()
-    assert rows(fact_view(spark, daily)) == rows(fact_view(spark, full)) == FACT_ROWS
-    land("landing/bars", "crawl_ohlcs_2024_01_04.json", [bar("AAA", "2024-01-03", 9.0, 9.5), bar("BBB", "2024-01-03", 3.0, 4.0), bar("AAA", "2024-01-04", 1.0, 3.0)])
+    assert rows(fact_view(spark, daily)) == FACT_ROWS
+    land(
+        "landing/bars",
+        "crawl_ohlcs_2024_01_04.json",
+        [bar("AAA", "2024-01-03", 9.0, 9.5), bar("BBB", "2024-01-03", 3.0, 4.0), bar("AAA", "2024-01-04", 1.0, 3.0)],
+    )
     follow()
-    publish(spark, landing, store, lake, "2024_01_05")
-    load_warehouse(spark, lake, full)
-    assert rows(fact_view(spark, daily)) == rows(fact_view(spark, full))
-    assert fact_view(spark, full).count() == 6
+    all_bars = first_bars(read_bars(spark, f"{landing}/bars"))
+    load_fact(all_bars, tables, warehouse)
+    assert rows(fact_view(spark, daily)) == rows(fact_view(spark, warehouse))
+    assert fact_view(spark, warehouse).count() == 6
 
 
 def test_snapshots(spark, folder, rows):
@@ -226,9 +261,6 @@ def test_snapshots(spark, folder, rows):
 
 
 def test_parquet_is_snappy_with_microseconds(spark, folder, tmp_path):
-    import pyarrow.parquet as pq
-    from pathlib import Path
-
     target = folder("bars")
     df = spark.createDataFrame([("A", dt.datetime(2024, 1, 1))], "ticker string, timestamp timestamp_ntz")
     write_snapshot(df.coalesce(1), target, "snapshot_date", "2024_01_01")
@@ -241,8 +273,6 @@ def test_parquet_is_snappy_with_microseconds(spark, folder, tmp_path):
 def test_constraint_failure_raises(spark, store):
     store.init(SOURCE_TABLES)
     store.write("exchanges", spark.createDataFrame([(1, 99, "NYSE", None)], SCHEMAS["exchanges"]))
-    from quotemart.operators.quality import require
-
     with pytest.raises(ConstraintError, match="exchange_region_id"):
         require(constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
 
@@ -266,8 +296,6 @@ def test_large_days_are_rebalanced(spark, folder, monkeypatch, rows):
 
 def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
     """A third of the bars on one ticker: the shuffled join splits it and the result stays whole."""
-    from quotemart.plans import fact
-
     bars = spark.range(0, 60_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 500).cast("string"))).alias("ticker"),
         F.lit(1.0).alias("open"),
@@ -281,6 +309,7 @@ def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
     keys = tickers.select("ticker", F.hash("ticker").alias("company_key"), F.lit(1).alias("industry_key"), F.lit(1).alias("exchange_key"))
     expected = daily_fact(bars, keys).groupBy("company_key").count()
     settings = {
+        "spark.sql.shuffle.partitions": "8",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
@@ -288,6 +317,7 @@ def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
     }
     wanted = {tuple(r) for r in expected.collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     for name, setting in settings.items():
         spark.conf.set(name, setting)
     try:
@@ -298,6 +328,7 @@ def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
     finally:
         for name in settings:
             spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_fan_out_options(spark):

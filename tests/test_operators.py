@@ -88,13 +88,13 @@ class Session:
         self.conf, self.sparkContext, self.master = settings, self, master
 
 
-def test_scratch_folder_is_the_shared_one_where_the_session_names_it(spark):
+def test_scratch_folder_is_the_shared_one_where_the_session_names_it():
     shared = Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/place/"})
     assert scratch_dir(shared, "x").startswith("hdfs://shared/place/x-")
     assert scratch_dir(shared, "x") != scratch_dir(shared, "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session("yarn"), "x")
-    assert "quotemart-" in scratch_dir(spark, "x")
+    assert "quotemart-" in scratch_dir(Session("local[2]"), "x")
 
 
 def test_lookup_side_is_broadcast_only_below_the_bound(spark):
