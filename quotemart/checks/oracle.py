@@ -117,8 +117,8 @@ PARTS = {
         FROM exchange_batch b LEFT JOIN region ON r_name = b.region""",
     "date_rows": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS TIMESTAMP) AS full_date,
-            day(d) AS day, month(d) AS month, year(d) AS year, quarter(d) AS quarter, dayname(d) AS day_of_week,
-            week(d) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend, false AS is_holiday
+            CAST(day(d) AS INTEGER) AS day, CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year,
+            CAST(quarter(d) AS INTEGER) AS quarter, dayname(d) AS day_of_week, CAST(week(d) AS INTEGER) AS week_of_year, dayofweek(d) IN (0, 6) AS is_weekend, false AS is_holiday
         FROM (SELECT DISTINCT CAST("timestamp" AS DATE) AS d FROM fx_bars_raw) q""",
     "dim_company_rows": """
         SELECT company_ticker, company_name, company_category, company_cik,
@@ -168,7 +168,8 @@ PARTS = {
             JOIN dim_industry i ON trim(fi.industry_name) = trim(i.industry_name)
                 AND trim(fi.industry_sector) = trim(i.industry_sector)) q""",
     "first_dim": """
-        SELECT row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))) AS company_key, r.*, true AS is_current
+        SELECT CAST(row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))) AS INTEGER) AS company_key, r.*,
+            true AS is_current
         FROM dim_company_rows r WHERE CAST(company_cik AS BIGINT) % 7 <> 3""",
     "next_rows": """
         SELECT * REPLACE (CASE WHEN CAST(company_cik AS BIGINT) % 5 = 0 THEN 'Moved' ELSE company_location END AS company_location)
@@ -258,7 +259,7 @@ ORACLE = {
     "resolve_exchange_rows": "SELECT * FROM exchange_resolved",
     "resolve_company_rows": """
         SELECT pos, ticker AS company_ticker, delisted AS company_is_delisted, exchange_id AS company_exchange_id,
-            industry_id AS company_industry_id, sic_id AS company_sic_id, known, disposition, reason
+            CAST(industry_id AS INTEGER) AS company_industry_id, CAST(sic_id AS INTEGER) AS company_sic_id, known, disposition, reason
         FROM company_batch""",
     "load_dispositions": """
         SELECT 'companies' AS entity, disposition, count(*) AS "rows" FROM company_batch GROUP BY disposition
@@ -269,22 +270,22 @@ ORACLE = {
         UNION ALL SELECT 'industries', 'inserted', count(*) FROM
             (SELECT DISTINCT coalesce(sector, ''), industry FROM company_feed) q""",
     "upsert_regions": """
-        WITH old AS (SELECT c_custkey + 1 AS region_id, c_name AS region_name, c_mktsegment AS region_market_type,
+        WITH old AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS region_id, c_name AS region_name, c_mktsegment AS region_market_type,
                 '09:30:00' AS region_local_open, '16:00:00' AS region_local_close FROM customer WHERE c_custkey % 2 = 0),
             new AS (SELECT c_name AS region_name, 'Equity' AS region_market_type, '08:00:00' AS region_local_open,
                 CASE WHEN c_custkey % 9 <> 0 THEN '17:00:00' END AS region_local_close FROM customer WHERE c_custkey % 3 = 0)
         SELECT o.* FROM old o ANTI JOIN new n USING (region_name)
         UNION ALL SELECT o.region_id, n.* FROM old o JOIN new n USING (region_name)
-        UNION ALL SELECT (SELECT max(region_id) FROM old) + row_number() OVER (ORDER BY md5(region_name)), n.*
+        UNION ALL SELECT CAST((SELECT max(region_id) FROM old) + row_number() OVER (ORDER BY md5(region_name)) AS INTEGER), n.*
             FROM new n ANTI JOIN old o USING (region_name)""",
     "upsert_exchanges": """
-        WITH old AS (SELECT c_custkey + 1 AS exchange_id, c_nationkey + 1 AS exchange_region_id, c_name AS exchange_name
+        WITH old AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS exchange_id, c_nationkey + 1 AS exchange_region_id, c_name AS exchange_name
                 FROM customer WHERE c_custkey % 2 = 0),
             new AS (SELECT (c_nationkey + 1) % 25 + 1 AS exchange_region_id, c_name AS exchange_name
                 FROM customer WHERE c_custkey % 3 = 0)
         SELECT o.* FROM old o ANTI JOIN new n USING (exchange_name)
         UNION ALL SELECT o.exchange_id, n.* FROM old o JOIN new n USING (exchange_name)
-        UNION ALL SELECT (SELECT max(exchange_id) FROM old) + row_number() OVER (ORDER BY md5(exchange_name)), n.*
+        UNION ALL SELECT CAST((SELECT max(exchange_id) FROM old) + row_number() OVER (ORDER BY md5(exchange_name)) AS INTEGER), n.*
             FROM new n ANTI JOIN old o USING (exchange_name)""",
     "upsert_sic_codes": """
         WITH old AS (SELECT p_partkey AS sic_id, p_partkey AS src FROM part WHERE p_partkey % 2 = 0),
@@ -300,15 +301,17 @@ ORACLE = {
         FROM (SELECT * FROM updated UNION ALL SELECT * FROM added) q""",
     "insert_industries": """
         WITH pairs AS (SELECT DISTINCT p_brand AS industry_name, p_type AS industry_sector FROM part),
-            old AS (SELECT row_number() OVER (ORDER BY md5(concat(industry_name, '_', industry_sector))) AS industry_id, *
+            old AS (SELECT CAST(row_number() OVER (ORDER BY md5(concat(industry_name, '_', industry_sector))) AS INTEGER) AS industry_id, *
                 FROM pairs WHERE length(industry_name) % 2 = 0)
         SELECT * FROM old
-        UNION ALL SELECT (SELECT max(industry_id) FROM old)
-            + row_number() OVER (ORDER BY md5(concat(industry_name, '_', industry_sector))), p.*
+        UNION ALL SELECT CAST((SELECT max(industry_id) FROM old)
+            + row_number() OVER (ORDER BY md5(concat(industry_name, '_', industry_sector))) AS INTEGER), p.*
         FROM pairs p WHERE length(industry_name) % 2 <> 0""",
     "companies_insert_update": """
         WITH winners AS (SELECT * FROM company_batch WHERE disposition = 'inserted'
             OR (disposition = 'updated' AND place_from_end = 1))
+        SELECT * REPLACE (CAST(company_id AS INTEGER) AS company_id, CAST(company_industry_id AS INTEGER) AS company_industry_id,
+            CAST(company_sic_id AS INTEGER) AS company_sic_id) FROM (
         SELECT l.* FROM loaded_companies l WHERE NOT EXISTS (SELECT 1 FROM winners w
             WHERE w.ticker = l.company_ticker AND w.delisted = l.company_is_delisted)
         UNION ALL
@@ -319,7 +322,7 @@ ORACLE = {
         SELECT (SELECT max(company_id) FROM loaded_companies)
                 + row_number() OVER (ORDER BY md5(concat(w.ticker, '_', CAST(w.delisted AS VARCHAR)))),
             w.exchange_id, w.industry_id, w.sic_id, w.name, w.cik, w.ticker, w.delisted, w.category, w.currency, w.location
-        FROM winners w WHERE NOT w.known""",
+        FROM winners w WHERE NOT w.known) q""",
     "dim_date_insert_absent": "SELECT * REPLACE (year < 1999 AS is_holiday) FROM date_rows",
     "fact_replace_days": """
         SELECT * REPLACE (CASE WHEN date_key % 10 = 5 THEN volume + 1 ELSE volume END AS volume)
@@ -327,18 +330,18 @@ ORACLE = {
     "fact_null_purge": "SELECT * FROM fact WHERE company_key % 10 <> 0",
     "dims_append_current": """
         SELECT * FROM first_dim
-        UNION ALL SELECT (SELECT max(company_key) FROM first_dim)
-            + row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))), n.*, true FROM next_rows n""",
+        UNION ALL SELECT CAST((SELECT max(company_key) FROM first_dim)
+            + row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))) AS INTEGER), n.*, true FROM next_rows n""",
     "dims_scd2": """
         WITH fresh AS (SELECT n.* FROM next_rows n WHERE NOT EXISTS (SELECT 1 FROM first_dim f
             WHERE f.company_ticker = n.company_ticker AND f.company_location = n.company_location))
         SELECT f.* REPLACE (NOT EXISTS (SELECT 1 FROM fresh x WHERE x.company_ticker = f.company_ticker) AS is_current)
         FROM first_dim f
-        UNION ALL SELECT (SELECT max(company_key) FROM first_dim)
-            + row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))), n.*, true FROM fresh n""",
+        UNION ALL SELECT CAST((SELECT max(company_key) FROM first_dim)
+            + row_number() OVER (ORDER BY md5(lower(trim(company_ticker)))) AS INTEGER), n.*, true FROM fresh n""",
     "surrogate_keys": """
-        SELECT c_name, (SELECT max(c_custkey) FROM customer WHERE c_custkey % 2 = 0)
-            + row_number() OVER (ORDER BY md5(c_name)) AS id
+        SELECT c_name, CAST((SELECT max(c_custkey) FROM customer WHERE c_custkey % 2 = 0)
+            + row_number() OVER (ORDER BY md5(c_name)) AS INTEGER) AS id
         FROM customer WHERE c_custkey % 2 = 1""",
     "latest_snapshot": """
         SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y_%m_01') AS token,

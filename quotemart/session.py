@@ -19,11 +19,24 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "quotemart", master: str | None = None, **conf: str) -> SparkSession:
+# Shuffled bytes per task; adaptive execution joins partitions that turn out small.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input of this size, so that each fits in a task's memory."""
+    return max(200, -(-input_bytes // TASK_BYTES))
+
+
+def build_session(
+    app: str = "quotemart", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if input_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     for key, value in conf.items():

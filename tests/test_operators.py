@@ -23,7 +23,7 @@ from quotemart.operators.resolve import (
 )
 from quotemart.operators.upsert import insert_absent, merge_companies, upsert, upsert_sic
 from quotemart.schemas import SCHEMAS
-from quotemart.session import scratch_dir
+from quotemart.session import scratch_dir, shuffle_partitions
 from quotemart.sources.snapshots import only_latest
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -97,6 +97,11 @@ def test_scratch_folder_is_the_shared_one_where_the_session_names_it():
     assert "quotemart-" in scratch_dir(Session("local[2]"), "x")
 
 
+def test_shuffle_partitions_grow_with_the_input():
+    assert shuffle_partitions(10**9) == 200
+    assert shuffle_partitions(100 * 10**12) == 372_530
+
+
 def test_lookup_side_is_broadcast_only_below_the_bound(spark):
     small, big = spark.range(10).withColumnRenamed("id", "k"), spark.range(1000).select((F.col("id") % 10).alias("k"))
     assert has_at_most(small, 10) and not has_at_most(small, 9)
