@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-MONEY_TYPE = "decimal(18,4)"
+MONEY_TYPE, MONEY_SCALE, MONEY_UNIT = "decimal(18,4)", 10_000, "0.0001"
 TREND_UP, TREND_DOWN, TREND_FLAT = "up", "down", "unchanged"
 
 
@@ -38,8 +38,13 @@ def price_trend(change: Column) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Four-place decimal, rounded half up, NULL where it does not fit."""
-    return value.try_cast(MONEY_TYPE)
+    """Four-place decimal of a double, NULL where it does not fit.
+
+    Rounds the scaled double half away from zero, as the warehouse columns do on insert; a plain
+    cast would round the shortest decimal text instead and differ on ties.
+    """
+    units = F.round(value * MONEY_SCALE).try_cast("decimal(18,0)")
+    return (units * F.lit(MONEY_UNIT).cast("decimal(4,4)")).cast(MONEY_TYPE)
 
 
 def share_volume(value: Column) -> Column:

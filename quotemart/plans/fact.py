@@ -13,6 +13,10 @@ from quotemart.operators.history import current
 from quotemart.operators.lookup import lookup_side
 
 
+# A row of keys holds a ticker of at most 10 characters and three integers: some 100 MB at this bound.
+KEY_ROWS = 1_000_000
+
+
 def first_bars(feed: DataFrame) -> DataFrame:
     """The first bar of every ticker and raw millisecond in file order, oldest file name first."""
     kept = keep_first(feed, ["ticker", "millis"], [F.col("file"), F.col("pos")])
@@ -89,7 +93,7 @@ def daily_fact(bars: DataFrame, keys: DataFrame, keys_bound: DataFrame | None =
         change.alias("price_change"),
     )
     resolved = (
-        priced.join(lookup_side(keys, keys_bound), "ticker")
+        priced.join(lookup_side(keys, keys_bound, KEY_ROWS), "ticker")
         .drop("ticker")
         .dropna("any", subset=["company_key", "industry_key", "exchange_key"])
         .distinct()

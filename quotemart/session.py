@@ -14,6 +14,8 @@ DEFAULTS = {
     # Splits a hot shuffle partition of a sort-merge join, also when that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A load compiles some hundred stages; the default of 100 would compile them anew on every run.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "snappy",
 }

@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,19 @@ def test_trend_comes_before_rounding(value, opened, closed, trend, change):
     assert (str(rounded) if rounded is not None else None) == change or (rounded == 0 and change == "0.0000")
 
 
+def test_money_rounds_like_the_warehouse_on_ties(spark):
+    ties = [k + 0.00005 for k in range(200)] + [-k / 10**5 for k in range(1, 4000, 7)] + [0.1 + 0.2, 1e13 + 0.12345]
+    got = [r["m"] for r in spark.createDataFrame([(v,) for v in ties], "v double").select(V.money(F.col("v")).alias("m")).collect()]
+    sql = "SELECT " + ", ".join(f"CAST(CAST({v!r} AS DOUBLE) AS DECIMAL(18,4))" for v in ties)
+    assert got == list(duckdb.connect().execute(sql).fetchall()[0])
+
+
+def test_money_without_a_value(value):
+    for odd in (float("nan"), float("inf"), 1e15):
+        assert value(V.money(F.lit(odd))) is None
+    assert str(value(V.money(F.lit(-2.5)))) == "-2.5000"
+
+
 def test_volume_and_flags(value):
     assert value(V.share_volume(F.lit(5.9))) == 5
     assert value(V.share_volume(F.lit(float("nan")))) is None

@@ -321,7 +321,7 @@ def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
     for name, setting in settings.items():
         spark.conf.set(name, setting)
     try:
-        monkeypatch.setattr(fact, "lookup_side", lambda df, bound=None: df)
+        monkeypatch.setattr(fact, "lookup_side", lambda df, bound=None, rows=0: df)
         got = daily_fact(bars, keys).groupBy("company_key").count()
         assert {tuple(r) for r in got.collect()} == wanted
         assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
