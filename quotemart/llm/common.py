@@ -36,6 +36,14 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Mark a side of a join for broadcast if a count proves it has at most ``rows`` rows.
+
+    Beyond that the join is left to a shuffle, whose hot partitions adaptive execution splits.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that the DataFrame doesn't have yet, by upper or lower case either."""
     taken = {c.lower() for c in df.columns}

@@ -5,18 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quotemart.llm import simhash
+from quotemart.llm import decontaminate, simhash, sql
 from quotemart.llm.common import given
 
 
+def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside windows of benchmark items, and the items."""
+    found = decontaminate.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and class of near copies of every document."""
     return simhash.classes(given(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_benchmark_decontamination": sql.DECONTAMINATION,
+}
