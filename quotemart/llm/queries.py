@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import decontaminate, simhash, sql
+from quotemart.llm import decontaminate, pieces, simhash, sql
 from quotemart.llm.common import given
 
 
@@ -29,9 +29,15 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(given(spark, folder, "documents"))
 
 
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of every document under merge-dropout, and whether they decode to its text."""
+    return pieces.encoded(given(spark, folder, "documents"), dropout=0.1, seed=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
