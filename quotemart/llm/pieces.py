@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import sentencepiece
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,7 +35,7 @@ NEVER = float("inf")
 # Longest word whose agenda is searched from end to end.
 SHORT = 40
 # Results a worker keeps, and the longest word it keeps one for: some 100 MB at most.
-KEPT, KEPT_CHARS = 300_000, 40
+KEPT, KEPT_CHARS = 200_000, 40
 # A word's draw is its place in the text modulo this, shifted by the text's own hash.
 DRAWS = 8
 
@@ -247,26 +247,26 @@ def decode_ids(ids: np.ndarray, pieces: list[bytes], prefix: bool) -> str:
     return raw.decode("utf-8", "replace")
 
 
-def encode(spark: SparkSession, text: Column, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, draws: int = DRAWS) -> Column:
-    """Ids of a text as ``array<int>``; null gives null, the empty text none."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+def encode(text: Column, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, draws: int = DRAWS) -> Column:
+    """Ids of a text and whether they decode to it, ``struct<ids:array<int>,lossless:boolean>``; null gives null ids."""
 
-    @F.pandas_udf("array<int>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(shared.value, dropout, seed, draws)
+    @F.pandas_udf("ids array<int>, lossless boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(vocabulary, dropout, seed, draws)
         for texts in batches:
-            yield pd.Series([None if t is None else encoder.text(t) for t in texts], dtype=object)
+            ids = [None if t is None else encoder.text(t) for t in texts]
+            same = [t is None or decode_ids(k, vocabulary.pieces, vocabulary.prefix) == t for t, k in zip(texts, ids, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "lossless": same})
 
     return of(text)
 
 
-def decode(spark: SparkSession, ids: Column, vocabulary: Vocabulary) -> Column:
+def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """Text of ids; null gives null, no ids the empty text."""
-    shared = spark.sparkContext.broadcast((vocabulary.pieces, vocabulary.prefix))
+    pieces, prefix = vocabulary.pieces, vocabulary.prefix
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces, prefix = shared.value
         for rows in batches:
             yield pd.Series([None if r is None else decode_ids(np.asarray(r), pieces, prefix) for r in rows], dtype=object)
 
@@ -282,13 +282,8 @@ def encoded(
     lossless, an empty one no ids. Repeated rows give repeated rows with the same ids, an empty table
     gives no rows, other columns play no part.
     """
-    vocabulary = Vocabulary.load(model)
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("ids", encode(spark, F.col("text"), vocabulary, dropout, seed))
-    return rows.select(
-        "doc_id",
-        "ids",
-        F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_tokens"),
-        decode(spark, F.col("ids"), vocabulary).eqNullSafe(F.col("text")).alias("lossless"),
+    found = docs.select(F.col(doc_id).alias("doc_id"), encode(F.col(text), Vocabulary.load(model), dropout, seed).alias("found"))
+    ids = F.col("found.ids")
+    return found.select(
+        "doc_id", ids.alias("ids"), F.when(ids.isNull(), 0).otherwise(F.size(ids)).cast("long").alias("n_tokens"), "found.lossless"
     )

@@ -7,8 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import decontaminate, pieces, simhash, sql
-from quotemart.llm.common import given
+from quotemart.llm import decontaminate, htmltext, pieces, quality, simhash, sql, toxicity
+from quotemart.llm.common import fold, given
+
+
+# Folds of the documents: that of this remainder is held out, labels are learnt from the others.
+LABEL_FOLDS, LABEL_HELD_OUT = 3, 1
+
+
+def rated(scores: DataFrame, least: float) -> DataFrame:
+    """Scores with the held-out fold and the decision."""
+    return scores.select(
+        "doc_id",
+        (fold(F.col("doc_id"), LABEL_FOLDS) == LABEL_HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = given(spark, folder, "documents")
+    allowed = fold(F.col("doc_id"), LABEL_FOLDS) != LABEL_HELD_OUT
+    model = toxicity.train(docs, given(spark, folder, "labels"), allowed)
+    return rated(toxicity.scored(docs, model), toxicity.TOXIC)
 
 
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,15 +51,31 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(given(spark, folder, "documents"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document."""
+    docs = given(spark, folder, "documents")
+    allowed = fold(F.col("doc_id"), LABEL_FOLDS) != LABEL_HELD_OUT
+    machine = quality.train(docs, given(spark, folder, "labels"), allowed)
+    return rated(quality.scored(docs, machine), quality.GOOD)
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of every document under merge-dropout, and whether they decode to its text."""
     return pieces.encoded(given(spark, folder, "documents"), dropout=0.1, seed=20)
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extracted(given(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_html_extraction": op9_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
