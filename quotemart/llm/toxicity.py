@@ -58,8 +58,8 @@ SEPARATORS = r" \t.\-_*~/\\"
 # Spaced-out letters; letters around a lookalike; a lookalike before letters; three equal letters.
 DISGUISED = re.compile(
     rf"(?<![^\W_])(?:[^\W\d_]|[{SIGNS}])(?:[{SEPARATORS}]{{1,3}}(?:[^\W\d_]|[{SIGNS}])(?![^\W_])){{2,}}"
-    rf"|(?<![^\s\"'(\[])[{SIGNS}]{{0,2}}[a-z]+(?:[{SIGNS}]{{1,3}}[a-z]+)+(?![^\W_])"
-    rf"|(?<![^\s\"'(\[])[0-9@$!|+(]{{1,2}}[a-z]{{2,}}(?![^\W_])"
+    rf"|(?<![^\s\"'(\[])[{SIGNS}]{{0,2}}[a-z]+(?:[{SIGNS}]{{1,3}}[a-z]+)+[0-9@$]{{0,3}}(?![^\W_])"
+    rf"|(?<![^\s\"'(\[])[0-9@$!|+(]{{1,2}}[a-z]{{2,}}[0-9@$]{{0,3}}(?![^\W_])"
     rf"|[a-z]*([a-z])\1\1[a-z]*"
 )
 WORD = re.compile(r"[^\W\d_]+")
@@ -195,16 +195,15 @@ def train(
         for frame in frames:
             for t, toxic in zip(frame[text], frame["label"], strict=True):
                 found = WORD.findall(restore(t))
-                pairs = {w: f"{x} {y}" for x, w, y in zip(["", *found], found, [*found[1:], ""], strict=False)}
-                between = [zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in pairs.values()]
-                yield pd.DataFrame({"word": list(pairs), "between": between, "toxic": int(toxic)})
+                uses = {m: f"{x} {w} {y}" for x, w, y in zip(["", *found], found, [*found[1:], ""], strict=False) for m in marks_of(w)}
+                between = [zlib.crc32(p.encode("utf-8", "surrogatepass")) for p in uses.values()]
+                yield pd.DataFrame({"mark": list(uses), "between": between, "toxic": int(toxic)})
 
     given = sample(docs, labels, label, rows, allowed, [text], doc_id)
-    words = given.mapInPandas(seen, "word string, between long, toxic int").groupBy("word", "between", "toxic").agg(F.lit(1).alias("one"))
-    size = F.least(F.length("word") - 1, F.lit(LONGEST_STEM))
-    stems = F.when(size >= STEM, F.transform(F.sequence(F.lit(STEM), F.greatest(size, F.lit(STEM))), lambda n: F.substring("word", F.lit(1), n)))
     found = (
-        words.select("toxic", F.explode(F.concat(F.array(F.concat("word", F.lit(END))), F.coalesce(stems, F.array().cast("array<string>")))).alias("mark"))
+        given.mapInPandas(seen, "mark string, between long, toxic int")
+        .groupBy("mark", "between", "toxic")
+        .agg(F.lit(1).alias("one"))
         .groupBy("mark")
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("all"))
         .where((F.col("toxic") >= SEEN) & (F.col("toxic") >= SURE * F.col("all")))
@@ -223,13 +222,16 @@ def closed(marks: dict[str, tuple[int, float]]) -> dict[str, float]:
     return {m: sure for m, (uses, sure) in marks.items() if m.endswith(END) or longer.get(m, 0) < SAME * uses}
 
 
+def marks_of(word: str) -> list[str]:
+    """A word as a mark, and its stems."""
+    return [word + END, *(word[:k] for k in range(STEM, min(len(word) - 1, LONGEST_STEM) + 1))]
+
+
 def rate(text: str | None, model: Model, restore: Restorer) -> float:
     """Chance that a text is toxic."""
-    marked, best = model.marked, {}
+    get, best = model.marked.get, {}
     for word in set(WORD.findall(restore(text))):
-        sure = marked.get(word + END, 0.0)
-        for k in range(STEM, min(len(word) - 1, LONGEST_STEM) + 1):
-            sure = max(sure, marked.get(word[:k], 0.0))
+        sure = max([get(m, 0.0) for m in marks_of(word)])
         if sure:
             best[word[:STEM]] = max(sure, best.get(word[:STEM], 0.0))
     clean = 1 - BASE
