@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import decontaminate, htmltext, pieces, quality, simhash, sql, toxicity
+from quotemart.llm import decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity
 from quotemart.llm.common import fold, given
 
 
-# Folds of the documents: that of this remainder is held out, labels are learnt from the others.
+# Folds of the documents: that of this remainder is held out, labels and languages are learnt from the others.
 LABEL_FOLDS, LABEL_HELD_OUT = 3, 1
+LANG_FOLDS, LANG_HELD_OUT = 5, 0
 
 
 def rated(scores: DataFrame, least: float) -> DataFrame:
@@ -33,6 +34,14 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return rated(toxicity.scored(docs, model), toxicity.TOXIC)
 
 
+def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    """Main language of every document."""
+    docs = given(spark, folder, "documents")
+    held_out = fold(F.col("doc_id"), LANG_FOLDS) == LANG_HELD_OUT
+    found = language.predicted(docs, language.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
+
+
 def op3_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document inside windows of benchmark items, and the items."""
     found = decontaminate.contamination(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
@@ -51,6 +60,12 @@ def op4_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(given(spark, folder, "documents"))
 
 
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard of every document in a tree of 24 shards, and in that with one more."""
+    found = sharding.placed(given(spark, folder, "documents"), sharding.tree(sharding.SHARDS), sharding.tree(sharding.SHARDS + 1))
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = given(spark, folder, "documents")
@@ -71,8 +86,10 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_language_mixture": op2_language_mixture,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
+    "op5_sharding": op5_sharding,
     "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_html_extraction": op9_html_extraction,

@@ -1,0 +1,86 @@
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotemart.llm import sharding
+from quotemart.llm.sharding import Node, branch, descend, leaf, placed, tree
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def brute(key, node):
+    while node.shard is None:
+        draws = []
+        for k, c in enumerate(c for c in node.children if c.weight > 0):
+            u = (int(hashlib.md5(f"{key}|{c.name}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
+            draws.append((-math.log(u) / c.weight, k, c))
+        node = min(draws)[2]
+    return node.shard
+
+
+def shards(spark, keys, root):
+    rows = descend(spark.createDataFrame([(k,) for k in keys], "k string"), F.col("k"), root, "shard")
+    return {r.k: r.shard for r in rows.collect()}
+
+
+def test_descent_equals_brute_force(spark):
+    keys = [str(k) for k in range(800)] + ["", "é"]
+    odd = branch("r", [branch("a", [leaf(0, 2.0), leaf(1, 0.5)]), leaf(2, 1.0), branch("b", [branch("c", [leaf(3, 3.0), leaf(4, 0.0)])])])
+    for root in (tree(24), tree(25), tree(1), tree(5, 4, 2, 2), odd):
+        assert shards(spark, keys, root) == {k: brute(k, root) for k in keys}
+
+
+def test_weights_decide_the_shares(spark):
+    root = branch("r", [branch("a", [leaf(0, 1.0), leaf(1, 3.0)]), branch("b", [leaf(2, 4.0)])])
+    found = Counter(shards(spark, [str(k) for k in range(16_000)], root).values())
+    assert all(abs(found[s] / 16_000 - share) < 0.02 for s, share in {0: 1 / 8, 1: 3 / 8, 2: 1 / 2}.items())
+
+
+@pytest.mark.parametrize("n", [3, 24, 25, 30])
+def test_one_more_shard_takes_rows_into_itself_only(spark, n):
+    keys = [str(k) for k in range(5000)]
+    before, after = shards(spark, keys, tree(n)), shards(spark, keys, tree(n + 1))
+    moved = [k for k in keys if before[k] != after[k]]
+    if n >= 24:
+        assert {after[k] for k in moved} == {n} and abs(len(moved) / len(keys) - 1 / (n + 1)) < 0.015
+
+
+def test_a_changed_weight_moves_rows_within_its_subtrees_only(spark):
+    def root(weight):
+        return branch("r", [branch("a", [leaf(0), leaf(1, weight)]), branch("b", [leaf(2), leaf(3)]), branch("c", [leaf(4), leaf(5)])])
+
+    keys = [str(k) for k in range(6000)]
+    before, after = shards(spark, keys, root(1.0)), shards(spark, keys, root(2.0))
+    region = {0: "a", 1: "a", 2: "b", 3: "b", 4: "c", 5: "c"}
+    assert all(region[after[k]] == "a" for k in keys if before[k] != after[k])
+    assert all(after[k] == 1 for k in keys if before[k] != after[k] and region[before[k]] == "a")
+
+
+def test_bad_trees_are_refused(spark):
+    with pytest.raises(ValueError):
+        tree(0)
+    with pytest.raises(ValueError):
+        shards(spark, ["1"], Node("r", 1.0, (Node("a", 1.0),)))
+
+
+def test_every_row_is_placed_once(spark):
+    rows = [(k, f"text é {k}" * (k % 5), None, None, 1) for k in range(600)]
+    rows += [(None, None, None, None, None)] * 40 + [(7, "same", None, None, None)] * 300 + [(9, "x" * 300_000, None, None, None), (10, "", None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("shard", F.lit("x")).withColumn("N", F.lit(1))
+    got = placed(docs, tree(24), tree(25)).collect()
+    want = Counter()
+    for k, t, *_ in rows:
+        raw = (t or "").encode()
+        key = "" if k is None else str(k)
+        want[k, len(raw) + 8, zlib.crc32(raw), brute(key, tree(24)), brute(key, tree(25))] += 1
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.grown_shard) for r in got) == want
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {r.grown_shard for r in placed(docs, tree(24)).collect()} == {None}
+    assert placed(docs.limit(0), tree(24)).collect() == []

@@ -80,7 +80,7 @@ def test_viterbi_finds_the_best_of_all_paths(letters):
 
 
 def test_clean_text_is_left_alone(letters):
-    for text in ("The annals of re-entry, part 2: 1,000 on 12.5.2020!", "Über été niño", "", "a", "see it", "sha 3f5a", "x" * 2):
+    for text in ("The annals of re-entry, part 2: 1,000 on 12.5.2020!", "Über été niño", "", "a", "see it", "xx", "2024", "10 20 30"):
         assert Restorer(letters)(text) == text.lower()
     assert Restorer(letters)(None) == ""
 
@@ -131,5 +131,5 @@ def test_odd_rows_and_empty_tables(spark):
     docs, labels = spark.createDataFrame(odd, DOCS), spark.createDataFrame([], LABELS)
     model = toxicity.train(docs, labels, F.lit(True))
     got = toxicity.scored(docs, model).collect()
-    assert len(got) == 6 and {r.score for r in got} == {pytest.approx(toxicity.BASE)}
+    assert len(got) == 6 and all(r.score == pytest.approx(toxicity.BASE) for r in got)
     assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), labels, F.lit(True))).collect() == []
