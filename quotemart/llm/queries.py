@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity
+from quotemart.llm import decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity, warc
 from quotemart.llm.common import fold, given
 
 
@@ -66,6 +66,11 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.archived(given(spark, folder, "pages")).drop("url")
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document."""
     docs = given(spark, folder, "documents")
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_sharding": op5_sharding,
+    "op6_warc": op6_warc,
     "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_html_extraction": op9_html_extraction,
@@ -97,4 +103,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op3_benchmark_decontamination": sql.DECONTAMINATION,
+    "op6_warc": sql.ARCHIVES,
 }

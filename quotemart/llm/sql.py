@@ -31,3 +31,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
 """
+
+ARCHIVES = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages
+), q AS (
+    SELECT page_id, CAST(octet_length(raw) AS BIGINT) AS payload_bytes, sha1(raw) AS payload_digest FROM p
+), g AS (
+    SELECT payload_digest, payload_bytes, max(page_id) AS kept FROM q WHERE payload_bytes >= 1000 GROUP BY ALL
+)
+SELECT q.page_id, q.payload_bytes, q.payload_digest,
+       CASE WHEN g.kept IS NULL OR g.kept = q.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN g.kept <> q.page_id THEN g.kept END AS refers_to
+FROM q LEFT JOIN g USING (payload_digest, payload_bytes)
+"""
