@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity, warc
+from quotemart.llm import ann, decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity, warc
 from quotemart.llm.common import fold, given
 
 
@@ -89,6 +89,11 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return htmltext.extracted(given(spark, folder, "pages"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors found for every vector whose id is divisible by 20."""
+    return ann.search(given(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_mixture": op2_language_mixture,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_html_extraction": op9_html_extraction,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE: dict[str, str] = {
