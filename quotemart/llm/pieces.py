@@ -15,10 +15,9 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import cycle
+from itertools import chain, cycle
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotemart.llm.common import slices
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 # A mark that the text itself holds; no UTF-8 text has a lone surrogate.
@@ -34,10 +35,13 @@ HELD = "\ud800"
 NEVER = float("inf")
 # Longest word whose agenda is searched from end to end.
 SHORT = 40
-# Results a worker keeps, and the longest word it keeps one for: some 100 MB at most.
-KEPT, KEPT_CHARS = 200_000, 40
+# Results a worker keeps, some 100 MB.
+KEPT = 400_000
+# Short words are merged many at a time, in rows of these widths. Symbols that are no piece count from SPAN on.
+WIDTHS = (8, 16, 32)
+SPAN = 1 << 24
 # A word's draw is its place in the text modulo this, shifted by the text's own hash.
-DRAWS = 8
+DRAWS = 5
 
 
 def word_pattern(pieces: Iterable[str]) -> str:
@@ -84,25 +88,19 @@ class Vocabulary:
 
 
 class Turns:
-    """Which candidates of a word are skipped: 16 bits of a keyed hash for each turn, below a bound or not."""
+    """Which candidates of a word are skipped: a byte of a keyed hash for each turn, below a bound or not."""
 
     def __init__(self, word: str, key: int, below: int):
         self.raw, self.key, self.below = word.encode("utf-8", "surrogatepass"), key, below
-        self.bits = array("H", xxhash.xxh3_128_digest(self.raw, key))
+        self.bits = bytearray(xxhash.xxh3_128_digest(self.raw, key))
         self.blocks, self.turn = 1, 0
 
-    def none_before(self, turn: int) -> bool:
-        """Whether no candidate is skipped before this turn."""
-        while len(self.bits) < turn:
-            self.bits.frombytes(xxhash.xxh3_128_digest(self.raw, self.key ^ self.blocks))
-            self.blocks += 1
-        return min(self.bits[:turn], default=self.below) >= self.below
-
     def skipped(self) -> bool:
         """Whether the candidate whose turn it is goes."""
+        if self.turn == len(self.bits):
+            self.bits += xxhash.xxh3_128_digest(self.raw, self.key ^ self.blocks)
+            self.blocks += 1
         self.turn += 1
-        if self.turn > len(self.bits):
-            self.none_before(self.turn)
         return self.bits[self.turn - 1] < self.below
 
 
@@ -166,76 +164,169 @@ def _long(word: str, order: dict[str, float], skipped: Callable[[], bool] | None
     return found
 
 
+class Merges:
+    """Merges of many short words at a time: a row for each word, a step of every word's agenda in one go."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        ids, order = vocabulary.ids, vocabulary.order
+        found = {}
+        for piece, whole in ids.items():
+            for k in range(1, len(piece)):
+                a, b = ids.get(piece[:k]), ids.get(piece[k:])
+                if a is not None and b is not None:
+                    found[a * SPAN + b] = (order[piece], whole)
+        self.codes = np.array(sorted(found), dtype=np.int64)
+        self.scores = np.array([found[c][0] for c in self.codes], dtype=np.float64)
+        self.wholes = np.array([found[c][1] for c in self.codes], dtype=np.int64)
+        letters = {ord(p): k for p, k in ids.items() if len(p) == 1}
+        self.points = np.array(sorted(letters), dtype=np.int64)
+        self.letters = np.array([letters[p] for p in self.points], dtype=np.int64)
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of pairs of symbols and what they merge to; what is no piece (from ``SPAN`` on, or -1) merges with nothing."""
+        code = np.where((a >= 0) & (b >= 0) & (a < SPAN) & (b < SPAN), a * SPAN + b, -1)
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        hit = self.codes[at] == code
+        return np.where(hit, self.scores[at], NEVER), self.wholes[at]
+
+    def symbols(self, words: list[str], width: int) -> np.ndarray:
+        """Symbols of words of up to ``width`` letters: ids of pieces, ``SPAN`` plus the code point of others, -1 after the end."""
+        points = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
+        out = np.where(self.points[at] == points, self.letters[at], SPAN + points).reshape(-1, width)
+        sizes = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
+        out[np.arange(width) >= sizes[:, None]] = -1
+        return out
+
+    def segment(self, words: list[str], width: int, skipped: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Final symbols of the words, a row each, and which words have had more turns than ``skipped`` has columns."""
+        now = self.symbols(words, width)
+        done, over = np.full_like(now, -1), np.zeros(len(words), dtype=bool)
+        row = np.arange(len(words))
+        scores, wholes = self.pairs(now[:, :-1], now[:, 1:])
+        turn = 0
+        while len(row):
+            at = scores.argmin(1)
+            each = np.arange(len(row))
+            open_ = scores[each, at] != NEVER
+            if skipped is not None and turn == skipped.shape[1]:
+                over[row[open_]] = True
+                open_[:] = False
+            if not open_.all():
+                done[row[~open_]] = now[~open_]
+                row, now, scores, wholes, at = row[open_], now[open_], scores[open_], wholes[open_], at[open_]
+                each = np.arange(len(row))
+                if not len(row):
+                    break
+            merging = each
+            if skipped is not None:
+                gone = skipped[row, turn]
+                scores[each[gone], at[gone]] = NEVER
+                merging = each[~gone]
+            turn += 1
+            k = at[merging]
+            now[merging, k] = wholes[merging, k]
+            # What lies after the merged pair moves up by one place.
+            places = np.arange(width)
+            source = np.minimum(places + (places > k[:, None]), width - 1)
+            moved = np.take_along_axis(now[merging], source, 1)
+            moved[:, -1] = -1
+            now[merging] = moved
+            source = np.minimum(places[:-1] + (places[:-1] >= k[:, None]), width - 2)
+            s, w = np.take_along_axis(scores[merging], source, 1), np.take_along_axis(wholes[merging], source, 1)
+            s[:, -1] = NEVER
+            rows = np.arange(len(k))
+            right = k < width - 1
+            s[rows[right], k[right]], w[rows[right], k[right]] = self.pairs(moved[rows[right], k[right]], moved[rows[right], k[right] + 1])
+            left = k > 0
+            s[rows[left], k[left] - 1], w[rows[left], k[left] - 1] = self.pairs(moved[rows[left], k[left] - 1], moved[rows[left], k[left]])
+            scores[merging], wholes[merging] = s, w
+        return done, over
+
+
 class Encoder:
     """Encodes texts; keeps what it found for short words."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, draws: int = DRAWS):
         if not 0 <= dropout <= 1 or draws < 1:
             raise ValueError("dropout must be from 0 to 1 and draws at least 1")
-        self.vocabulary = vocabulary
-        self.below = round(dropout * 2**16)
+        self.vocabulary, self.merges = vocabulary, Merges(vocabulary)
+        # The rate in 256ths.
+        self.below = round(dropout * 256)
         self.find = re.compile(vocabulary.word).findall
         self.keys = [xxhash.xxh64_intdigest(b"%d %d" % (seed, k)) for k in range(draws)]
         self.draws = draws if dropout else 1
-        self.get = vocabulary.ids.get
         self.clear()
 
     def clear(self) -> None:
-        """Forget the words found so far; done between texts once there are too many."""
-        self.plain: dict[str, tuple[tuple[int, ...], int]] = {}
+        """Forget the words found so far."""
         self.kept: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.draws)]
-        self.draw = {id(known): k for k, known in enumerate(self.kept)}
-        self.room = KEPT
 
     def ids(self, parts: list[str]) -> tuple[int, ...]:
         """Ids of pieces; what is no piece is given byte by byte."""
-        found = [self.get(p) for p in parts]
-        if None in found:
-            first, get = self.vocabulary.first_byte, self.get
-            raw = [[k] if (k := get(p)) is not None else [first + b for b in (MARK if p == HELD else p).encode()] for p in parts]
-            found = [k for r in raw for k in r]
+        get, first, found = self.vocabulary.ids.get, self.vocabulary.first_byte, []
+        for p in parts:
+            k = get(p)
+            found.extend([k] if k is not None else [first + b for b in (MARK if p == HELD else p).encode()])
         return tuple(found)
 
     def word(self, word: str, draw: int) -> tuple[int, ...]:
-        """Ids of a word under a draw.
-
-        If none of the candidates that come up without dropout is skipped, nothing changes; there are
-        as many as merges, and fewer than characters.
-        """
-        order, plain = self.vocabulary.order, self.plain.get(word)
-        if self.below:
-            turns = Turns(word, self.keys[draw], self.below)
-            if not turns.none_before(plain[1] if plain else len(word) - 1):
-                return self.ids(segment(word, order, turns))
-        if plain is None:
-            parts = segment(word, order)
-            plain = self.ids(parts), len(word) - len(parts)
-            if len(word) <= KEPT_CHARS:
-                self.plain[word] = plain
-                self.room -= 1
-        return plain[0]
+        """Ids of a word under a draw."""
+        turns = Turns(word, self.keys[draw], self.below) if self.below else None
+        return self.ids(segment(word, self.vocabulary.order, turns))
+
+    def words(self, words: list[str], draw: int) -> None:
+        """Find the ids of short words under a draw, all at once, and keep them."""
+        known, digest, key = self.kept[draw], xxhash.xxh3_128_digest, self.keys[draw]
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            some = [w for w in words if low < len(w) <= width]
+            if not some:
+                continue
+            skipped = None
+            if self.below:
+                raw = [w.encode("utf-8", "surrogatepass") for w in some]
+                bits = np.frombuffer(b"".join([digest(r, key ^ n) for r in raw for n in range(-(-width // 16))]), dtype=np.uint8)
+                skipped = bits.reshape(len(some), -1) < self.below
+            symbols, over = self.merges.segment(some, width, skipped)
+            # Most words consist of pieces only; the others, and those with many turns, one by one.
+            odd = over | (symbols >= SPAN).any(1)
+            sizes = (symbols >= 0).sum(1)
+            flat = symbols[symbols >= 0].tolist()
+            ends = np.cumsum(sizes).tolist()
+            for word, end, size, single in zip(some, ends, sizes.tolist(), odd.tolist(), strict=True):
+                known[word] = self.word(word, draw) if single else tuple(flat[end - size : end])
+
+    def texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts, which should be about a slice."""
+        if sum(map(len, self.kept)) > KEPT:
+            self.clear()
+        kept, draws, rows = self.kept, self.draws, []
+        missing: list[set[str]] = [set() for _ in range(draws)]
+        for text in texts:
+            marked = text.replace(MARK, HELD).replace(" ", MARK)
+            words = self.find(MARK + marked if self.vocabulary.prefix and text else marked)
+            shift = xxhash.xxh32_intdigest(text.encode()) % draws if draws > 1 else 0
+            for k in range(draws):
+                missing[(shift + k) % draws].update(words[k::draws])
+            rows.append((words, shift))
+        for draw, words in enumerate(missing):
+            fresh = [w for w in words if w not in kept[draw]]
+            self.words([w for w in fresh if len(w) <= WIDTHS[-1]], draw)
+            kept[draw].update((w, self.word(w, draw)) for w in fresh if len(w) > WIDTHS[-1])
+        out = []
+        for words, shift in rows:
+            in_turn = cycle([known.__getitem__ for known in kept[shift:] + kept[:shift]])
+            found = chain.from_iterable([get(w) for get, w in zip(in_turn, words)])  # noqa: B905
+            out.append(np.fromiter(found, dtype=np.int32))
+        # Long words are of no use to later texts and would take much room.
+        for known in kept:
+            for word in [w for w in known if len(w) > WIDTHS[-1]]:
+                del known[word]
+        return out
 
     def text(self, text: str) -> np.ndarray:
         """Ids of a text."""
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        marked = text.replace(MARK, HELD).replace(" ", MARK)
-        if self.vocabulary.prefix:
-            marked = MARK + marked
-        if self.room <= 0:
-            self.clear()
-        draws, found = self.draws, []
-        shift = xxhash.xxh32_intdigest(text.encode()) % draws if draws > 1 else 0
-        kept = self.kept[shift:] + self.kept[:shift]
-        for word, known in zip(self.find(marked), cycle(kept)):  # noqa: B905
-            ids = known.get(word)
-            if ids is None:
-                ids = self.word(word, self.draw[id(known)])
-                if len(word) <= KEPT_CHARS:
-                    known[word] = ids
-                    self.room -= 1
-            found += ids
-        return np.array(found, dtype=np.int32)
+        return self.texts([text])[0]
 
 
 def decode_ids(ids: np.ndarray, pieces: list[bytes], prefix: bool) -> str:
@@ -254,7 +345,9 @@ def encode(text: Column, vocabulary: Vocabulary, dropout: float = 0.0, seed: int
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(vocabulary, dropout, seed, draws)
         for texts in batches:
-            ids = [None if t is None else encoder.text(t) for t in texts]
+            rows = [t or "" for t in texts]
+            found = [x for a, b in slices([len(t) for t in rows]) for x in encoder.texts(rows[a:b])]
+            ids = [None if t is None else k for t, k in zip(texts, found, strict=True)]
             same = [t is None or decode_ids(k, vocabulary.pieces, vocabulary.prefix) == t for t, k in zip(texts, ids, strict=True)]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "lossless": same})
 

@@ -50,7 +50,7 @@ def test_no_dropout_gives_the_pieces_of_the_library(vocabulary):
 
 @pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 0.9, 1.0])
 def test_agenda_with_dropout_equals_the_rule(vocabulary, dropout):
-    below = round(dropout * 2**16)
+    below = round(dropout * 256)
     for k, word in enumerate(words(300)):
         want = agenda(word, vocabulary.order, Turns(word, k, below).skipped)
         assert pieces._short(word, vocabulary.order, Turns(word, k, below).skipped) == want
@@ -61,7 +61,7 @@ def test_agenda_with_dropout_equals_the_rule(vocabulary, dropout):
 def test_kept_words_change_nothing(vocabulary, monkeypatch):
     text = " ".join(words(4000)).replace("▁", "")
     want = Encoder(vocabulary, 0.2, 5).text(text)
-    monkeypatch.setattr(pieces, "KEPT", 10)
+    monkeypatch.setattr(pieces, "KEPT", 1)
     assert (Encoder(vocabulary, 0.2, 5).text(text) == want).all()
     encoder = Encoder(vocabulary, 0.2, 5)
     for part in (text[:500], text[500:9000], text):
