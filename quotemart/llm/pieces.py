@@ -15,9 +15,10 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable, Iterable, Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain, cycle
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,11 +38,11 @@ NEVER = float("inf")
 SHORT = 40
 # Results a worker keeps, some 100 MB.
 KEPT = 400_000
-# Short words are merged many at a time, in rows of these widths. Symbols that are no piece count from SPAN on.
-WIDTHS = (8, 16, 32)
-SPAN = 1 << 24
+# Short words are merged so many at a time, in rows of these widths. The rank of what doesn't merge.
+WIDTHS, TOGETHER = (8, 12, 16, 32), 8_000
+LAST = np.int32(2**31 - 1)
 # A word's draw is its place in the text modulo this, shifted by the text's own hash.
-DRAWS = 5
+DRAWS = 3
 
 
 def word_pattern(pieces: Iterable[str]) -> str:
@@ -174,26 +175,30 @@ class Merges:
             for k in range(1, len(piece)):
                 a, b = ids.get(piece[:k]), ids.get(piece[k:])
                 if a is not None and b is not None:
-                    found[a * SPAN + b] = (order[piece], whole)
-        self.codes = np.array(sorted(found), dtype=np.int64)
-        self.scores = np.array([found[c][0] for c in self.codes], dtype=np.float64)
-        self.wholes = np.array([found[c][1] for c in self.codes], dtype=np.int64)
+                    found[a, b] = (order[piece], whole)
+        # Symbols from ``other`` on are no piece: they stand for the code points of letters.
+        self.other = len(vocabulary.pieces)
+        self.kind = np.int32 if self.other < 46_000 else np.int64
+        rank = {score: k for k, score in enumerate(sorted({v[0] for v in found.values()}))}
+        codes = sorted(found)
+        self.codes = np.array([a * self.other + b for a, b in codes], dtype=self.kind)
+        self.ranks = np.array([rank[found[c][0]] for c in codes], dtype=np.int32)
+        self.wholes = np.array([found[c][1] for c in codes], dtype=np.int32)
         letters = {ord(p): k for p, k in ids.items() if len(p) == 1}
-        self.points = np.array(sorted(letters), dtype=np.int64)
-        self.letters = np.array([letters[p] for p in self.points], dtype=np.int64)
+        self.points = np.array(sorted(letters), dtype=np.uint32)
+        self.letters = np.array([letters[p] for p in self.points.tolist()], dtype=np.int32)
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scores of pairs of symbols and what they merge to; what is no piece (from ``SPAN`` on, or -1) merges with nothing."""
-        code = np.where((a >= 0) & (b >= 0) & (a < SPAN) & (b < SPAN), a * SPAN + b, -1)
+        """Ranks of pairs of symbols, the best first, and what they merge to; what is no piece merges with nothing."""
+        code = np.where((a >= 0) & (b >= 0) & (a < self.other) & (b < self.other), a.astype(self.kind) * self.other + b, -1).astype(self.kind)
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        hit = self.codes[at] == code
-        return np.where(hit, self.scores[at], NEVER), self.wholes[at]
+        return np.where(self.codes[at] == code, self.ranks[at], LAST), self.wholes[at]
 
     def symbols(self, words: list[str], width: int) -> np.ndarray:
-        """Symbols of words of up to ``width`` letters: ids of pieces, ``SPAN`` plus the code point of others, -1 after the end."""
-        points = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        """Symbols of words of up to ``width`` letters: ids of pieces, ``other`` plus the code point of others, -1 after the end."""
+        points = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
-        out = np.where(self.points[at] == points, self.letters[at], SPAN + points).reshape(-1, width)
+        out = np.where(self.points[at] == points, self.letters[at], self.other + points.astype(np.int32)).reshape(-1, width)
         sizes = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
         out[np.arange(width) >= sizes[:, None]] = -1
         return out
@@ -208,7 +213,7 @@ class Merges:
         while len(row):
             at = scores.argmin(1)
             each = np.arange(len(row))
-            open_ = scores[each, at] != NEVER
+            open_ = scores[each, at] != LAST
             if skipped is not None and turn == skipped.shape[1]:
                 over[row[open_]] = True
                 open_[:] = False
@@ -221,20 +226,20 @@ class Merges:
             merging = each
             if skipped is not None:
                 gone = skipped[row, turn]
-                scores[each[gone], at[gone]] = NEVER
+                scores[each[gone], at[gone]] = LAST
                 merging = each[~gone]
             turn += 1
             k = at[merging]
             now[merging, k] = wholes[merging, k]
             # What lies after the merged pair moves up by one place.
-            places = np.arange(width)
+            places = np.arange(width, dtype=np.int32)
             source = np.minimum(places + (places > k[:, None]), width - 1)
             moved = np.take_along_axis(now[merging], source, 1)
             moved[:, -1] = -1
             now[merging] = moved
             source = np.minimum(places[:-1] + (places[:-1] >= k[:, None]), width - 2)
             s, w = np.take_along_axis(scores[merging], source, 1), np.take_along_axis(wholes[merging], source, 1)
-            s[:, -1] = NEVER
+            s[:, -1] = LAST
             rows = np.arange(len(k))
             right = k < width - 1
             s[rows[right], k[right]], w[rows[right], k[right]] = self.pairs(moved[rows[right], k[right]], moved[rows[right], k[right] + 1])
@@ -260,7 +265,7 @@ class Encoder:
 
     def clear(self) -> None:
         """Forget the words found so far."""
-        self.kept: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.draws)]
+        self.kept: list[dict[str, Sequence[int]]] = [{} for _ in range(self.draws)]
 
     def ids(self, parts: list[str]) -> tuple[int, ...]:
         """Ids of pieces; what is no piece is given byte by byte."""
@@ -278,10 +283,11 @@ class Encoder:
     def words(self, words: list[str], draw: int) -> None:
         """Find the ids of short words under a draw, all at once, and keep them."""
         known, digest, key = self.kept[draw], xxhash.xxh3_128_digest, self.keys[draw]
-        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            some = [w for w in words if low < len(w) <= width]
-            if not some:
-                continue
+        words = sorted(words, key=len)
+        sizes = list(map(len, words))
+        ends = [bisect_right(sizes, width) for width in WIDTHS]
+        fitting = {width: words[a:b] for width, a, b in zip(WIDTHS, (0, *ends), ends, strict=False)}
+        for width, some in ((width, all_[at : at + TOGETHER]) for width, all_ in fitting.items() for at in range(0, len(all_), TOGETHER)):
             skipped = None
             if self.below:
                 raw = [w.encode("utf-8", "surrogatepass") for w in some]
@@ -289,12 +295,13 @@ class Encoder:
                 skipped = bits.reshape(len(some), -1) < self.below
             symbols, over = self.merges.segment(some, width, skipped)
             # Most words consist of pieces only; the others, and those with many turns, one by one.
-            odd = over | (symbols >= SPAN).any(1)
+            odd = over | (symbols >= self.merges.other).any(1)
             sizes = (symbols >= 0).sum(1)
             flat = symbols[symbols >= 0].tolist()
             ends = np.cumsum(sizes).tolist()
-            for word, end, size, single in zip(some, ends, sizes.tolist(), odd.tolist(), strict=True):
-                known[word] = self.word(word, draw) if single else tuple(flat[end - size : end])
+            known.update(zip(some, [flat[a:b] for a, b in zip([0, *ends], ends)]))  # noqa: B905
+            for k in np.flatnonzero(odd).tolist():
+                known[some[k]] = self.word(some[k], draw)
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts, which should be about a slice."""
@@ -306,18 +313,21 @@ class Encoder:
             marked = text.replace(MARK, HELD).replace(" ", MARK)
             words = self.find(MARK + marked if self.vocabulary.prefix and text else marked)
             shift = xxhash.xxh32_intdigest(text.encode()) % draws if draws > 1 else 0
+            found: list = [None] * len(words)
             for k in range(draws):
-                missing[(shift + k) % draws].update(words[k::draws])
-            rows.append((words, shift))
-        for draw, words in enumerate(missing):
-            fresh = [w for w in words if w not in kept[draw]]
-            self.words([w for w in fresh if len(w) <= WIDTHS[-1]], draw)
-            kept[draw].update((w, self.word(w, draw)) for w in fresh if len(w) > WIDTHS[-1])
+                found[k::draws] = map(kept[(shift + k) % draws].get, words[k::draws])
+            gaps = [(k, (shift + k) % draws, words[k]) for k, ids in enumerate(found) if ids is None]
+            for _, draw, word in gaps:
+                missing[draw].add(word)
+            rows.append((found, gaps))
+        for draw, some in enumerate(missing):
+            self.words([w for w in some if len(w) <= WIDTHS[-1]], draw)
+            kept[draw].update((w, self.word(w, draw)) for w in some if len(w) > WIDTHS[-1])
         out = []
-        for words, shift in rows:
-            in_turn = cycle([known.__getitem__ for known in kept[shift:] + kept[:shift]])
-            found = chain.from_iterable([get(w) for get, w in zip(in_turn, words)])  # noqa: B905
-            out.append(np.fromiter(found, dtype=np.int32))
+        for found, gaps in rows:
+            for k, draw, word in gaps:
+                found[k] = kept[draw][word]
+            out.append(np.array(list(chain.from_iterable(found)), dtype=np.int32))
         # Long words are of no use to later texts and would take much room.
         for known in kept:
             for word in [w for w in known if len(w) > WIDTHS[-1]]:
@@ -338,22 +348,6 @@ def decode_ids(ids: np.ndarray, pieces: list[bytes], prefix: bool) -> str:
     return raw.decode("utf-8", "replace")
 
 
-def encode(text: Column, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, draws: int = DRAWS) -> Column:
-    """Ids of a text and whether they decode to it, ``struct<ids:array<int>,lossless:boolean>``; null gives null ids."""
-
-    @F.pandas_udf("ids array<int>, lossless boolean")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary, dropout, seed, draws)
-        for texts in batches:
-            rows = [t or "" for t in texts]
-            found = [x for a, b in slices([len(t) for t in rows]) for x in encoder.texts(rows[a:b])]
-            ids = [None if t is None else k for t, k in zip(texts, found, strict=True)]
-            same = [t is None or decode_ids(k, vocabulary.pieces, vocabulary.prefix) == t for t, k in zip(texts, ids, strict=True)]
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "lossless": same})
-
-    return of(text)
-
-
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """Text of ids; null gives null, no ids the empty text."""
     pieces, prefix = vocabulary.pieces, vocabulary.prefix
@@ -371,12 +365,25 @@ def encoded(
 ) -> DataFrame:
     """One row per document row: (doc_id, ids, n_tokens, lossless).
 
-    ``lossless`` tells that the ids decode to the text. A null text has null ids, 0 tokens and is
+    Rows are passed on slice by slice, so that a task holds the ids of a slice only. ``lossless``
+    tells that the ids decode to the text. A null text has null ids, 0 tokens and is
     lossless, an empty one no ids. Repeated rows give repeated rows with the same ids, an empty table
     gives no rows, other columns play no part.
     """
-    found = docs.select(F.col(doc_id).alias("doc_id"), encode(F.col(text), Vocabulary.load(model), dropout, seed).alias("found"))
-    ids = F.col("found.ids")
-    return found.select(
-        "doc_id", ids.alias("ids"), F.when(ids.isNull(), 0).otherwise(F.size(ids)).cast("long").alias("n_tokens"), "found.lossless"
-    )
+    vocabulary = Vocabulary.load(model)
+    # Ids go as text: in a frame, a null would turn whole numbers into fractions.
+    given = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
+
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder(vocabulary, dropout, seed)
+        for frame in frames:
+            texts = [t or "" for t in frame["text"]]
+            for a, b in slices([len(t) for t in texts]):
+                ids = encoder.texts(texts[a:b])
+                same = [decode_ids(k, vocabulary.pieces, vocabulary.prefix) == t for k, t in zip(ids, texts[a:b], strict=True)]
+                part, known = frame.iloc[a:b], frame["text"].iloc[a:b].notna()
+                rows = [k if there else None for k, there in zip(ids, known, strict=True)]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": pd.Series(rows, index=part.index, dtype=object), "n_tokens": [len(k) for k in ids], "lossless": same})
+
+    found = given.mapInPandas(encode, "doc_id string, ids array<int>, n_tokens long, lossless boolean")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
