@@ -168,7 +168,7 @@ class Given:
                 (key - key % 4).cast("string"),
                 F.lit(",, "),
             ).alias("primary_exchanges"),
-            F.when(key % 7 == 0, "25:00").otherwise("9:30").alias("local_open"),
+            F.when(key % 7 == 0, "25:00").when(key % 4 != 2, "9:30").alias("local_open"),
             F.lit("16:00:05").alias("local_close"),
         )
 
@@ -198,7 +198,12 @@ class Given:
             .when(key % 31 == 0, "")
             .otherwise(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")))
             .alias("exchange"),
-            F.when(key % 19 != 0, F.col("c_acctbal") < 0).alias("isDelisted"),
+            F.when(key % 17 == 0, "no")
+            .when(key % 23 == 0, "2")
+            .when(key % 11 == 0, "0.0")
+            .when(key % 7 == 0, "")
+            .when(key % 19 != 0, (F.col("c_acctbal") < 0).cast("string"))
+            .alias("isDelisted"),
             F.when(key % 5 != 0, F.col("c_mktsegment")).alias("category"),
             F.when(key % 47 != 0, F.concat(F.lit("Sector "), F.substring(industry, 1, 1))).alias("sector"),
             industry.alias("industry"),

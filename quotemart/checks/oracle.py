@@ -54,7 +54,7 @@ PARTS = {
             concat('Type ', CAST(c_nationkey AS VARCHAR)) AS market_type,
             concat(' ', chr(9), 'HUB', chr(10), ', ,', c_mktsegment, ' X , EX',
                 CAST(c_custkey - c_custkey % 4 AS VARCHAR), ',, ') AS primary_exchanges,
-            CASE WHEN c_custkey % 7 = 0 THEN '25:00' ELSE '9:30' END AS local_open, '16:00:05' AS local_close
+            CASE WHEN c_custkey % 7 = 0 THEN '25:00' WHEN c_custkey % 4 <> 2 THEN '9:30' END AS local_open, '16:00:05' AS local_close
         FROM customer""",
     "industry_choice": """
         SELECT *, CASE WHEN c_custkey % 13 = 0 THEN 'MISSING' WHEN c_custkey % 3 = 0 THEN 'ECONOMY'
@@ -69,7 +69,8 @@ PARTS = {
             CASE WHEN c_custkey % 43 = 0 THEN '' ELSE lpad(CAST(c_custkey AS VARCHAR), 10, '0') END AS cik,
             CASE WHEN c_custkey % 29 = 0 THEN 'UNKNOWN' WHEN c_custkey % 31 = 0 THEN ''
                 ELSE concat('NATION_', CAST(c_nationkey AS VARCHAR)) END AS exchange,
-            CASE WHEN c_custkey % 19 <> 0 THEN c_acctbal < 0 END AS isDelisted,
+            CASE WHEN c_custkey % 17 = 0 OR c_custkey % 23 = 0 THEN true WHEN c_custkey % 11 = 0 OR c_custkey % 7 = 0 THEN false
+                WHEN c_custkey % 19 <> 0 THEN c_acctbal < 0 END AS isDelisted,
             CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS category,
             CASE WHEN c_custkey % 47 <> 0 THEN concat('Sector ', substr(industry, 1, 1)) END AS sector,
             industry,
@@ -191,6 +192,7 @@ ORACLE = {
     "dim_exchange": "SELECT * FROM dim_exchange_rows",
     "dim_industry": "SELECT * FROM dim_industry_rows",
     "bars_dedup_first": "SELECT * FROM fx_bars",
+    "bars_unreadable": "SELECT event_id FROM events WHERE event_id % 17 = 0",
     "bars_key_fallback": """
         SELECT event_id, CASE WHEN event_id % 10 <> 4 THEN event_type END AS ticker,
             CAST(json_extract_string(props, '$.k') AS DOUBLE) AS open, CAST(NULL AS DOUBLE) AS high,
@@ -207,28 +209,28 @@ ORACLE = {
         FROM fx_bars_raw""",
     "exchange_explode": """
         SELECT min(pos) AS pos, md5(name) AS id, name, arg_min(region, pos) AS region, arg_min(market_type, pos) AS market_type,
-            arg_min(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
+            arg_min_null(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
         FROM (SELECT * REPLACE (trim(name) AS name) FROM
             (SELECT *, unnest(string_split(primary_exchanges, ',')) AS name FROM fx_markets) u) q
         WHERE name <> '' GROUP BY name""",
     "exchanges_first_wins": r"""
         SELECT min(pos) AS pos, md5(name) AS id, name, arg_min(region, pos) AS region, arg_min(market_type, pos) AS market_type,
-            arg_min(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
+            arg_min_null(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
         FROM (SELECT * REPLACE (regexp_replace(name, '^\s+|\s+$', '', 'g') AS name) FROM
             (SELECT *, unnest(string_split(primary_exchanges, ',')) AS name FROM market_feed) u) q
         WHERE name <> '' GROUP BY name""",
     "regions_first_wins": """
         SELECT min(pos) AS pos, md5(region) AS id, region, arg_min(market_type, pos) AS market_type,
-            arg_min(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
+            arg_min_null(local_open, pos) AS local_open, arg_min(local_close, pos) AS local_close
         FROM market_feed WHERE region <> '' GROUP BY region""",
     "industries_first_wins": """
-        SELECT min(p_partkey) AS pos, md5(concat(sector, '_', industry)) AS id, sector, industry
-        FROM (SELECT p_partkey, CASE WHEN p_partkey % 9 <> 0 THEN p_type ELSE '' END AS sector, p_brand AS industry
+        SELECT min(p_partkey) AS pos, md5(concat(CASE WHEN sector IS NULL THEN 'None' ELSE sector END, '_', industry)) AS id, sector, industry
+        FROM (SELECT p_partkey, CASE WHEN p_partkey % 10 = 3 THEN '' WHEN p_partkey % 9 <> 0 THEN p_type END AS sector, p_brand AS industry
             FROM part WHERE p_partkey % 8 <> 0) q
         GROUP BY sector, industry""",
     "sic_first_wins": """
         SELECT min(p_partkey) AS pos, md5(CAST(p_size AS VARCHAR)) AS id, CAST(p_size AS VARCHAR) AS sic,
-            arg_min(CASE WHEN p_partkey % 5 <> 0 THEN p_type ELSE '' END, p_partkey) AS sicSector,
+            arg_min_null(CASE WHEN p_partkey % 5 <> 0 THEN p_type END, p_partkey) AS sicSector,
             arg_min(p_brand, p_partkey) AS sicIndustry
         FROM part WHERE p_partkey % 8 <> 0 GROUP BY p_size""",
     "sic_int_cast": """
@@ -251,11 +253,9 @@ ORACLE = {
             FROM customer) q
         WHERE rn <= 50""",
     "company_lists_union": """
-        SELECT pos, c_name, c_mktsegment FROM (
-            SELECT c_custkey + (dense_rank() OVER (ORDER BY c_mktsegment) - 1) * 1099511627776 AS pos, c_name, c_mktsegment,
-                row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS rn
-            FROM customer) q
-        WHERE rn <= 20""",
+        WITH ends AS (SELECT c_mktsegment AS seg, max(c_custkey) + 1 AS n FROM customer GROUP BY c_mktsegment)
+        SELECT CAST(c_custkey + coalesce((SELECT sum(n) FROM ends WHERE seg < c_mktsegment), 0) AS BIGINT) AS pos, c_name, c_mktsegment
+        FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""",
     "resolve_exchange_rows": "SELECT * FROM exchange_resolved",
     "resolve_company_rows": """
         SELECT pos, ticker AS company_ticker, delisted AS company_is_delisted, exchange_id AS company_exchange_id,
@@ -265,10 +265,10 @@ ORACLE = {
         SELECT 'companies' AS entity, disposition, count(*) AS "rows" FROM company_batch GROUP BY disposition
         UNION ALL SELECT 'exchanges', disposition, count(*) FROM exchange_resolved GROUP BY disposition
         UNION ALL SELECT 'regions', disposition, count(*) FROM
-            (SELECT CASE WHEN arg_min(local_open, pos) = '25:00' THEN 'skipped' ELSE 'inserted' END AS disposition
+            (SELECT CASE WHEN arg_min_null(local_open, pos) = '9:30' THEN 'inserted' ELSE 'skipped' END AS disposition
             FROM market_feed WHERE region <> '' GROUP BY region) q GROUP BY disposition
-        UNION ALL SELECT 'industries', 'inserted', count(*) FROM
-            (SELECT DISTINCT coalesce(sector, ''), industry FROM company_feed) q""",
+        UNION ALL SELECT 'industries', CASE WHEN sector IS NULL THEN 'skipped' ELSE 'inserted' END, count(*) FROM
+            (SELECT DISTINCT sector, industry FROM company_feed) q GROUP BY ALL""",
     "upsert_regions": """
         WITH old AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS region_id, c_name AS region_name, c_mktsegment AS region_market_type,
                 '09:30:00' AS region_local_open, '16:00:00' AS region_local_close FROM customer WHERE c_custkey % 2 = 0),
@@ -291,14 +291,14 @@ ORACLE = {
         WITH old AS (SELECT p_partkey AS sic_id, p_partkey AS src FROM part WHERE p_partkey % 2 = 0),
             new AS (SELECT p_partkey AS sic_id, CASE WHEN p_partkey % 5 = 0 THEN p_partkey - p_partkey % 2 + 2
                 WHEN p_partkey % 7 = 0 THEN -7 ELSE -p_partkey - 100 END AS src FROM part WHERE p_partkey % 3 = 0),
-            free AS (SELECT min(n.sic_id) AS sic_id, src FROM new n SEMI JOIN old o USING (sic_id)
-                WHERE NOT EXISTS (SELECT 1 FROM old h WHERE h.src = n.src AND h.sic_id <> n.sic_id) GROUP BY src),
-            updated AS (SELECT o.sic_id, coalesce(f.src, o.src) AS src FROM old o LEFT JOIN free f USING (sic_id)),
-            added AS (SELECT min(n.sic_id) AS sic_id, src FROM new n WHERE n.sic_id NOT IN (SELECT sic_id FROM old)
-                AND n.src NOT IN (SELECT src FROM updated) GROUP BY src)
+            effective AS (SELECT n.* FROM new n
+                WHERE NOT EXISTS (SELECT 1 FROM old h WHERE h.src = n.src AND h.sic_id <> n.sic_id)
+                AND NOT EXISTS (SELECT 1 FROM new e WHERE e.src = n.src AND e.sic_id < n.sic_id
+                    AND NOT EXISTS (SELECT 1 FROM old h WHERE h.src = e.src AND h.sic_id <> e.sic_id)))
         SELECT CAST(sic_id AS INTEGER) AS sic_id, concat('I', CAST(src AS VARCHAR)) AS sic_industry,
             concat('S', CAST(src % 7 AS VARCHAR)) AS sic_sector
-        FROM (SELECT * FROM updated UNION ALL SELECT * FROM added) q""",
+        FROM (SELECT coalesce(o.sic_id, e.sic_id) AS sic_id, coalesce(e.src, o.src) AS src
+            FROM old o FULL JOIN effective e ON o.sic_id = e.sic_id) q""",
     "insert_industries": """
         WITH pairs AS (SELECT DISTINCT p_brand AS industry_name, p_type AS industry_sector FROM part),
             old AS (SELECT CAST(row_number() OVER (ORDER BY md5(concat(industry_name, '_', industry_sector))) AS INTEGER) AS industry_id, *
@@ -427,7 +427,7 @@ ORACLE = {
         FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
     "source_load": r"""
         WITH good_regions AS (SELECT region FROM market_feed WHERE region <> '' GROUP BY region
-                HAVING arg_min(local_open, pos) <> '25:00'),
+                HAVING arg_min_null(local_open, pos) = '9:30'),
             named AS (SELECT pos, region, regexp_replace(unnest(string_split(primary_exchanges, ',')), '^\s+|\s+$', '', 'g') AS name
                 FROM market_feed),
             good_exchanges AS (SELECT name FROM named WHERE name <> '' GROUP BY name

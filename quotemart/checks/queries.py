@@ -158,6 +158,11 @@ def bar_texts(g: Given) -> DataFrame:
     return g.table("events").select("event_id", F.concat(*parts).alias("value"))
 
 
+@query
+def bars_unreadable(g: Given) -> DataFrame:
+    return landing.unreadable(bar_texts(g))
+
+
 @query
 def bars_key_fallback(g: Given) -> DataFrame:
     return landing.bar_feed(landing.records(bar_texts(g))).drop("pos")
@@ -197,7 +202,7 @@ def regions_first_wins(g: Given) -> DataFrame:
 def industries_first_wins(g: Given) -> DataFrame:
     feed = g.table("part").select(
         F.col("p_partkey").alias("pos"),
-        F.when(F.col("p_partkey") % 9 != 0, F.col("p_type")).alias("sector"),
+        F.when(F.col("p_partkey") % 10 == 3, "").when(F.col("p_partkey") % 9 != 0, F.col("p_type")).alias("sector"),
         F.when(F.col("p_partkey") % 8 != 0, F.col("p_brand")).otherwise("").alias("industry"),
     )
     return normalize.industries(feed)
@@ -275,7 +280,7 @@ def company_lists_union(g: Given) -> DataFrame:
     rows = g.table("customer").select(F.col("c_custkey").alias("pos"), "c_name", "c_mktsegment")
     segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     lists = [rows.where(F.col("c_mktsegment") == segment) for segment in segments]
-    return normalize.join_lists(lists, 100)
+    return normalize.join_lists(lists, None)
 
 
 def exchange_batch(g: Given) -> DataFrame:
@@ -573,8 +578,8 @@ def retention_latest(g: Given) -> DataFrame:
     """A snapshot per calendar year is written, all but the latest are removed, the rest is read."""
     folder = scratch_dir(g.spark, "orders")
     rows = g.table("orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    for (year,) in rows.select("year").distinct().collect():
-        write_snapshot(rows.where(F.col("year") == year), folder, "snapshot_date", f"{year}_01_01")
+    token = F.concat(F.col("year").cast("string"), F.lit("_01_01")).alias("snapshot_date")
+    rows.select("*", token).write.partitionBy("snapshot_date").parquet(folder)
     keep_latest(g.spark, folder, "snapshot_date")
     return read_all_snapshots(g.spark, folder, rows.schema).drop("snapshot_date")
 

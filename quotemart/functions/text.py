@@ -39,9 +39,13 @@ def text_id(text: Column) -> Column:
     return F.md5(text.cast("binary"))
 
 
+# Fixed value: how a null reads in a key text.
+NULL_TEXT = "None"
+
+
 def industry_text(sector: Column, industry: Column) -> Column:
-    """Key text of an industry: sector and name joined by an underscore."""
-    return F.concat(F.coalesce(sector, F.lit("")), F.lit("_"), industry)
+    """Key text of an industry: sector and name joined by an underscore; a null sector is not an empty one."""
+    return F.concat(F.coalesce(sector, F.lit(NULL_TEXT)), F.lit("_"), industry)
 
 
 def clock_text(text: Column) -> Column:

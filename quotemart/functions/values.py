@@ -15,14 +15,14 @@ def present(text: Column) -> Column:
     return F.coalesce(text != "", F.lit(False))
 
 
-def or_default(value: Column, default: object) -> Column:
-    """The value, or a default where it is NULL."""
-    return F.coalesce(value, F.lit(default))
-
-
 def flag(value: Column) -> Column:
-    """Boolean of a flag column, False where it is NULL."""
-    return F.coalesce(value.cast("boolean"), F.lit(False))
+    """Truth of a flag as it stands in a feed: False for NULL, false, zero and what is empty, else True.
+
+    Any other text is true, "no" as well; JSON values arrive as texts, so the text "false" counts as false.
+    """
+    text = value.cast("string")
+    empty = text.isin("", "false", "[]", "{}") | F.coalesce(text.try_cast("double") == 0, F.lit(False))
+    return ~F.coalesce(empty, F.lit(True))
 
 
 def whole_number(text: Column) -> Column:

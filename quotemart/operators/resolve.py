@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotemart.functions.calendar import market_time
-from quotemart.functions.values import flag, or_default, present, whole_number
+from quotemart.functions.values import flag, present, whole_number
 from quotemart.operators.dedup import mark_first
 from quotemart.operators.lookup import lookup_side
 from quotemart.schemas import LENGTHS
@@ -37,8 +37,8 @@ def resolve_regions(feed: DataFrame) -> DataFrame:
         "pos",
         F.col("region").alias("region_name"),
         F.col("market_type").alias("region_market_type"),
-        market_time(or_default(F.col("local_open"), "00:00")).alias("region_local_open"),
-        market_time(or_default(F.col("local_close"), "00:00")).alias("region_local_close"),
+        market_time(F.col("local_open")).alias("region_local_open"),
+        market_time(F.col("local_close")).alias("region_local_close"),
     )
     bad_time = F.col("region_local_open").isNull() | F.col("region_local_close").isNull()
     bounds = {c: c for c in ("region_name", "region_market_type")}

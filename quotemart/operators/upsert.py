@@ -98,23 +98,21 @@ def upsert_sic(
 ) -> DataFrame:
     """Upsert SIC rows, whose id comes with the data and whose (industry, sector) is unique too.
 
-    Updates go first. A known id keeps its old pair if another row holds the new one; an unknown id
-    whose pair is already there adds no row. ``new`` holds pos, sic_id, sic_industry, sic_sector
-    with one row per id; within the batch the first row of a pair wins.
+    Every row claims its pair, known and unknown ids alike. A claim on a pair that another old row
+    holds is dropped; of the others the first claim on a pair wins. A known id that wins takes the
+    pair, an unknown one is added; who loses changes nothing. ``new`` holds pos, sic_id,
+    sic_industry, sic_sector with one row per id.
     """
     pair = ["sic_industry", "sic_sector"]
     held = old.select(F.col("sic_id").alias("_holder"), *[F.col(c).alias(f"_{c}") for c in pair])
-    known = new.join(old.select("sic_id"), "sic_id", "left_semi")
     taken = (
         (F.col("sic_industry") == F.col("_sic_industry"))
         & (F.col("sic_sector") == F.col("_sic_sector"))
         & (F.col("sic_id") != F.col("_holder"))
     )
-    free = keep_first(known.join(held, taken, "left_anti"), pair, [F.col("pos")])
-    updated = update_rows(old, free, ["sic_id"], pair, stamp, now)
-    fresh = new_rows(updated, new_rows(old, new, ["sic_id"]), pair)
-    added = keep_first(fresh, pair, [F.col("pos")])
-    return updated.unionByName(shaped(added, old.schema, stamp, now))
+    winners = keep_first(new.join(held, taken, "left_anti"), pair, [F.col("pos")])
+    updated = update_rows(old, winners, ["sic_id"], pair, stamp, now)
+    return updated.unionByName(shaped(new_rows(old, winners, ["sic_id"]), old.schema, stamp, now))
 
 
 # Natural key and replaceable columns of the companies table.

@@ -73,9 +73,14 @@ def ticker_keys(
     )
 
 
-def daily_fact(bars: DataFrame, keys: DataFrame, keys_bound: DataFrame | None = None) -> DataFrame:
+def daily_fact(
+    bars: DataFrame, keys: DataFrame, keys_bound: DataFrame | None = None, spread: tuple[int, int] | None = None
+) -> DataFrame:
     """One row per distinct bar of a ticker that resolves in every dimension.
 
+    ``spread`` (tasks, slices) gathers the rows for a write by day: a day goes to as many tasks as
+    slices, told by its company. Repeated rows meet there as well, so they need no shuffle of their own.
+
     ``keys_bound`` is a cheap table with at least as many rows as ``keys``; it decides whether the
     keys are broadcast. The trend comes from the unrounded change, and repeated rows go before
     rounding.
@@ -96,8 +101,13 @@ def daily_fact(bars: DataFrame, keys: DataFrame, keys_bound: DataFrame | None =
         priced.join(lookup_side(keys, keys_bound, KEY_ROWS), "ticker")
         .drop("ticker")
         .dropna("any", subset=["company_key", "industry_key", "exchange_key"])
-        .distinct()
     )
+    if spread:
+        tasks, slices = spread
+        sliced = resolved.withColumn("_slice", F.pmod(F.hash("company_key"), F.lit(slices)))
+        resolved = sliced.repartition(tasks, "date_key", "_slice").distinct().drop("_slice")
+    else:
+        resolved = resolved.distinct()
     return resolved.select(
         "date_key",
         "company_key",

@@ -37,11 +37,11 @@ from quotemart.schemas import (
     STAMPS,
     UNIQUE,
 )
-from quotemart.sinks.fact import init_fact, write_days
+from quotemart.sinks.fact import init_fact, sizes_of, spread, write_days
 from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import files
-from quotemart.sources.landing import read_bars, read_companies, read_markets
+from quotemart.sources.landing import bare_market_texts, company_texts, landing_texts, read_bars, read_companies, read_markets, unreadable
 from quotemart.sources.snapshots import read_snapshot
 
 SNAPSHOT = "snapshot_date"
@@ -68,12 +68,30 @@ def constraints(tables: Mapping[str, DataFrame], names: list[str]) -> list[DataF
     return checks
 
 
+UNREADABLE = "unreadable"
+
+
+def report_unreadable(texts: DataFrame, feed: str, store: Store) -> DataFrame:
+    """Stage the names of landing files that are no well-formed array of objects, and return them: feed, file."""
+    return store.stage(UNREADABLE, unreadable(texts).select(F.lit(feed).alias("feed"), "file"))
+
+
 def load_source(
     spark: SparkSession, landing: str, store: Store, processed: str | None = None, token: str = ""
 ) -> DataFrame:
-    """Bring the source tables up to date from the newest landing files; returns disposition counts."""
+    """Bring the source tables up to date from the newest landing files; returns disposition counts.
+
+    A newest file that can't be read gives no rows; it is named in the audit and counted as
+    ``unreadable`` under its feed's folder.
+    """
     feed, markets = read_companies(spark, f"{landing}/companies"), read_markets(spark, f"{landing}/markets")
-    return load_feeds(spark, feed, markets, store, processed, token)
+    counts = load_feeds(spark, feed, markets, store, processed, token)
+    bad = []
+    for name, texts in (("companies", company_texts(spark, f"{landing}/companies")), ("markets", bare_market_texts(spark, f"{landing}/markets"))):
+        if texts is not None:
+            found = report_unreadable(texts, name, store)
+            bad.append(found.groupBy(F.col("feed").alias("entity")).agg(F.count("*").alias("rows")).select("entity", F.lit(UNREADABLE).alias("disposition"), "rows"))
+    return quality.report([counts, *bad])
 
 
 def load_feeds(
@@ -179,9 +197,15 @@ def snapshot_tables(
 
 
 def publish(spark: SparkSession, landing: str, source: Store, lake: str, token: str) -> dict[str, int]:
-    """Snapshot the source tables and all landed bars."""
-    bars = first_bars(read_bars(spark, f"{landing}/bars")) if files.names(spark, f"{landing}/bars") else None
-    return snapshot_tables({t: source.read(t) for t in SOURCE_TABLES}, bars, lake, token)
+    """Snapshot the source tables and all landed bars; returns rows by table, and how many bar files can't be read.
+
+    The names of those files are staged for audit.
+    """
+    tables = {t: source.read(t) for t in SOURCE_TABLES}
+    if not files.names(spark, f"{landing}/bars"):
+        return snapshot_tables(tables, None, lake, token)
+    bad = report_unreadable(landing_texts(spark, f"{landing}/bars"), "bars", source).count()
+    return snapshot_tables(tables, first_bars(read_bars(spark, f"{landing}/bars")), lake, token) | {f"bars_{UNREADABLE}": bad}
 
 
 def load_dimensions(lake_tables: Mapping[str, DataFrame], store: Store, append: bool = False) -> None:
@@ -215,6 +239,7 @@ def load_fact(
     """Add the bars' days to the date dimension and replace those days in the fact."""
     # One row per day of the calendar; used by the date dimension and the replaced days.
     touched = dimensions.days(bars).cache()
+    sizes = sizes_of(touched)
     store.write(
         "dim_date", insert_absent(store.read("dim_date"), dimensions.calendar(touched), ["date_key"])
     )
@@ -232,9 +257,9 @@ def load_fact(
     path = fact_path(store)
     if not files.exists(store.spark, path):
         init_fact(store.spark, path)
-    done = write_days(daily_fact(bars, keys), path, touched)
     touched.unpersist()
-    return done
+    cores = store.spark.sparkContext.defaultParallelism
+    return write_days(daily_fact(bars, keys, spread=spread(sizes, cores)), path, sizes)
 
 
 def init_warehouse(store: Store) -> None:

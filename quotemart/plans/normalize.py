@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotemart.functions.text import industry_text, split_names, text_id
-from quotemart.functions.values import or_default, present
+from quotemart.functions.values import present
 from quotemart.operators.dedup import first_rows, keep_first
 from quotemart.sources.landing import COMPANY_FIELDS
 
@@ -25,19 +25,23 @@ def sic_industries(feed: DataFrame) -> DataFrame:
         "pos",
         text_id(F.col("sic")).alias("id"),
         "sic",
-        or_default(F.col("sicSector"), "").alias("sicSector"),
-        or_default(F.col("sicIndustry"), "").alias("sicIndustry"),
+        "sicSector",
+        "sicIndustry",
     )
     return keep_first(rows, ["sic"], [F.col("pos")])
 
 
 def industries(feed: DataFrame) -> DataFrame:
-    """One row per sector and industry: pos, id, sector, industry."""
-    key = industry_text(F.col("sector"), F.col("industry"))
+    """One row per sector and industry: pos, id, sector, industry.
+
+    The sector is the feed's ``listed_sector`` if it has one, which is empty where the key is absent.
+    """
+    sector = F.col("listed_sector" if "listed_sector" in feed.columns else "sector")
+    key = industry_text(sector, F.col("industry"))
     rows = feed.where(present(F.col("industry"))).select(
         "pos",
         text_id(key).alias("id"),
-        or_default(F.col("sector"), "").alias("sector"),
+        sector.alias("sector"),
         "industry",
         key.alias("_key"),
     )
@@ -73,18 +77,21 @@ def exchanges(markets: DataFrame) -> DataFrame:
     )
 
 
-# Positions of one list stay below this bound, so lists can follow one another.
-LIST_SPAN = 1 << 40
-
-
 def join_lists(lists: Sequence[DataFrame], total: int | None) -> DataFrame:
-    """Company lists of several crawls as one feed, in list order; each list gives its share of ``total``."""
+    """Company lists of several crawls as one feed, in list order; each list gives its share of ``total``.
+
+    A list starts where the positions of the one before end; without a limit all rows come.
+    """
     tagged = [rows.withColumn("_list", F.lit(i)) for i, rows in enumerate(lists)]
     joined = reduce(DataFrame.unionByName, tagged)
     share = total // len(lists) if total and total > 0 else 0
     kept = first_rows(joined, ["_list"], [F.col("pos")], share) if share else joined
-    place = F.col("_list").cast("long") * LIST_SPAN + F.col("pos")
-    return kept.withColumn("pos", place).drop("_list")
+    # One row per list.
+    ends = kept.groupBy("_list").agg((F.max("pos").cast("long") + 1).alias("_rows"))
+    ahead = Window.orderBy("_list").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("_list", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_start"))
+    placed = kept.join(F.broadcast(starts), "_list").withColumn("pos", F.col("_start") + F.col("pos"))
+    return placed.select(*[c for c in joined.columns if c != "_list"])
 
 
 def limit_per_exchange(feed: DataFrame, total: int | None, exchanges: int) -> DataFrame:

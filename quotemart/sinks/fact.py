@@ -30,36 +30,39 @@ def read_fact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(by_day).parquet(path).select(*schema.names)
 
 
-def by_day(fact: DataFrame, most_rows: int, days: int) -> DataFrame:
-    """Gather the rows of a day for the partitioned write.
+def sizes_of(touched: DataFrame) -> dict[int, int]:
+    """Bars of each day; a calendar bounds the days."""
+    return {r[DAY]: r["bars"] for r in touched.select(DAY, "bars").collect()}
 
-    If no day is too large for one task, a day goes to one task and into one file, and the days
-    spread over all cores. Otherwise ``rebalance`` lets adaptive execution split the large days and
-    join the small ones.
+
+def spread(sizes: dict[int, int], cores: int) -> tuple[int, int]:
+    """How the rows are gathered for the write: tasks, and slices of a day.
+
+    The largest day decides the slices, so that each fits in one task; a slice goes to one task and
+    into one file. There are as many tasks as slices of days, but no more than the cores can use or
+    the rows need.
     """
-    if most_rows > ROWS_PER_TASK:
-        return fact.hint("rebalance", DAY)
-    cores = fact.sparkSession.sparkContext.defaultParallelism
-    return fact.repartition(max(1, min(days, TASKS_PER_CORE * cores)), DAY)
+    slices = max(1, -(-max(sizes.values(), default=0) // ROWS_PER_TASK))
+    needed = max(TASKS_PER_CORE * cores, -(-sum(sizes.values()) // ROWS_PER_TASK))
+    return max(1, min(len(sizes) * slices, needed)), slices
 
 
-def write_days(fact: DataFrame, path: str, touched: DataFrame) -> dict[str, int]:
-    """Replace every touched day by its rows in ``fact`` and return row and day counts.
+def write_days(fact: DataFrame, path: str, sizes: dict[int, int]) -> dict[str, int]:
+    """Replace every day of ``sizes`` by its rows in ``fact`` and return row and day counts.
 
-    ``touched`` holds date_key and bars, one row per day of the input bars; like all day lists here
-    it is bounded by the calendar. One write: dynamic overwrite stages all partitions and moves
-    them in when the job commits, so a failed job leaves the table as it was. A touched day without
+    ``fact`` should come gathered by day, see ``spread``. One write: dynamic overwrite stages all
+    partitions, and when the job commits it deletes and renames one after the other. A job that
+    fails before leaves the table as it was; one that fails in the commit leaves some days replaced
+    and others not, and the load has to be run again, which replaces the same days. A day without
     rows would keep its old partition, so it is deleted after the commit.
     """
     spark = fact.sparkSession
-    sizes = {r[DAY]: r["bars"] for r in touched.select(DAY, "bars").collect()}
     seen = Observation()
     observed = drop_null_keys(fact).observe(
         seen, F.count(F.lit(1)).alias("rows"), F.collect_set(DAY).alias("days")
     )
     (
-        by_day(observed, max(sizes.values(), default=0), len(sizes))
-        .write.mode("overwrite")
+        observed.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)

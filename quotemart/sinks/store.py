@@ -41,20 +41,21 @@ class Store:
         """Write the next version of a table and return it as read back."""
         return self._next(table, shaped(df, SCHEMAS[table]))
 
-    def stage(self, name: str, df: DataFrame) -> DataFrame:
-        """Write intermediate rows kept for audit and return them as read back.
+    def stage(self, name: str, df: DataFrame, kept: int | None = None) -> DataFrame:
+        """Write intermediate rows and return them as read back; all runs are kept for audit, or the last ``kept``.
 
         What follows starts from the written rows, so they are computed once and a lost executor
         costs no more than a new read.
         """
-        return self._next(f"audit/{name}", df)
+        return self._next(f"audit/{name}", df, kept)
 
-    def _next(self, name: str, df: DataFrame) -> DataFrame:
+    def _next(self, name: str, df: DataFrame, kept: int | None = KEPT_VERSIONS) -> DataFrame:
         table = self.path(name)
         last = latest_token(self.spark, table, VERSION)
         token = f"{int(last or 0) + 1:09d}"
         df.write.mode("overwrite").parquet(f"{table}/{VERSION}={token}")
-        keep_latest(self.spark, table, VERSION, KEPT_VERSIONS)
+        if kept:
+            keep_latest(self.spark, table, VERSION, kept)
         return read_snapshot(self.spark, table, VERSION, df.schema, token)
 
 

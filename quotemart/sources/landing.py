@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotemart.functions.calendar import millis_to_timestamp
+from quotemart.functions.values import flag
 from quotemart.schemas import SCHEMAS
 
 RECORDS_TYPE = "array<map<string,string>>"
@@ -92,11 +93,16 @@ def market_texts(envelopes: DataFrame, value: str = "value") -> DataFrame:
 
 
 def company_feed(rows: DataFrame) -> DataFrame:
-    """Company records projected to the feed columns; absent keys give NULL."""
+    """Company records projected to the feed columns; absent keys give NULL.
+
+    Industries and SIC codes take an empty text for an absent sector or name, while a null one stays
+    null: that is what ``listed_sector``, ``sicSector`` and ``sicIndustry`` hold.
+    """
     keep = [c for c in rows.columns if c != "record"]
-    names = COMPANY_FIELDS + SIC_FIELDS
-    feed = rows.select(*keep, *[field(c).alias(c) for c in names])
-    return feed.withColumn("isDelisted", F.col("isDelisted").try_cast("boolean"))
+    texts = {c: F.when(has(c), field(c)).otherwise("") for c in SIC_FIELDS}
+    texts["listed_sector"] = F.when(has("sector"), field("sector")).otherwise("")
+    feed = rows.select(*keep, *[field(c).alias(c) for c in COMPANY_FIELDS], *[v.alias(c) for c, v in texts.items()])
+    return feed.withColumn("isDelisted", F.when(F.col("isDelisted").isNotNull(), flag(F.col("isDelisted"))))
 
 
 def market_feed(rows: DataFrame) -> DataFrame:
@@ -123,10 +129,25 @@ def bar_feed(rows: DataFrame) -> DataFrame:
     return rows.select(*keep, *[values[c].alias(c) for c in types], millis.alias("millis"))
 
 
+def company_texts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest company landing file, None if the folder has none."""
+    path = latest_file(spark, folder)
+    return landing_texts(spark, path) if path else None
+
+
+def bare_market_texts(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The newest market landing file without its envelope, None if the folder has none."""
+    path = latest_file(spark, folder)
+    if not path:
+        return None
+    bare = F.coalesce(F.get_json_object("value", "$.markets"), F.col("value"))
+    return landing_texts(spark, path).withColumn("value", bare)
+
+
 def read_companies(spark: SparkSession, folder: str) -> DataFrame | None:
     """The newest company landing file as a feed with positions, None if the folder has none."""
-    path = latest_file(spark, folder)
-    return company_feed(records(landing_texts(spark, path))).drop("file") if path else None
+    texts = company_texts(spark, folder)
+    return None if texts is None else company_feed(records(texts)).drop("file")
 
 
 def read_markets(spark: SparkSession, folder: str) -> DataFrame | None:
@@ -134,12 +155,8 @@ def read_markets(spark: SparkSession, folder: str) -> DataFrame | None:
 
     Takes the bare array as well as the enveloped form.
     """
-    path = latest_file(spark, folder)
-    if not path:
-        return None
-    texts = landing_texts(spark, path)
-    bare = F.coalesce(F.get_json_object("value", "$.markets"), F.col("value"))
-    return market_feed(records(texts.withColumn("value", bare))).drop("file")
+    texts = bare_market_texts(spark, folder)
+    return None if texts is None else market_feed(records(texts)).drop("file")
 
 
 def read_bars(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,28 +8,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from quotemart.functions.calendar import day_key
 from quotemart.plans.fact import first_bars
-from quotemart.plans.jobs import load_fact
+from quotemart.plans.jobs import load_fact, report_unreadable
 from quotemart.schemas import SCHEMAS
 from quotemart.sinks.store import Store
-from quotemart.sources import files
 from quotemart.sources.landing import bar_feed, records
 
 BATCH, DAY = "batch", "day"
 
 
-def stream_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bar landing files as a streaming feed with file and position."""
+def stream_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bar landing files as a stream of texts: file, value."""
     texts = (
         spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json").load(folder)
     )
-    return bar_feed(records(texts.select(F.col("_metadata.file_name").alias("file"), "value")))
+    return texts.select(F.col("_metadata.file_name").alias("file"), "value")
 
 
 def log_schema(feed: DataFrame) -> StructType:
@@ -38,26 +37,38 @@ def log_schema(feed: DataFrame) -> StructType:
     return StructType([*feed.schema.fields, *extra])
 
 
-def append_batch(feed: DataFrame, log: str, batch: int) -> DataFrame:
-    """Write one batch to the bar log by day and return its days.
+def append_batch(feed: DataFrame, log: str, batch: int) -> list[int]:
+    """Write one batch to the bar log, by day and then by batch, and return its days.
 
-    The batch number names its folder, so a batch that runs again replaces itself.
+    Overwriting is by partition, so a batch that runs again replaces itself. The days are told by
+    the rows written; there are no more of them than days in the calendar.
     """
-    target = f"{log}/{BATCH}={batch:09d}"
     day = F.coalesce(day_key(F.to_date("timestamp")), F.lit(0))
-    feed.withColumn(DAY, day).write.mode("overwrite").partitionBy(DAY).parquet(target)
-    days = [int(n[len(DAY) + 1 :]) for n in files.names(feed.sparkSession, target) if n.startswith(f"{DAY}=")]
-    return feed.sparkSession.createDataFrame([(d,) for d in days], f"{DAY} int")
+    seen = Observation()
+    tagged = feed.withColumn(DAY, day).withColumn(BATCH, F.lit(f"{batch:09d}")).observe(seen, F.collect_set(DAY).alias("days"))
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(log)
+    return sorted(seen.get["days"])
 
 
-def load_batch(feed: DataFrame, log: str, batch: int, lake_tables: Mapping[str, DataFrame], store: Store) -> None:
-    """Log one batch of bars and rebuild the fact of its days from all logged bars of those days."""
-    spark = feed.sparkSession
+def logged_bars(spark: SparkSession, log: str, schema: StructType, days: list[int]) -> DataFrame:
+    """All logged bars of the given days, and no folder of any other day: the days are constants of the plan."""
+    return spark.read.schema(schema).parquet(log).where(F.col(DAY).isin(days)).drop(DAY, BATCH)
+
+
+def load_batch(texts: DataFrame, log: str, batch: int, lake_tables: Mapping[str, DataFrame], store: Store) -> None:
+    """Log one batch of bars and rebuild the fact of its days from all logged bars of those days.
+
+    The names of files that can't be read are staged for audit.
+    """
+    spark = texts.sparkSession
+    report_unreadable(texts, "bars", store)
+    feed = bar_feed(records(texts))
+    schema = log_schema(feed)
     days = append_batch(feed, log, batch)
-    logged = spark.read.schema(log_schema(feed)).parquet(log)
-    # At most one row per calendar day; prunes the partitions of all other days.
-    bars = logged.join(F.broadcast(days), DAY, "left_semi").select(*feed.columns)
-    load_fact(first_bars(bars).select(*SCHEMAS["bars"].names), lake_tables, store)
+    if days:
+        bars = first_bars(logged_bars(spark, log, schema, days)).select(*SCHEMAS["bars"].names)
+        # Staged once: days, dimensions and fact all read it.
+        load_fact(store.stage("batch_bars", bars, kept=1), lake_tables, store)
 
 
 def follow_bars(
@@ -70,8 +81,8 @@ def follow_bars(
 ) -> StreamingQuery:
     """Load all landing files not seen before, then stop."""
     return (
-        stream_bars(spark, landing)
-        .writeStream.foreachBatch(lambda feed, batch: load_batch(feed, log, batch, lake_tables, store))
+        stream_texts(spark, landing)
+        .writeStream.foreachBatch(lambda texts, batch: load_batch(texts, log, batch, lake_tables, store))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -22,7 +22,7 @@ def test_text(value):
     assert value(X.split_names(F.lit("NYSE, NASDAQ,, \tAMEX\n"))) == ["NYSE", "NASDAQ", "AMEX"]
     assert value(X.split_names(F.lit(""))) == []
     assert value(X.text_id(F.lit("Börse"))) == hashlib.md5("Börse".encode()).hexdigest()
-    assert value(X.industry_text(F.lit(None).cast("string"), F.lit("Banks"))) == "_Banks"
+    assert value(X.industry_text(F.lit(None).cast("string"), F.lit("Banks"))) == "None_Banks"
     assert value(X.clock_text(F.lit("0 days 09:30:00"))) == "09:30:00"
     assert value(X.clock_text(F.lit("NaT"))) is None
     assert value(X.date_token(F.lit("ohlcs_2024_02_29.parquet"))) == "2024_02_29"
@@ -128,5 +128,9 @@ def test_volume_and_flags(value):
     assert value(V.share_volume(F.lit(float("nan")))) is None
     assert value(V.flag(F.lit(None).cast("boolean"))) is False
     assert value(V.flag(F.lit(1))) is True
+    for false in ("", "false", "0", "0.0", "[]", "{}"):
+        assert value(V.flag(F.lit(false))) is False
+    for true in ("no", "true", "2", "-1", "FALSE", " "):
+        assert value(V.flag(F.lit(true))) is True
     assert value(V.present(F.lit(None).cast("string"))) is False
     assert value(V.present(F.lit(""))) is False

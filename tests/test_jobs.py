@@ -26,7 +26,7 @@ from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import database, files
 from quotemart.sources.landing import read_bars
 from quotemart.sources.snapshots import read_snapshot, snapshot_tokens
-from quotemart.streaming.daily import follow_bars
+from quotemart.streaming.daily import append_batch, follow_bars, log_schema, logged_bars
 
 MARKETS = {
     "markets": [
@@ -277,8 +277,30 @@ def test_constraint_failure_raises(spark, store):
         require(constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
 
 
-def test_large_days_are_rebalanced(spark, folder, monkeypatch, rows):
+def test_days_are_spread_over_tasks_by_their_size(monkeypatch):
     monkeypatch.setattr(fact_sink, "ROWS_PER_TASK", 10)
+    assert fact_sink.spread({}, 4) == (1, 1)
+    assert fact_sink.spread({1: 5, 2: 10}, 4) == (2, 1)
+    assert fact_sink.spread({1: 1000, 2: 10}, 4) == (101, 100)
+    assert fact_sink.spread({k: 10 for k in range(300)}, 4) == (300, 1)
+
+
+def test_repeated_rows_and_the_write_share_a_shuffle(spark):
+    bars = spark.range(2000).select(
+        F.concat(F.lit("t"), (F.col("id") % 50).cast("string")).alias("ticker"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 3).cast("int"))).alias("timestamp"),
+    )
+    keys = spark.range(50).select(F.concat(F.lit("t"), "id").alias("ticker"), F.col("id").cast("int").alias("company_key"), F.lit(1).alias("industry_key"), F.lit(1).alias("exchange_key"))
+    got = daily_fact(bars, keys, spread=(16, 8))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.count() == 150 and len(sizes) >= 6 and max(sizes) <= 60
+
+
+def test_written_days_come_back(spark, folder, rows):
     path = folder("fact")
     fact_sink.init_fact(spark, path)
     df = spark.range(100).select(
@@ -289,8 +311,8 @@ def test_large_days_are_rebalanced(spark, folder, monkeypatch, rows):
         F.lit(0).cast("decimal(18,4)").alias("price_change"),
         F.lit("unchanged").alias("price_trend"),
     )
-    touched = df.groupBy("date_key").agg(F.count("*").alias("bars"))
-    assert fact_sink.write_days(df, path, touched) == {"rows": 100, "days": 3, "emptied": 0}
+    sizes = fact_sink.sizes_of(df.groupBy("date_key").agg(F.count("*").alias("bars")))
+    assert fact_sink.write_days(df, path, sizes) == {"rows": 100, "days": 3, "emptied": 0}
     assert rows(fact_sink.read_fact(spark, path)) == rows(df.select(*SCHEMAS[FACT].names))
 
 
@@ -375,3 +397,32 @@ def test_database_options():
         "upperBound": "10",
         "numPartitions": "4",
     }
+
+
+def test_unreadable_files_are_named_in_every_run(spark, land, tmp_path):
+    land("landing/bars", "good.json", [{"T": "A", "t": 1, "o": 1.0, "c": 2.0}])
+    land("landing/bars", "bad.json", '[{"T": "B",')
+    land("landing/companies", "c.json", '{"ticker": "A"}')
+    land("landing/markets", "m.json", {"markets": [{"region": "r", "market_type": "E", "local_open": "09:30", "local_close": "16:00", "primary_exchanges": "X"}]})
+    store, landing = Store(spark, str(tmp_path / "source")), str(tmp_path / "landing")
+    store.init(SOURCE_TABLES)
+    for token in ("2024_01_01", "2024_01_02", "2024_01_03"):
+        counts = publish(spark, landing, store, str(tmp_path / "lake"), token)
+        assert counts["bars"] == 1 and counts["bars_unreadable"] == 1
+    runs = spark.read.parquet(store.path("audit/unreadable"))
+    assert [tuple(r) for r in runs.groupBy("feed", "file").count().collect()] == [("bars", "bad.json", 3)]
+    found = {(r.entity, r.disposition): r["rows"] for r in load_source(spark, landing, store).collect()}
+    assert found["companies", "unreadable"] == 1 and found["regions", "inserted"] == 1 and ("markets", "unreadable") not in found
+
+
+def test_stream_batches_and_single_days_read_only_their_folders(spark, folder):
+    log = folder("log")
+    feed = spark.range(40).select(
+        F.lit("f").alias("file"), F.col("id").cast("int").alias("pos"), (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 4).cast("int"))).alias("timestamp")
+    )
+    assert append_batch(feed, log, 0) == append_batch(feed, log, 0) == [20240101, 20240102, 20240103, 20240104]
+    assert append_batch(feed.where("id % 4 = 1"), log, 1) == [20240102] and append_batch(feed.limit(0), log, 2) == []
+    got = logged_bars(spark, log, log_schema(feed), [20240102])
+    assert got.count() == 20 and got.columns == feed.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0] and "20240102" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+from quotemart.operators.resolve import resolve_industries, resolve_regions, resolve_sic
 from quotemart.plans import normalize
 from quotemart.plans.fact import first_bars
 from quotemart.sources import landing
@@ -112,8 +113,8 @@ def test_first_wins_entities(spark, rows):
         ],
         "pos int, sic string, sector string, industry string, sicSector string, sicIndustry string",
     )
-    assert rows(normalize.sic_industries(feed), "sic", "sicSector", "sicIndustry") == [("1", "s0", "i0"), ("2", "", "i4")]
-    assert rows(normalize.industries(feed), "sector", "industry") == [("", "Chips"), ("Gas", "Chips"), ("Tech", "Chips")]
+    assert rows(normalize.sic_industries(feed), "sic", "sicSector", "sicIndustry") == [("1", "s0", "i0"), ("2", None, "i4")]
+    assert rows(normalize.industries(feed), "sector", "industry") == [("Gas", "Chips"), ("Tech", "Chips"), (None, "Chips")]
 
 
 def test_limit_per_exchange(spark, rows):
@@ -121,3 +122,28 @@ def test_limit_per_exchange(spark, rows):
     assert rows(normalize.limit_per_exchange(feed, 5, 2)) == [(0, "A"), (1, "B"), (2, "A"), (3, "B")]
     for no_limit in (None, 0, -1):
         assert normalize.limit_per_exchange(feed, no_limit, 2).count() == 10
+
+
+def test_null_is_kept_and_absent_is_empty(spark, rows, land):
+    listed = [
+        {"ticker": "A", "sic": "1", "industry": "X", "sector": None, "sicSector": None, "isDelisted": "no"},
+        {"ticker": "B", "sic": "2", "industry": "X", "isDelisted": 0},
+        {"ticker": "C", "sic": "3", "industry": "X", "sector": "S", "sicSector": "T", "sicIndustry": "I", "isDelisted": 2},
+        {"ticker": "D"},
+    ]
+    folder = land("companies", "c.json", listed)
+    feed = landing.read_companies(spark, folder)
+    assert rows(feed, "ticker", "sector", "isDelisted") == [("A", None, True), ("B", None, False), ("C", "S", True), ("D", None, None)]
+    industries = resolve_industries(normalize.industries(feed))
+    assert rows(industries, "industry_sector", "disposition") == [("", "inserted"), ("S", "inserted"), (None, "skipped")]
+    sics = resolve_sic(normalize.sic_industries(feed))
+    assert rows(sics, "sic_id", "sic_sector", "sic_industry", "disposition") == [(1, None, "", "skipped"), (2, "", "", "inserted"), (3, "T", "I", "inserted")]
+    folder = land("markets", "m.json", [{"region": "r1", "market_type": "E", "local_open": None, "local_close": "16:00"}, {"region": "r2", "market_type": "E", "local_open": "9:30", "local_close": "16:00"}])
+    regions = resolve_regions(normalize.regions(landing.read_markets(spark, folder)))
+    assert rows(regions, "region_name", "disposition") == [("r1", "skipped"), ("r2", "inserted")]
+
+
+def test_lists_follow_one_another_whole(spark, rows):
+    lists = [spark.createDataFrame([(i, f"{n}{i}") for i in range(size)], "pos int, name string") for n, size in (("a", 3), ("b", 2), ("c", 2))]
+    assert rows(normalize.join_lists(lists, None)) == [(0, "a0"), (1, "a1"), (2, "a2"), (3, "b0"), (4, "b1"), (5, "c0"), (6, "c1")]
+    assert rows(normalize.join_lists(lists, 3), "name") == [("a0",), ("b0",), ("c0",)]

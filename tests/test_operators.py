@@ -157,8 +157,15 @@ def test_sic_pair_clash_adds_no_row(spark, rows):
         "pos int, sic_id int, sic_industry string, sic_sector string",
     )
     once = upsert_sic(old, new)
-    # Code 2 keeps its pair because code 1 held the new one; code 1 moves on and frees it for code 3.
-    assert rows(once) == [(1, "I9", "S"), (2, "I2", "S"), (3, "I1", "S"), (4, "I4", "S")]
+    # Codes 2 and 3 change nothing because code 1 held their pair; of codes 4 and 5 the first counts.
+    assert rows(once) == [(1, "I9", "S"), (2, "I2", "S"), (4, "I4", "S")]
+
+
+def test_sic_new_code_ahead_of_a_known_one_takes_the_pair(spark, rows):
+    old = spark.createDataFrame([(2, "P2", "S")], "sic_id int, sic_industry string, sic_sector string")
+    batch = "pos int, sic_id int, sic_industry string, sic_sector string"
+    assert rows(upsert_sic(old, spark.createDataFrame([(0, 1, "P", "S"), (1, 2, "P", "S")], batch))) == [(1, "P", "S"), (2, "P2", "S")]
+    assert rows(upsert_sic(old, spark.createDataFrame([(0, 2, "P", "S"), (1, 1, "P", "S")], batch))) == [(2, "P", "S")]
 
 
 def test_resolve_exchanges(spark, rows, regions):
