@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,12 +103,14 @@ def resolve_companies(
     industries: DataFrame,
     sics: DataFrame,
     companies: DataFrame,
+    stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Company rows with exchange, industry and SIC ids and the fate of every row.
 
     Unknown industry or SIC codes give NULL ids; an unknown exchange rejects the row, and so does
     an empty one, because the table needs an exchange. ``known`` tells whether the key was in the
-    table before the batch. Of a new key only the first acceptable row is inserted.
+    table before the batch. Of a new key only the first acceptable row is inserted. The checked rows
+    are read twice; ``stage`` may write them so that the joins run once.
     """
     rows = feed.select(
         "pos",
@@ -150,7 +152,7 @@ def resolve_companies(
         (no_exchange, "skipped", "no exchange"),
         (too_long("companies", bounds), "error", "too long"),
     ]
-    checked = _disposed(joined, checks, F.lit("loaded"))
+    checked = stage(_disposed(joined, checks, F.lit("loaded")))
     insertable = (F.col("disposition") == "loaded") & ~F.col("known")
     marked = mark_first(checked, ["company_ticker", "company_is_delisted"], "pos", "_first", insertable)
     loaded = F.col("disposition") == "loaded"

@@ -68,6 +68,16 @@ def constraints(tables: Mapping[str, DataFrame], names: list[str]) -> list[DataF
     return checks
 
 
+def require_or_revert(store: Store, written: list[str], checks: list[DataFrame]) -> None:
+    """Raise if a constraint is broken, after the tables just written are back at the version before."""
+    try:
+        quality.require(checks)
+    except quality.ConstraintError:
+        for table in written:
+            store.revert(table)
+        raise
+
+
 UNREADABLE = "unreadable"
 
 
@@ -110,6 +120,9 @@ def load_feeds(
     """
     now = F.localtimestamp()
     entities: dict[str, DataFrame] = {}
+    # A feed is parsed once; every entity reads the staged rows.
+    markets = None if markets is None else store.stage("market_feed", markets, kept=1)
+    feed = None if feed is None else store.stage("company_feed", feed, kept=1)
     if markets is not None:
         entities["regions"] = normalize.regions(markets)
         entities["exchanges"] = normalize.exchanges(markets)
@@ -173,11 +186,11 @@ def load_feeds(
         )
     if feed is not None:
         others = [store.read(t) for t in ("exchanges", "industries", "sicindustries", "companies")]
-        staged["companies"] = store.stage("companies", resolve_companies(feed, *others))
+        staged["companies"] = store.stage("companies", resolve_companies(feed, *others, lambda rows: store.stage("companies_checked", rows, kept=1)))
         store.write(
             "companies", merge_companies(store.read("companies"), staged["companies"], STAMPS["companies"], now)
         )
-    quality.require(constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
+    require_or_revert(store, list(staged), constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
     empty = spark.createDataFrame([], "entity string, disposition string, rows bigint")
     return quality.report([empty, *[disposition_counts(name, rows) for name, rows in staged.items()]])
 
@@ -290,6 +303,8 @@ def load_warehouse(
         day = F.to_timestamp_ntz(F.lit(str(trading_date)), F.lit("yyyyMMdd"))
         bars = bars.where((F.col("timestamp") >= day) & (F.col("timestamp") < day + F.expr("INTERVAL '1' DAY")))
     load_dimensions(tables, store, append)
+    changed = [t for t in DIMENSIONS if t != "dim_date"]
+    require_or_revert(store, changed, constraints({t: store.read(t) for t in changed}, changed))
     done = load_fact(bars, tables, store, every_listing, industry_by_name)
-    quality.require(constraints({t: store.read(t) for t in DIMENSIONS}, DIMENSIONS))
+    quality.require(constraints({"dim_date": store.read("dim_date")}, ["dim_date"]))
     return done

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quotemart.operators.upsert import shaped
 from quotemart.schemas import FACT, SCHEMAS
 from quotemart.sinks.snapshots import keep_latest
+from quotemart.sources import files
 from quotemart.sources.snapshots import latest_token, read_snapshot
 
 VERSION = "version"
@@ -41,6 +42,12 @@ class Store:
         """Write the next version of a table and return it as read back."""
         return self._next(table, shaped(df, SCHEMAS[table]))
 
+    def revert(self, table: str) -> None:
+        """Delete the latest version of a table, so that the one before counts again."""
+        last = latest_token(self.spark, self.path(table), VERSION)
+        if last:
+            files.delete(self.spark, f"{self.path(table)}/{VERSION}={last}")
+
     def stage(self, name: str, df: DataFrame, kept: int | None = None) -> DataFrame:
         """Write intermediate rows and return them as read back; all runs are kept for audit, or the last ``kept``.
 

@@ -14,6 +14,7 @@ from quotemart.plans.jobs import (
     init_warehouse,
     load_dimensions,
     load_fact,
+    load_feeds,
     load_source,
     load_warehouse,
     publish,
@@ -426,3 +427,13 @@ def test_stream_batches_and_single_days_read_only_their_folders(spark, folder):
     assert got.count() == 20 and got.columns == feed.columns
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0] and "20240102" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_a_load_that_breaks_a_constraint_leaves_the_former_tables(spark, store):
+    store.init(SOURCE_TABLES)
+    store.write("exchanges", spark.createDataFrame([(1, 99, "NYSE", None)], SCHEMAS["exchanges"]))
+    markets = spark.createDataFrame([(0, "r", "E", "09:30", "16:00", "TSE")], "pos int, region string, market_type string, local_open string, local_close string, primary_exchanges string")
+    with pytest.raises(ConstraintError, match="exchange_region_id"):
+        load_feeds(spark, None, markets, store)
+    assert store.read("regions").count() == 0
+    assert [r.exchange_name for r in store.read("exchanges").collect()] == ["NYSE"]
