@@ -61,7 +61,7 @@ def vocabulary(items: DataFrame, text: str = "text") -> DataFrame:
     """(word, term) for every word of the items; terms count from 1, the end of a document is term 0."""
     found = items.select(F.explode(words(F.col(text))).alias("word")).select(lowered(F.col("word")).alias("word")).distinct()
     numbered = staged(found.withColumn("term", F.monotonically_increasing_id() + 1), "vocabulary")
-    return numbered.union(items.sparkSession.createDataFrame([(END, 0)], "word string, term long"))
+    return numbered.union(items.sparkSession.range(1).select(F.lit(END), F.lit(0).cast("long")))
 
 
 def build_index(docs: DataFrame, terms: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> Index:
