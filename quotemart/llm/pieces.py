@@ -2,13 +2,15 @@
 
 Merges are taken from an agenda, best score first and leftmost first among equals, as the model's own
 library does; at dropout 0 the pieces are the same. With dropout each candidate that comes up is
-skipped if a hash keyed by seed, draw, word and the candidate's turn falls below the rate, so that a
-seed fixes every segmentation on every executor, other seeds give others, and none depends on the
-order of work. Whatever the pieces, they decode to the text they came from.
+skipped if a hash keyed by seed, text, the word's place, word and the candidate's turn falls below the
+rate: every occurrence of a word has its own draw. A seed fixes every segmentation on every executor,
+other seeds give others, and none depends on the order of work. Whatever the pieces, they decode to
+the text they came from.
 
 Texts are cut where no piece of the model reaches across: before space marks, and between letters and
-the signs after them. Merges never cross such a place, so each word is an agenda of its own, and its
-result is kept per worker for the next equal word and draw.
+the signs after them. Merges never cross such a place, so each word is an agenda of its own. What an
+agenda gives depends on the word and the turns skipped before it ends, so a worker keeps results by
+these: occurrences share one only if their draws skip the same turns.
 """
 
 from __future__ import annotations
@@ -16,9 +18,8 @@ from __future__ import annotations
 import heapq
 import re
 from bisect import bisect_right
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,13 +37,18 @@ HELD = "\ud800"
 NEVER = float("inf")
 # Longest word whose agenda is searched from end to end.
 SHORT = 40
-# Results a worker keeps, some 100 MB.
-KEPT = 400_000
+# Results a worker keeps, some 200 MB.
+KEPT = 1_000_000
 # Short words are merged so many at a time, in rows of these widths. The rank of what doesn't merge.
 WIDTHS, TOGETHER = (8, 12, 16, 32), 8_000
 LAST = np.int32(2**31 - 1)
-# A word's draw is its place in the text modulo this, shifted by the text's own hash.
-DRAWS = 3
+# Fewer words than this are merged one by one.
+FEW = 64
+# Turns of a short word that are looked at in one go, those of them drawn first, and turns of 16 bits in a number drawn.
+TURNS, FIRST, PER = 64, 16, 4
+MASK = 2**64 - 1
+# Odd steps between the numbers of neighbouring words and blocks of turns.
+PLACE, BLOCK = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 def word_pattern(pieces: Iterable[str]) -> str:
@@ -88,24 +94,59 @@ class Vocabulary:
         return Vocabulary(pieces, ids, order, first_byte, prefix, word_pattern(ids))
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Evenly spread 64-bit numbers from any, the same from the same; the finalizer of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def salt(word: str) -> int:
+    """A word's part in its keys."""
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+
+
+def drawn(keys: np.ndarray, first: int, last: int, below: int) -> np.ndarray:
+    """Bit ``t`` tells whether a key's turn ``t`` is skipped, for turns from ``first`` to before ``last``, both multiples of ``PER``."""
+    out = np.zeros(len(keys), dtype=np.uint64)
+    for block in range(first // PER, last // PER):
+        numbers = mixed(keys + np.uint64((block + 1) * BLOCK & MASK))
+        for k in range(PER):
+            gone = (numbers >> np.uint64(16 * k)) & np.uint64(0xFFFF) < np.uint64(below)
+            out |= gone.astype(np.uint64) << np.uint64(block * PER + k)
+    return out
+
+
 class Turns:
-    """Which candidates of a word are skipped: a byte of a keyed hash for each turn, below a bound or not."""
+    """Which candidates of an occurrence of a word are skipped: 16 bits of a keyed hash for each turn, below a bound or not."""
 
     def __init__(self, word: str, key: int, below: int):
-        self.raw, self.key, self.below = word.encode("utf-8", "surrogatepass"), key, below
-        self.bits = bytearray(xxhash.xxh3_128_digest(self.raw, key))
-        self.blocks, self.turn = 1, 0
+        self.key = np.array([salt(word) ^ key], dtype=np.uint64)
+        self.below, self.turn, self.bits = below, 0, 0
+
+    def skipped(self) -> bool:
+        """Whether the candidate whose turn it is goes."""
+        at = self.turn % TURNS
+        if not at:
+            # Each window of turns has numbers of its own.
+            self.bits = int(drawn(self.key + np.uint64(self.turn // PER * BLOCK & MASK), 0, TURNS, self.below)[0])
+        self.turn += 1
+        return bool(self.bits >> at & 1)
+
+
+class Skips:
+    """The turns that a mask's bits name are skipped, no others."""
+
+    def __init__(self, mask: int):
+        self.mask, self.turn = mask, 0
 
     def skipped(self) -> bool:
         """Whether the candidate whose turn it is goes."""
-        if self.turn == len(self.bits):
-            self.bits += xxhash.xxh3_128_digest(self.raw, self.key ^ self.blocks)
-            self.blocks += 1
         self.turn += 1
-        return self.bits[self.turn - 1] < self.below
+        return bool(self.mask >> (self.turn - 1) & 1)
 
 
-def segment(word: str, order: dict[str, float], turns: Turns | None = None) -> list[str]:
+def segment(word: str, order: dict[str, float], turns: Turns | Skips | None = None) -> list[str]:
     """Pieces of a word: the agenda's candidates are merged from the best down, but for those skipped.
 
     A skipped candidate comes up again only if a neighbouring merge changes it.
@@ -203,10 +244,10 @@ class Merges:
         out[np.arange(width) >= sizes[:, None]] = -1
         return out
 
-    def segment(self, words: list[str], width: int, skipped: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """Final symbols of the words, a row each, and which words have had more turns than ``skipped`` has columns."""
+    def segment(self, words: list[str], width: int, skipped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Final symbols of the words, a row each, and how many turns they had: one more than ``skipped`` has columns if these are too few."""
         now = self.symbols(words, width)
-        done, over = np.full_like(now, -1), np.zeros(len(words), dtype=bool)
+        done, turns = np.full_like(now, -1), np.zeros(len(words), dtype=np.int64)
         row = np.arange(len(words))
         scores, wholes = self.pairs(now[:, :-1], now[:, 1:])
         turn = 0
@@ -214,20 +255,21 @@ class Merges:
             at = scores.argmin(1)
             each = np.arange(len(row))
             open_ = scores[each, at] != LAST
-            if skipped is not None and turn == skipped.shape[1]:
-                over[row[open_]] = True
-                open_[:] = False
+            if turn == skipped.shape[1]:
+                turns[row[open_]] = turn + 1
+                turns[row[~open_]] = turn
+                done[row] = now
+                break
             if not open_.all():
+                turns[row[~open_]] = turn
                 done[row[~open_]] = now[~open_]
                 row, now, scores, wholes, at = row[open_], now[open_], scores[open_], wholes[open_], at[open_]
                 each = np.arange(len(row))
                 if not len(row):
                     break
-            merging = each
-            if skipped is not None:
-                gone = skipped[row, turn]
-                scores[each[gone], at[gone]] = LAST
-                merging = each[~gone]
+            gone = skipped[row, turn]
+            scores[each[gone], at[gone]] = LAST
+            merging = each[~gone]
             turn += 1
             k = at[merging]
             now[merging, k] = wholes[merging, k]
@@ -246,93 +288,174 @@ class Merges:
             left = k > 0
             s[rows[left], k[left] - 1], w[rows[left], k[left] - 1] = self.pairs(moved[rows[left], k[left] - 1], moved[rows[left], k[left]])
             scores[merging], wholes[merging] = s, w
-        return done, over
+        return done, turns
 
 
 class Encoder:
-    """Encodes texts; keeps what it found for short words."""
+    """Encodes texts; keeps what it found for short words.
+
+    Each word with the turns skipped so far is a node: the word's pieces if no other turn is skipped,
+    and the number of turns until then. The node after the next skipped turn is its child.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, draws: int = DRAWS):
-        if not 0 <= dropout <= 1 or draws < 1:
-            raise ValueError("dropout must be from 0 to 1 and draws at least 1")
+    def __init__(self, vocabulary: Vocabulary, dropout: float = 0.0, seed: int = 0, epoch: int = 1):
+        if not 0 <= dropout <= 1 or epoch < 1:
+            raise ValueError("dropout must be from 0 to 1 and epochs count from 1")
         self.vocabulary, self.merges = vocabulary, Merges(vocabulary)
-        # The rate in 256ths.
-        self.below = round(dropout * 256)
+        # The rate in 65,536ths.
+        self.below = round(dropout * 2**16)
         self.find = re.compile(vocabulary.word).findall
-        self.keys = [xxhash.xxh64_intdigest(b"%d %d" % (seed, k)) for k in range(draws)]
-        self.draws = draws if dropout else 1
+        self.key = xxhash.xxh64_intdigest(b"%d %d" % (seed, epoch))
         self.clear()
 
     def clear(self) -> None:
         """Forget the words found so far."""
-        self.kept: list[dict[str, Sequence[int]]] = [{} for _ in range(self.draws)]
-
-    def ids(self, parts: list[str]) -> tuple[int, ...]:
+        self.roots: dict[str, int] = {}
+        self.children: dict[int, int] = {}
+        # Of each node: its word, skipped turns, and where its ids start; then the ids of all.
+        self.named: list[str] = []
+        self.masks: list[int] = []
+        self.count, self.filled = 0, 0
+        self.salts = np.zeros(1024, dtype=np.uint64)
+        self.turns, self.starts, self.sizes = (np.zeros(1024, dtype=np.int64) for _ in range(3))
+        self.pool = np.zeros(8192, dtype=np.int32)
+
+    def ids(self, parts: list[str]) -> list[int]:
         """Ids of pieces; what is no piece is given byte by byte."""
         get, first, found = self.vocabulary.ids.get, self.vocabulary.first_byte, []
         for p in parts:
             k = get(p)
             found.extend([k] if k is not None else [first + b for b in (MARK if p == HELD else p).encode()])
-        return tuple(found)
-
-    def word(self, word: str, draw: int) -> tuple[int, ...]:
-        """Ids of a word under a draw."""
-        turns = Turns(word, self.keys[draw], self.below) if self.below else None
-        return self.ids(segment(word, self.vocabulary.order, turns))
-
-    def words(self, words: list[str], draw: int) -> None:
-        """Find the ids of short words under a draw, all at once, and keep them."""
-        known, digest, key = self.kept[draw], xxhash.xxh3_128_digest, self.keys[draw]
-        words = sorted(words, key=len)
+        return found
+
+    def word(self, word: str, key: int) -> list[int]:
+        """Ids of a word whose place has this key."""
+        return self.ids(segment(word, self.vocabulary.order, Turns(word, key, self.below) if self.below else None))
+
+    def grow(self, nodes: int, ids: int) -> None:
+        """Make room for so many more nodes and ids."""
+        for name, filled, more in (("salts", self.count, nodes), ("turns", self.count, nodes), ("starts", self.count, nodes), ("sizes", self.count, nodes), ("pool", self.filled, ids)):
+            old = getattr(self, name)
+            if filled + more > len(old):
+                setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, filled + more - len(old)), dtype=old.dtype)]))
+
+    def add(self, words: list[str], masks: list[int], salts: np.ndarray) -> np.ndarray:
+        """Make nodes of short words and their skipped turns, and say which they are."""
+        first, order = self.count, np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
+        out = np.empty(len(words), dtype=np.int64)
+        out[order] = first + np.arange(len(words))
+        words, masks = [words[k] for k in order.tolist()], [masks[k] for k in order.tolist()]
         sizes = list(map(len, words))
         ends = [bisect_right(sizes, width) for width in WIDTHS]
-        fitting = {width: words[a:b] for width, a, b in zip(WIDTHS, (0, *ends), ends, strict=False)}
-        for width, some in ((width, all_[at : at + TOGETHER]) for width, all_ in fitting.items() for at in range(0, len(all_), TOGETHER)):
-            skipped = None
-            if self.below:
-                raw = [w.encode("utf-8", "surrogatepass") for w in some]
-                bits = np.frombuffer(b"".join([digest(r, key ^ n) for r in raw for n in range(-(-width // 16))]), dtype=np.uint8)
-                skipped = bits.reshape(len(some), -1) < self.below
-            symbols, over = self.merges.segment(some, width, skipped)
-            # Most words consist of pieces only; the others, and those with many turns, one by one.
-            odd = over | (symbols >= self.merges.other).any(1)
-            sizes = (symbols >= 0).sum(1)
-            flat = symbols[symbols >= 0].tolist()
-            ends = np.cumsum(sizes).tolist()
-            known.update(zip(some, [flat[a:b] for a, b in zip([0, *ends], ends)]))  # noqa: B905
-            for k in np.flatnonzero(odd).tolist():
-                known[some[k]] = self.word(some[k], draw)
+        self.grow(len(words), 0)
+        self.salts[first : first + len(words)] = salts[order]
+        for width, a, b in zip(WIDTHS, (0, *ends), ends, strict=False):
+            for at in range(a, b, TOGETHER):
+                self.fill(words[at : min(at + TOGETHER, b)], masks[at : min(at + TOGETHER, b)], width)
+        self.named += words
+        self.masks += masks
+        return out
+
+    def fill(self, words: list[str], masks: list[int], width: int) -> None:
+        """Append pieces and numbers of turns of words of up to ``width`` letters, all at once."""
+        count = len(words)
+        if count >= FEW:
+            skipped = np.array(masks, dtype=np.uint64)[:, None] >> np.arange(TURNS, dtype=np.uint64) & np.uint64(1) > 0
+            symbols, turns = self.merges.segment(words, width, skipped)
+            there = symbols >= 0
+            # Most words consist of pieces only; the others one by one.
+            odd = np.flatnonzero((symbols >= self.merges.other).any(1)).tolist()
+            found, sizes = symbols[there], there.sum(1)
+        else:
+            odd, found = range(count), np.zeros(0, dtype=np.int32)
+            turns, sizes = np.zeros((2, count), dtype=np.int64)
+        starts, more = np.cumsum(sizes) - sizes, []
+        for k in odd:
+            skips = Skips(masks[k])
+            own = self.ids(segment(words[k], self.vocabulary.order, skips))
+            turns[k], starts[k], sizes[k] = min(skips.turn, TURNS + 1), len(found) + len(more), len(own)
+            more += own
+        self.grow(count, len(found) + len(more))
+        here = slice(self.count, self.count + count)
+        self.turns[here], self.starts[here], self.sizes[here] = turns, self.filled + starts, sizes
+        for ids in (found, more):
+            self.pool[self.filled : self.filled + len(ids)] = ids
+            self.filled += len(ids)
+        self.count += count
+
+    def follow(self, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The nodes that occurrences with these keys end at, from those of their words; -1 where the turns are too many to look at in one go."""
+        keys = keys ^ self.salts[nodes]
+        masks = drawn(keys, 0, FIRST, self.below)
+        ones = np.uint64(1)
+        before = lambda n: np.where(n >= TURNS, ~np.uint64(0), (ones << np.minimum(n, TURNS - 1).astype(np.uint64)) - ones)
+        out = nodes.copy()
+        at = np.flatnonzero((self.turns[nodes] > FIRST) | (masks & before(self.turns[nodes]) != 0))
+        masks = masks[at] | drawn(keys[at], FIRST, TURNS, self.below)
+        # The masks lose the turns that a node has skipped already.
+        while len(at):
+            turns = self.turns[out[at]]
+            left = masks & before(turns)
+            # Of a node with too many turns, only what lies past its last skip is unknown.
+            out[at[(left == 0) & (turns > TURNS)]] = -1
+            going = left != 0
+            at, masks, left = at[going], masks[going], left[going]
+            if not len(at):
+                break
+            lowest = left & (~left + ones)
+            masks ^= lowest
+            turn = np.log2(lowest.astype(np.float64)).astype(np.int64)
+            steps, which = np.unique(out[at] * TURNS + turn, return_inverse=True)
+            steps = steps.tolist()
+            children = list(map(self.children.get, steps))
+            missing = [k for k, child in enumerate(children) if child is None]
+            if missing:
+                parents = [steps[k] // TURNS for k in missing]
+                skipped = [self.masks[p] | 1 << steps[k] % TURNS for p, k in zip(parents, missing, strict=True)]
+                made = self.add([self.named[p] for p in parents], skipped, self.salts[parents]).tolist()
+                for k, child in zip(missing, made, strict=True):
+                    children[k] = self.children[steps[k]] = child
+            out[at] = np.array(children, dtype=np.int64)[which]
+        return out
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts, which should be about a slice."""
-        if sum(map(len, self.kept)) > KEPT:
+        if self.count > KEPT:
             self.clear()
-        kept, draws, rows = self.kept, self.draws, []
-        missing: list[set[str]] = [set() for _ in range(draws)]
+        words, ends, keys = [], [], []
         for text in texts:
             marked = text.replace(MARK, HELD).replace(" ", MARK)
-            words = self.find(MARK + marked if self.vocabulary.prefix and text else marked)
-            shift = xxhash.xxh32_intdigest(text.encode()) % draws if draws > 1 else 0
-            found: list = [None] * len(words)
-            for k in range(draws):
-                found[k::draws] = map(kept[(shift + k) % draws].get, words[k::draws])
-            gaps = [(k, (shift + k) % draws, words[k]) for k, ids in enumerate(found) if ids is None]
-            for _, draw, word in gaps:
-                missing[draw].add(word)
-            rows.append((found, gaps))
-        for draw, some in enumerate(missing):
-            self.words([w for w in some if len(w) <= WIDTHS[-1]], draw)
-            kept[draw].update((w, self.word(w, draw)) for w in some if len(w) > WIDTHS[-1])
-        out = []
-        for found, gaps in rows:
-            for k, draw, word in gaps:
-                found[k] = kept[draw][word]
-            out.append(np.array(list(chain.from_iterable(found)), dtype=np.int32))
-        # Long words are of no use to later texts and would take much room.
-        for known in kept:
-            for word in [w for w in known if len(w) > WIDTHS[-1]]:
-                del known[word]
-        return out
+            some = self.find(MARK + marked if self.vocabulary.prefix and text else marked)
+            words += some
+            ends.append(len(words))
+            own = xxhash.xxh3_64_intdigest(text.encode(), self.key)
+            keys.append(np.uint64(own) + np.arange(1, len(some) + 1, dtype=np.uint64) * np.uint64(PLACE))
+        keys = mixed(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.uint64)
+        new = set(words).difference(self.roots)
+        missing = [w for w in new if len(w) <= WIDTHS[-1]]
+        if missing:
+            salts = np.fromiter(map(salt, missing), np.uint64, len(missing))
+            self.roots.update(zip(missing, self.add(missing, [0] * len(missing), salts).tolist(), strict=True))
+        long = dict.fromkeys(new.difference(missing), -1)
+        self.roots.update(long)
+        nodes = np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
+        for word in long:
+            del self.roots[word]
+        short = np.flatnonzero(nodes >= 0)
+        if self.below and len(short):
+            nodes[short] = self.follow(nodes[short], keys[short])
+        # Long words, and those with many turns, one by one; a node of no ids stands for them.
+        alone = np.flatnonzero(nodes < 0).tolist()
+        own = [np.array(self.word(words[k], int(keys[k])), dtype=np.int32) for k in alone]
+        pool = np.concatenate([self.pool[: self.filled], *own])
+        starts, sizes = self.starts[nodes], self.sizes[nodes]
+        if alone:
+            sizes[alone] = list(map(len, own))
+            starts[alone] = self.filled + np.cumsum([0, *map(len, own)])[:-1]
+        before = np.cumsum(sizes) - sizes
+        found = pool[np.repeat(starts - before, sizes) + np.arange(sizes.sum())]
+        cuts = np.append(before, sizes.sum())[ends].tolist() if texts else []
+        return [found[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
 
     def text(self, text: str) -> np.ndarray:
         """Ids of a text."""

@@ -104,3 +104,37 @@ def test_bad_rates_are_refused(vocabulary):
     for dropout, draws in ((-0.1, 1), (1.5, 1), (0.1, 0)):
         with pytest.raises(ValueError):
             Encoder(vocabulary, dropout, 0, draws)
+
+
+@pytest.mark.parametrize("dropout", [0.1, 0.6, 0.95])
+def test_words_together_equal_words_one_by_one(vocabulary, dropout):
+    encoder = Encoder(vocabulary, dropout, 3)
+    texts = [" ".join(w.replace("▁", "") for w in words(2000, k)) for k in (1, 2)] + TEXTS
+    for text, got in zip(texts, encoder.texts(texts), strict=True):
+        marked = text.replace("▁", pieces.HELD).replace(" ", "▁")
+        some = encoder.find("▁" + marked if text else marked)
+        own = pieces.xxhash.xxh3_64_intdigest(text.encode(), encoder.key)
+        keys = [int(pieces.mixed(np.array([(own + k * pieces.PLACE) % 2**64], dtype=np.uint64))[0]) for k in range(1, len(some) + 1)]
+        assert got.tolist() == [i for w, k in zip(some, keys, strict=True) for i in encoder.word(w, k)]
+
+
+def test_every_occurrence_has_its_own_draw(vocabulary):
+    # One merge: skipped in a tenth of the places, whatever the seed.
+    for seed in range(5):
+        ids = Encoder(vocabulary, 0.1, seed).text(" ".join("a" * 8000))
+        whole = Encoder(vocabulary).text("a").tolist()
+        assert len(whole) == 1 and 0.08 < 1 - (ids == whole[0]).sum() / 8000 < 0.12
+    # Many merges: as many kinds of pieces, and as often the usual ones, as with random numbers.
+    rng, word = random.Random(0), "▁unbelievable"
+    drawn = [tuple(segment(word, vocabulary.order, type("", (), {"skipped": lambda _: rng.random() < 0.1})())) for _ in range(8000)]
+    ids = Encoder(vocabulary, 0.1, 1).text(" ".join(["unbelievable"] * 8000)).tolist()
+    got, some = [], ""
+    for k in ids:
+        some += vocabulary.pieces[k].decode() + "|"
+        if len(some.replace("|", "")) == len(word):
+            got.append(some)
+            some = ""
+    usual = "".join(p + "|" for p in segment(word, vocabulary.order)).replace("▁", " ")
+    want = ["".join(p + "|" for p in d).replace("▁", " ") for d in drawn]
+    assert len(got) == 8000 and abs(got.count(usual) - want.count(usual)) < 300
+    assert len(set(got)) > 0.7 * len(set(want)) > 40
