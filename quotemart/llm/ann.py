@@ -7,8 +7,11 @@ among its nearest. A query reads the files of its own nearest pivots: what two l
 summed over the files, is their footrule distance subtracted from its greatest value. The share of a
 block's vectors that is nearest by footrule is ranked anew by the exact inner product.
 
-Before pivots are looked up, vectors get one more component that makes them all equally long, and
-queries a zero there, so that the largest inner product is the smallest angle.
+Before pivots are looked up, the vectors of a block get one more component that makes them all
+equally long, and queries a zero there, so that the largest inner product is the smallest angle. That
+component must be small, or all vectors have nearly the same pivots: a block holds vectors of one
+band of lengths and is lengthened to its own greatest. Bands with few vectors share blocks that are
+ranked in full.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ K, EVERY = 20, 20
 PIVOTS, NEAREST, BAND, SHARE, LEAST = 256, 128, 16, 0.05, 100
 # Vectors and queries that one task compares at a time.
 ROWS, QUERIES = 4096, 4096
+# Lengths in a band differ by this factor at most; bands of fewer vectors have no block of their own.
+STEP, DENSE = 1.1, 1024
 
 
 def pivots(size: int, number: int = PIVOTS, seed: int = 1) -> np.ndarray:
@@ -44,6 +49,25 @@ def ordered(vectors: np.ndarray, marks: np.ndarray, nearest: int) -> np.ndarray:
     return np.argsort(-(vectors @ marks.T), axis=1, kind="stable")[:, :nearest]
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors divided by the length of the longest of them, whose squares may exceed all doubles."""
+    greatest = np.abs(vectors).max(1, keepdims=True)
+    parts = vectors / greatest
+    logs = np.log(greatest) + np.log((parts**2).sum(1, keepdims=True)) / 2
+    return parts / np.sqrt((parts**2).sum(1, keepdims=True)) * np.exp(logs - logs.max())
+
+
+def products(vectors: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Inner products; those beyond all doubles are infinite."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = vectors @ vector
+        odd = ~np.isfinite(out)
+        if odd.any():
+            # Sums whose parts exceed the doubles though the whole may not.
+            out[odd] = (vectors[odd].astype(np.longdouble) * vector.astype(np.longdouble)).sum(1).astype(np.float64)
+    return out
+
+
 class Block:
     """The inverted files of a block of vectors."""
 
@@ -78,16 +102,22 @@ class Block:
 
 
 def compared(rows: pd.DataFrame, queries: pd.DataFrame, k: int, share: float, least: int) -> pd.DataFrame:
-    """The best ``k`` of a block's vectors for each query of a block of queries, by exact inner product."""
+    """The best ``k`` of a block's vectors for each query of a block of queries, by exact inner product.
+
+    Blocks with odd numbers of parts hold lengths of all kinds: all their vectors are ranked.
+    """
     out: list[pd.DataFrame] = []
     if len(rows) and len(queries):
         vectors = np.stack(rows["vector"].to_numpy()).astype(np.float64)
         asked = np.stack(queries["asked"].to_numpy()).astype(np.float64)
         ids = rows["vec_id"].to_numpy(np.int64)
-        found = Block(vectors, float(rows["most"].iloc[0])).search(asked, share, least)
+        if rows["part"].iloc[0] % 2:
+            found = [np.arange(len(vectors))] * len(asked)
+        else:
+            found = Block(scaled(vectors), 1.0).search(asked / np.abs(asked).max(1, keepdims=True), share, least)
         for query, vector, places in zip(queries["query_id"].to_numpy(np.int64), asked, found, strict=True):
             places = places[ids[places] != query]
-            scores = vectors[places] @ vector
+            scores = products(vectors[places], vector)
             best = np.lexsort((ids[places], -scores))[:k]
             out.append(pd.DataFrame({"query_id": query, "vec_id": ids[places][best], "score": scores[best]}))
     empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
@@ -117,27 +147,45 @@ def search(
 
     All vectors are indexed and compared with every query of the same number of components, in blocks
     of both, so that a task's memory doesn't grow with the tables; the query itself is no candidate.
-    Scores are exact, ties go to the smaller id; a query with fewer candidates gets all of them.
+    Scores are exact, infinite beyond all doubles; ties go to the smaller id; a query with fewer
+    candidates gets all of them.
     """
-    rows = staged(valid(vectors, vec_id, vector).withColumn("size", F.size("vector")), "vectors")
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    # One row for each number of components that occurs.
-    sizes = rows.groupBy("size").agg(F.max(length).alias("most"), F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("asked"))
-    sizes = sizes.select("size", "most", F.ceil(F.col("n") / ROWS).cast("int").alias("blocks"), F.ceil(F.col("asked") / QUERIES).cast("int").alias("asking"))
-    sized = rows.join(F.broadcast(sizes.where("asking > 0")), "size")
+    # Components are divided by the greatest before they are squared: no square exceeds the doubles.
+    greatest = F.array_max(F.transform("vector", F.abs))
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("greatest")) * (x / F.col("greatest")))
+    band = F.floor((F.log("greatest") + F.log(squares) / 2) / float(np.log(STEP)) + 0.5).cast("int")
+    rows = valid(vectors, vec_id, vector).withColumn("size", F.size("vector")).withColumn("greatest", greatest).withColumn("band", band)
+    rows = staged(rows.drop("greatest"), "vectors")
+    # One row for each number of components and band that occurs; doubles have some 15,000 bands.
+    bands = rows.groupBy("size", "band").agg(F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("asked"))
+    bands = bands.withColumn("sparse", F.when(F.col("n") < DENSE, F.col("n")).otherwise(0))
+    before = F.sum("sparse").over(Window.partitionBy("size").orderBy("band")) - F.col("sparse")
+    # A band of its own has an even number; sparse bands are put together to some ``ROWS`` vectors and have odd ones.
+    part = F.when(F.col("sparse") == 0, F.col("band") * 2).otherwise(F.floor(before / ROWS).cast("int") * 2 + 1)
+    blocks = F.when(F.col("sparse") == 0, F.ceil(F.col("n") / ROWS).cast("int")).otherwise(1)
+    asking = F.ceil(F.sum("asked").over(Window.partitionBy("size")) / QUERIES).cast("int")
+    bands = bands.select("size", "band", part.alias("part"), blocks.alias("blocks"), asking.alias("asking")).where("asking > 0")
+    sized = rows.join(F.broadcast(bands), ["size", "band"])
     every_block = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     own_block = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
-    candidates = sized.select("size", own_block("blocks").alias("block"), every_block("asking").alias("asking_block"), "vec_id", "vector", "most")
-    queries = sized.where(F.col("vec_id") % every == 0).select(
-        F.col("size").alias("like"),
-        every_block("blocks").alias("beside"),
-        own_block("asking").alias("asking_beside"),
-        F.col("vec_id").alias("query_id"),
-        F.col("vector").alias("asked"),
+    candidates = sized.select("size", "part", own_block("blocks").alias("block"), every_block("asking").alias("asking_block"), "vec_id", "vector")
+    # All blocks of a number of components, for its queries.
+    places = bands.select("size", "part", every_block("blocks").alias("block")).groupBy("size").agg(F.collect_set(F.struct("part", "block")).alias("places"))
+    queries = (
+        sized.where(F.col("vec_id") % every == 0)
+        .join(F.broadcast(places), "size")
+        .select(
+            F.col("size").alias("like"),
+            F.explode("places").alias("beside"),
+            own_block("asking").alias("asking_beside"),
+            F.col("vec_id").alias("query_id"),
+            F.col("vector").alias("asked"),
+        )
+        .select("like", F.col("beside.part").alias("part_beside"), F.col("beside.block").alias("beside"), "asking_beside", "query_id", "asked")
     )
     found = (
-        candidates.groupBy("size", "block", "asking_block")
-        .cogroup(queries.groupBy("like", "beside", "asking_beside"))
+        candidates.groupBy("size", "part", "block", "asking_block")
+        .cogroup(queries.groupBy("like", "part_beside", "beside", "asking_beside"))
         .applyInPandas(lambda a, b: compared(a, b, k, share, least), "query_id long, vec_id long, score double")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))

@@ -87,3 +87,37 @@ def test_more_blocks_change_no_full_answer(spark, monkeypatch):
     monkeypatch.setattr(ann, "ROWS", 40)
     monkeypatch.setattr(ann, "QUERIES", 4)
     assert recall(answers(search(spark.createDataFrame(rows, SCHEMA))), brute(rows)) == 1.0
+
+
+@pytest.mark.parametrize("times", [10, 1000, 1e30])
+def test_a_few_long_vectors_leave_the_others_apart(spark, times):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(6000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[[1, 7, 4321]] *= times
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)]
+    got, want = answers(search(spark.createDataFrame(rows, SCHEMA), every=100)), brute(rows, every=100)
+    assert recall(got, want) >= 0.95 and got.keys() == want.keys()
+
+
+def test_lengths_of_every_kind(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(6000, 16)) * np.exp(rng.normal(size=(6000, 1)))
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)]
+    assert recall(answers(search(spark.createDataFrame(rows, SCHEMA), every=100)), brute(rows, every=100)) >= 0.95
+
+
+def test_values_whose_squares_exceed_all_doubles(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = [(k, [float(x) for x in v], 0) for k, v in enumerate(vectors)]
+    table = lambda more: spark.createDataFrame(rows + more, "vec_id long, embedding array<double>, label int")
+    huge = [(3001, [1e200] * 32, 0), (3003, [-1.7e308] * 16 + [1.7e308] * 16, 0)]
+    got = answers(search(table(huge), every=100))
+    for q in range(0, 3000, 100):
+        scores = vectors @ vectors[q]
+        best = [i for i in np.argsort(-scores) if i != q][:18]
+        found = [i for i, _ in got[q]]
+        high = {i for i, v, _ in huge if float(np.dot(v, vectors[q])) > 0}
+        assert high <= set(found) and len(set(best) & set(found)) >= 15
