@@ -5,7 +5,9 @@ out (i d i o t). A piece of text that may be disguised becomes a lattice: at eac
 that the sign there can stand for, the sign as a word's end, one or two letters for a run of equal
 ones, and nothing or a word's end for a separator. The Viterbi path under the channel's
 probabilities and a letter trigram model of the whole corpus is the restored text. Elsewhere the
-lattice has a single path, the text as it is, and nothing is decoded.
+lattice has a single path, the text as it is, and nothing is decoded. A token's signs may as well all
+be letters (1d107), which the letter model alone would rather take for ends of words; the words so
+read count besides.
 
 Restored words and their stems are weighed by how surely they mark a document as toxic: the lower
 confidence bound of the share of toxic documents among those with them. A word is counted once for
@@ -55,13 +57,15 @@ CODES = bytes(c - 64 if 65 <= c <= 90 else c - 96 if 97 <= c <= 122 else 27 if c
 
 SIGNS = re.escape("".join(c for c in LOOKALIKES))
 SEPARATORS = r" \t.\-_*~/\\"
-# Spaced-out letters; letters around a lookalike; a lookalike before letters; three equal letters.
+# Spaced-out letters; tokens of letters and lookalikes, at least one of each; three equal letters.
+MIXED = rf"(?<![^\W\d_])(?<![{SIGNS}])(?:[^\W\d_]++[{SIGNS}]|[{SIGNS}]++[^\W\d_])(?:[^\W\d_]|[{SIGNS}])*+"
 DISGUISED = re.compile(
     rf"(?<![^\W_])(?:[^\W\d_]|[{SIGNS}])(?:[{SEPARATORS}]{{1,3}}(?:[^\W\d_]|[{SIGNS}])(?![^\W_])){{2,}}"
-    rf"|(?<![^\s\"'(\[])[{SIGNS}]{{0,2}}[a-z]+(?:[{SIGNS}]{{1,3}}[a-z]+)+[0-9@$]{{0,3}}(?![^\W_])"
-    rf"|(?<![^\s\"'(\[])[0-9@$!|+(]{{1,2}}[a-z]{{2,}}[0-9@$]{{0,3}}(?![^\W_])"
-    rf"|[a-z]*([a-z])\1\1[a-z]*"
+    rf"|{MIXED}"
+    rf"|(?<![^\W\d_])[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*"
 )
+# A token, and its signs that may be mere punctuation before and after it.
+TOKEN, BEFORE, AFTER = re.compile(MIXED), re.compile(r"[^\w]*"), re.compile(r"[^\w]*$")
 WORD = re.compile(r"[^\W\d_]+")
 # The channel's probabilities.
 CHANNEL = {"letter": 0.0, "lookalike": log(0.3), "end": log(0.1), "dropped": log(0.5), "parted": log(0.2), "once": log(0.6), "twice": log(0.3)}
@@ -69,13 +73,13 @@ CHANNEL = {"letter": 0.0, "lookalike": log(0.3), "end": log(0.1), "dropped": log
 LONGEST = 200
 
 
-def decode(piece: str, model: np.ndarray) -> str:
-    """The likeliest text behind a disguised piece, in lower case."""
-    return "".join(_decode(piece[k : k + LONGEST], model) for k in range(0, len(piece), LONGEST))
+def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
+    """The likeliest text behind a disguised piece, in lower case; ``ends``: signs may end words."""
+    return "".join(_decode(piece[k : k + LONGEST], model, ends) for k in range(0, len(piece), LONGEST))
 
 
-def lattice(piece: str) -> list[list[tuple[str, float]]]:
-    """For each place the texts that may stand behind it, with the logarithms of the channel's probabilities."""
+def lattice(piece: str, ends: bool = True) -> list[list[tuple[str, float]]]:
+    """For each place the texts that may stand behind it, with the logarithms of the channel's probabilities; ``ends``: signs may end words."""
     places, at = [], 0
     spaced = bool(re.match(rf"\W*\w[{SEPARATORS}]", piece))
     while at < len(piece):
@@ -89,10 +93,11 @@ def lattice(piece: str) -> list[list[tuple[str, float]]]:
                 places.extend([[(c, CHANNEL["letter"])]] * run)
         elif c in LOOKALIKES and not (spaced and c in "*" and 0 < at < len(piece) - 1):
             each = [(x, CHANNEL["lookalike"] - log(len(LOOKALIKES[c]))) for x in LOOKALIKES[c]]
+            end = [(" ", CHANNEL["end"])] if ends else []
             if run >= 3:
-                places.append([*each, *((x * 2, p + CHANNEL["twice"]) for x, p in each), (" ", CHANNEL["end"])])
+                places.append([*each, *((x * 2, p + CHANNEL["twice"]) for x, p in each), *end])
             else:
-                places.extend([[*each, (" ", CHANNEL["end"])]] * run)
+                places.extend([[*each, *end]] * run)
         elif spaced:
             places.append([("", CHANNEL["dropped"]), (" ", CHANNEL["parted"])])
         else:
@@ -101,19 +106,20 @@ def lattice(piece: str) -> list[list[tuple[str, float]]]:
     return places
 
 
-def _decode(piece: str, model: np.ndarray) -> str:
+def _decode(piece: str, model: np.ndarray, ends: bool) -> str:
     # State: the last two symbols; its value: log probability and the text so far as a linked list.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for choices in [*lattice(piece), [(" ", 0.0)]]:
+    for choices in [*lattice(piece, ends), [(" ", 0.0)]]:
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (value, said) in states.items():
             for text, chance in choices:
                 x, y, total = a, b, value + chance
                 for c in text:
-                    s = SYMBOL.get(c, 0 if c == " " else 27)
-                    if s or y:
-                        total += model[x, y, s]
-                    x, y = y, s
+                    # The model counts other letters by their bytes.
+                    for s in [SYMBOL[c]] if c in SYMBOL else [0] if c == " " else [27] * len(c.encode("utf-8", "surrogatepass")):
+                        if s or y:
+                            total += model[x, y, s]
+                        x, y = y, s
                 if (x, y) not in after or total > after[x, y][0]:
                     after[x, y] = (total, (said, text) if text else said)
         states = after
@@ -124,6 +130,17 @@ def _decode(piece: str, model: np.ndarray) -> str:
     return "".join(reversed(parts)).strip()
 
 
+def spelt(token: str, model: np.ndarray) -> set[str]:
+    """The likeliest words if all signs of a token are letters, with and without punctuation before and after."""
+    if not TOKEN.fullmatch(token):
+        return set()
+    start, stop = BEFORE.match(token).end(), AFTER.search(token).start()
+    # All of it, the outermost sign, all but the innermost or none may be punctuation.
+    firsts, lasts = {0, min(1, start), max(start - 1, 0), start}, {stop, min(stop + 1, len(token)), max(len(token) - 1, stop), len(token)}
+    cores = {core for a in firsts for b in lasts if TOKEN.fullmatch(core := token[a:b])}
+    return {w for core in cores for w in WORD.findall(decode(core, model, ends=False))}
+
+
 def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of symbol triples over all texts; each task sends at most one row for each triple."""
 
@@ -161,6 +178,18 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.decode = lru_cache(maxsize=20_000)(lambda piece: decode(piece, model))
+        self.spelt = lru_cache(maxsize=20_000)(lambda piece: spelt(piece, model))
+
+    def words(self, text: str | None) -> set[str]:
+        """The words of the restored text, and those that signs spell if all are letters."""
+        pieces = set()
+
+        def restored(m: re.Match) -> str:
+            pieces.add(m[0])
+            return self.decode(m[0])
+
+        found = set(WORD.findall(DISGUISED.sub(restored, (text or "").lower())))
+        return found.union(*map(self.spelt, pieces))
 
     def __call__(self, text: str | None) -> str:
         """The text in lower case with its disguised pieces decoded."""
@@ -230,7 +259,7 @@ def marks_of(word: str) -> list[str]:
 def rate(text: str | None, model: Model, restore: Restorer) -> float:
     """Chance that a text is toxic."""
     get, best = model.marked.get, {}
-    for word in set(WORD.findall(restore(text))):
+    for word in restore.words(text):
         sure = max([get(m, 0.0) for m in marks_of(word)])
         if sure:
             best[word[:STEM]] = max(sure, best.get(word[:STEM], 0.0))

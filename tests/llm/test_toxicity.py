@@ -133,3 +133,38 @@ def test_odd_rows_and_empty_tables(spark):
     got = toxicity.scored(docs, model).collect()
     assert len(got) == 6 and all(r.score == pytest.approx(toxicity.BASE) for r in got)
     assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), labels, F.lit(True))).collect() == []
+
+
+@pytest.fixture(scope="module")
+def more_letters(spark):
+    """A letter model of texts in which the words of the next test occur, with accented letters."""
+    words = ["débile", "shit", "asshole", "idiots", "tête", "été", "großer"]
+    texts = [(text + " " + " ".join(words * 3),) for _, text, _ in corpus()]
+    return letter_model(toxicity.letter_counts(spark.createDataFrame(texts, "text string")))
+
+
+@pytest.mark.parametrize(
+    "piece,word",
+    [("1d107", "idiot"), ("1d1075", "idiots"), ("idi07", "idiot"), ("idio7", "idiot"), ("5h17", "shit"), ("455h0l3", "asshole"), ("déb1le", "débile"),
+     ("DÉB1L3", "débile"), ("$7up1d", "stupid"), ("7ê7e", "tête")],
+)
+def test_signs_in_any_order_and_number_reach_the_lattice(more_letters, piece, word):
+    assert toxicity.DISGUISED.fullmatch(piece.lower())
+    assert Restorer(more_letters)(f"You, {piece}.") == f"you, {word}."
+
+
+def test_marks_count_though_the_letter_model_prefers_ends():
+    # Letters that know no difference: an end costs least.
+    flat = letter_model(np.ones((SYMBOLS,) * 3))
+    flat[:, :, toxicity.SYMBOL["l"]] -= 1
+    model, restore = Model(flat, {"idiot$": 0.9, "stupid$": 0.9}), Restorer(flat)
+    for text in ("you 1d107", "1d10t!!", "($7up1d)", "idi07.", "1D10T***"):
+        assert rate(text, model, restore) > 0.7, text
+    for text in ("the!! 10th", "stup id!", "a1 b2 c3"):
+        assert rate(text, model, restore) == pytest.approx(toxicity.BASE), text
+
+
+def test_tokens_without_letters_or_signs_are_no_pieces():
+    for text in ("2024, 10%, (12)", "Über été niño don't", "1" * 50_000, "aa éé"):
+        assert not toxicity.DISGUISED.search(text.lower())
+    assert [m[0] for m in toxicity.DISGUISED.finditer("see débiiile, x-1d10t_ and 5h17.")] == ["débiiile", "1d10t", "5h17"]
