@@ -69,13 +69,6 @@ TOKEN, BEFORE, AFTER = re.compile(MIXED), re.compile(r"[^\w]*"), re.compile(r"[^
 WORD = re.compile(r"[^\W\d_]+")
 # The channel's probabilities.
 CHANNEL = {"letter": 0.0, "lookalike": log(0.3), "end": log(0.1), "dropped": log(0.5), "parted": log(0.2), "once": log(0.6), "twice": log(0.3)}
-# Longer pieces are decoded in parts of this many signs, cut anywhere; words are far shorter.
-LONGEST = 200
-
-
-def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
-    """The likeliest text behind a disguised piece, in lower case; ``ends``: signs may end words."""
-    return "".join(_decode(piece[k : k + LONGEST], model, ends) for k in range(0, len(piece), LONGEST))
 
 
 def lattice(piece: str, ends: bool = True) -> list[list[tuple[str, float]]]:
@@ -106,7 +99,11 @@ def lattice(piece: str, ends: bool = True) -> list[list[tuple[str, float]]]:
     return places
 
 
-def _decode(piece: str, model: np.ndarray, ends: bool) -> str:
+def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
+    """The likeliest text behind a disguised piece, in lower case; ``ends``: signs may end words.
+
+    Time and memory are in proportion to the piece.
+    """
     # State: the last two symbols; its value: log probability and the text so far as a linked list.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     for choices in [*lattice(piece, ends), [(" ", 0.0)]]:

@@ -168,3 +168,12 @@ def test_tokens_without_letters_or_signs_are_no_pieces():
     for text in ("2024, 10%, (12)", "Über été niño don't", "1" * 50_000, "aa éé"):
         assert not toxicity.DISGUISED.search(text.lower())
     assert [m[0] for m in toxicity.DISGUISED.finditer("see débiiile, x-1d10t_ and 5h17.")] == ["débiiile", "1d10t", "5h17"]
+
+
+def test_long_pieces_are_decoded_in_one_pass(letters):
+    spaced = lambda words: "   ".join(" ".join(w) for w in words)
+    words = ["idiot", "worthless"]
+    assert decode(spaced(words), letters).split() == words
+    for shift in range(6):
+        piece = "s " * shift + "  " + spaced(words * 60)
+        assert decode(piece, letters).split()[-100:] == words * 50
