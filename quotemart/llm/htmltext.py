@@ -257,7 +257,7 @@ def containers(blocks: list[tuple[Node, str, int]], nodes: list[Node]) -> list[N
                 kept.append(child)
             elif child.tag in HEADINGS and density < 0.5:
                 kept.append(child)
-            elif child.tag in ("p", "pre", "blockquote", "ul", "ol", "dl", "table", "figure") and best.tag not in ("article", "main"):
+            elif child.tag in ("div", "section", "p", "pre", "blockquote", "ul", "ol", "dl", "table", "figure") and best.tag not in ("article", "main"):
                 if density < FEW_LINKS and (child.chars >= PROSE or density == 0):
                     kept.append(child)
     return kept

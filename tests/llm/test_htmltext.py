@@ -82,3 +82,12 @@ def test_extracted_rows(spark):
     got = sorted((tuple(r) for r in extracted(pages).collect()), key=repr)
     want = [(1, "u", PROSE, len(PROSE)), (2, None, "", 0), (3, "u", "", 0), (None, "u", "é<&" * 40, 120), (1, "u", PROSE, len(PROSE))]
     assert got == sorted(want, key=repr) and extracted(pages.limit(0)).collect() == []
+
+
+def test_an_article_split_over_unequal_parts_stays_whole():
+    long, short = "word, " * 2 + "a" * 288, "b" * 150
+    for tag in ("div", "section"):
+        a, b = "".join(f"<p>{long}</p>" for _ in range(6)), f"<p>{short}</p>" * 2
+        links = '<a href="x">' + "c" * 200 + "</a>"
+        got = main_text(f"<body><div><{tag}>{a}</{tag}><{tag}>{b}</{tag}><{tag}>{links} d</{tag}></div></body>")
+        assert got.count(short) == 2 and got.count("word") == 12 and "c" * 200 not in got
