@@ -24,8 +24,6 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15
 # Letters of a segment, about; steps of the estimation; the penalty of a language more, in units of log(segments + 1).
 SEGMENT, STEPS, PENALTY = 40, 12, 3.0
-# Sets of languages are compared up to this size, beside the set of all.
-MOST = 4
 # Weight of the triple counts' prior, in triples.
 PRIOR = 0.5
 # Letters: ASCII letters, and bytes beyond ASCII of letters; other bytes end a word.
@@ -132,7 +130,7 @@ def mixtures(texts: list[str | None], model: Model) -> np.ndarray:
     penalty = PENALTY * np.log(segments + 1)
     best = best - penalty * languages
     chosen = share
-    for size in range(1, min(MOST, languages - 1) + 1):
+    for size in range(1, languages):
         with_, value = estimate(likely, of, starts, (rank < size).astype(np.float64))
         value = value - penalty * size
         better = value > best

@@ -71,3 +71,16 @@ def test_many_small_slices_change_nothing(spark, monkeypatch):
     model, rng = learnt(spark), random.Random(4)
     texts = [say(rng.choice(list(SYLLABLES)), rng.randint(0, 80), rng) for _ in range(40)]
     assert np.allclose(mixtures(texts, model), np.concatenate([mixtures([t], model) for t in texts]))
+
+
+def test_any_number_of_languages_is_tried():
+    # Seven languages with buckets of their own, a text with even shares of five of them.
+    texts = [" ".join([f"{c}" * 60] * 12) for c in "abcdefg"]
+    names = list("abcdefg")
+    table = np.full((language.BUCKETS, 7), -12.0)
+    for k, text in enumerate(texts):
+        table[np.unique(triples([text])[0]), k] = -1.0
+    # The other two say nearly as much of each, so that they keep a trace of a share in the set of all.
+    table[:, 5:] = -1.5
+    share = mixtures([" ".join(texts[:5])], language.Model(names, table.astype(np.float32)))[0]
+    assert (share[:5] > 0.1).all() and (share[5:] == 0).all()
