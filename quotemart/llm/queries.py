@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotemart.llm import ann, decontaminate, htmltext, language, pieces, quality, sharding, simhash, sql, toxicity, warc
+from quotemart.llm import (
+    ann,
+    decontaminate,
+    divergence,
+    htmltext,
+    jaccard,
+    language,
+    merkle,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    sql,
+    toxicity,
+    warc,
+)
 from quotemart.llm.common import fold, given
 
 
@@ -94,6 +109,23 @@ def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(given(spark, folder, "embeddings"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Set size and class of similar documents of every document."""
+    return jaccard.classes(given(spark, folder, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proof of every document, and whether a copy without some line feeds still proves."""
+    even = fold(F.col("doc_id"), 2) == 0
+    bare = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.audited(given(spark, folder, "documents"), {"text": bare})
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the terms it overuses."""
+    return divergence.audited(given(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_mixture": op2_language_mixture,
@@ -105,9 +137,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_html_extraction": op9_html_extraction,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_ngram_jaccard_join": op11_ngram_jaccard_join,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
     "op3_benchmark_decontamination": sql.DECONTAMINATION,
     "op6_warc": sql.ARCHIVES,
+    "op11_ngram_jaccard_join": sql.JACCARD,
+    "op12_merkle_manifest": sql.MANIFEST,
+    "op13_source_divergence": sql.DIVERGENCE,
 }

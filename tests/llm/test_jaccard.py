@@ -1,0 +1,160 @@
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quotemart.llm import jaccard, sql
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def brute_sets(texts, words=5):
+    found = []
+    for text in texts:
+        cut = (text or "").encode().lower().split()
+        found.append({tuple(cut[k : k + words]) for k in range(max(len(cut) - words + 1, 1))} if cut else set())
+    return found
+
+
+def brute_links(sets, percent=80):
+    return {
+        (i, j)
+        for j in range(len(sets))
+        for i in range(j)
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    }
+
+
+def brute_classes(ids, sets, percent=80):
+    root = list(range(len(ids)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, j in brute_links(sets, percent):
+        root[find(j)] = find(i)
+    low = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            low[find(k)] = min(low.get(find(k), i), i)
+    return [low.get(find(k)) for k in range(len(ids))]
+
+
+def texts():
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(400)] + ["ÄRGER", "Niño", " x"]
+    passage = " ".join(rng.choices(vocabulary, k=60))
+    out = []
+    for _ in range(30):
+        base = rng.choices(vocabulary, k=rng.randint(3, 300))
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 4)):
+            copy = list(base)
+            for _ in range(rng.randint(0, max(1, len(copy) // 60))):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            out.append(" ".join(copy))
+    # A passage that many texts share, as a small and as the greater part of them.
+    out += [f"{passage} {' '.join(rng.choices(vocabulary, k=rng.choice([3, 8, 15, 60])))}" for _ in range(40)]
+    # A dense group, of which some members are near to some others only.
+    template = rng.choices(vocabulary, k=120)
+    for _ in range(50):
+        copy = list(template)
+        for place in rng.sample(range(120), rng.randint(0, 4)):
+            copy[place] = rng.choice(vocabulary)
+        out.append(" ".join(copy))
+    return out
+
+
+EDGES = [None, None, "", " \t\n\x0b", "One", "one", "ONE two", "one  two", "a b c d e", "A b c\td e", "a b c d e f", "x" * 300_000, "a b " * 9_000, "b a " * 9_000]
+
+
+def test_sets_are_those_of_the_words():
+    rng = random.Random(1)
+    given = texts()[:60] + EDGES + [" ".join(rng.choices("ab", k=rng.randint(1, 12))) for _ in range(60)]
+    for words in (1, 2, 5):
+        got, want = jaccard.shingle_sets(given, words), brute_sets(given, words)
+        assert [len(s) for s in got] == [len(s) for s in want]
+        for i in range(0, len(given), 7):
+            for j in range(len(given)):
+                assert len(np.intersect1d(got[i], got[j])) == len(want[i] & want[j])
+
+
+def test_prefix_is_lengthened_where_lists_are_long():
+    assert jaccard.cheapest(np.array([2] * 5), 5, 4) == 1
+    rare_then_hot = np.array([2] * 110 + [1000] * 390)
+    assert jaccard.cheapest(rare_then_hot, 500, 400) < jaccard.cheapest(np.array([1000] * 500), 500, 400) == jaccard.MOST
+    assert jaccard.cheapest(np.array([2]), 1, 1) == 1
+
+
+def rows_of(spark, given):
+    rows = [(k * 7 % 997, t, None, "s", None) for k, t in enumerate(given)]
+    return rows + [(None, "all alone here it stands", None, None, None), rows[3], rows[3]]
+
+
+def test_classes_equal_brute_force_and_sql(spark):
+    rows = rows_of(spark, texts() + EDGES)
+    docs = spark.createDataFrame(rows, DOCS).withColumn("n", F.lit(1)).withColumn("TOKENS", F.lit("x")).repartition(3)
+    got = sorted((tuple(r) for r in jaccard.classes(docs).collect()), key=repr)
+    sets = brute_sets([r[1] for r in rows])
+    want = [(r[0], len(s), c) for r, s, c in zip(rows, sets, brute_classes([r[0] for r in rows], sets), strict=True)]
+    assert got == sorted(want, key=repr)
+    assert len({c for _, _, c in want}) < len(want) - 40
+    table = spark.createDataFrame(rows, DOCS).toPandas()
+    duck = duckdb.connect()
+    duck.register("documents", table)
+    assert sorted((tuple(r) for r in duck.sql(sql.JACCARD).fetchall()), key=repr) == got
+
+
+@pytest.mark.parametrize("words,percent", [(5, 80), (3, 50), (2, 95)])
+def test_links_are_all_pairs(spark, words, percent):
+    given = sorted(set(texts()))
+    found = {s.tobytes(): (k, s) for k, s in enumerate(jaccard.shingle_sets(given, words)) if len(s)}
+    places = [k for k, _ in found.values()]
+    table = spark.createDataFrame([(k, len(s), s.view(np.int64).tolist()) for k, s in found.values()], "id long, n long, tokens array<long>")
+    got = {(r.a, r.b) for r in jaccard.links(table, percent).collect()}
+    sets = brute_sets(given, words)
+    want = {(places[i], places[j]) for i, j in brute_links([sets[k] for k in places], percent)}
+    assert got == want and len(want) > 20
+
+
+def test_a_template_without_member_in_its_middle(spark):
+    # Neighbours in a row differ by one word of 60, ends by many: the class has no hub near to all.
+    row = [f"t{k}" for k in range(60)]
+    given = []
+    for k in range(40):
+        row = [*row[:k], f"new{k}", *row[k + 1 :]]
+        given.append(" ".join(row))
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(given)], "doc_id long, text string")
+    sets = brute_sets(given)
+    want = brute_classes(list(range(40)), sets)
+    assert [r.component_id for r in jaccard.classes(docs).orderBy("doc_id").collect()] == want == [0] * 40
+    assert len(brute_links(sets)) < 40 * 39 / 2
+
+
+def test_only_shared_shingles_keep_a_document(spark):
+    common = " ".join(f"c{k}" for k in range(50))
+    lone = [" ".join(f"l{i}.{k}" for k in range(50)) for i in range(20)]
+    rows = [(f"{k}", t) for k, t in enumerate([common, common + " tail", *lone, None or ""])]
+    texts_ = spark.createDataFrame(rows, "key string, text string").repartition(4)
+    for total in (1, 1000, jaccard.RANGE * 3):
+        assert sorted(r.key for r in jaccard.candidates(texts_, total).collect()) == ["0", "1"]
+
+
+def test_many_copies_make_few_links(spark, tmp_path):
+    rng = random.Random(2)
+    template = [f"t{k}" for k in range(200)]
+    given = {" ".join([*template[:p], f"x{i}", *template[p + 1 :]]) for i in range(300) for p in [rng.randrange(200)]}
+    sets = [s for s in jaccard.shingle_sets(sorted(given), 5)]
+    path = str(tmp_path / "sets")
+    spark.createDataFrame([(k, len(s), s.view(np.int64).tolist()) for k, s in enumerate(sets)], "id long, n long, tokens array<long>").write.parquet(path)
+    found = jaccard.class_links(spark.read.parquet(path)).count()
+    assert found < 10 * len(sets)
+
+
+def test_empty_table(spark):
+    assert jaccard.classes(spark.createDataFrame([], DOCS)).collect() == []
+    assert jaccard.classes(spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")).count() == 2
