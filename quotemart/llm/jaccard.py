@@ -11,9 +11,13 @@ documents that chose ``l`` and ``m`` are verified only if their prefixes share `
   These sets are told first: hashes of all shingles travel in packed arrays, one array for each chunk
   of texts and hash range, a chunk names a shingle once however often it holds it, and the answer is
   how many of a document's shingles occur nowhere else. A lost answer would only keep a set longer.
-* In a list, every member first meets one hub, and verified stars are joined to classes. After that
-  only members of different classes meet, and the largest class of a list meets the others alone, so
-  a group of near copies costs links in proportion to its members. ``links`` returns all pairs.
+* In a list, every member first meets one hub, that with the fewest shingles of its own, then in a
+  second round one chosen by hash; verified stars are joined to classes. After that only members of
+  different classes meet, and the largest class of a list meets the others alone, so a group of near
+  copies costs links in proportion to its members. ``links`` returns all pairs.
+* Members of a list that are alike but not enough are told apart before they make a pair: no more can
+  be shared than either has in common with anybody, and a set's signature flips one bit for each
+  shingle, so that signatures differ in no more bits than sets do in shingles.
 
 Shingles are told by 64-bit hashes, sets by 128 bits.
 """
@@ -21,6 +25,7 @@ Shingles are told by 64-bit hashes, sets by 128 bits.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,8 +44,10 @@ MOST, COMPARE = 16, 0.125
 RANGE, RANGES, LARGE_RANGE = 1 << 20, 1 << 12, 1 << 26
 # Texts of a chunk, in bytes: the first number, or so many for each range.
 CHUNK, CHUNK_PER_RANGE = 8 << 20, 384
-# Rows of a broadcast side hold a digest of 32 characters.
-SMALL = 500_000
+# Bits of a signature, in longs.
+LONGS = 16
+# Rows of a broadcast side hold two digests of 32 characters.
+SMALL = 100_000
 
 
 def _factors(words: int) -> np.ndarray:
@@ -75,6 +82,18 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return out
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each of the hash classes, flipped by every member of the set."""
+    counts = np.bincount((hashes >> np.uint64(7)).astype(np.int64) % (64 * LONGS), minlength=64 * LONGS)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
+
+
+def set_rows(texts: list[str], words: int) -> pd.DataFrame:
+    """(n, tokens, bits) of each text."""
+    sets = shingle_sets(texts, words)
+    return pd.DataFrame({"n": [len(s) for s in sets], "tokens": [s.view(np.int64) for s in sets], "bits": [signature(s) for s in sets]})
+
+
 def sized(text: Column, words: int = WORDS) -> Column:
     """(n, digest) of a text: the size of its set, and 128 bits that tell the set."""
 
@@ -195,10 +214,10 @@ def cheapest(frequencies: np.ndarray, n: int, need: int) -> int:
 
 
 def postings(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, id, n, pos, l): the shingles of each set's chosen prefix that other sets have too.
+    """(token, id, n, live, pos, l): the shingles of each set's chosen prefix that other sets have too.
 
-    ``pos`` counts from 1 in the set's order by frequency and hash. ``sets(id, n, tokens)`` holds
-    different sets, as a written table.
+    ``live`` of a set's shingles occur in others; ``pos`` counts from 1 in the set's order by
+    frequency and hash. ``sets(id, n, tokens)`` holds different sets, as a written table.
     """
     exploded = sets.select("id", "n", F.explode("tokens").alias("token"))
     counted = exploded.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -215,29 +234,34 @@ def postings(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 df, token = df[order], token[order]
                 chosen = cheapest(df, n, need)
                 kept = token[: len(df) - need + chosen]
-                parts.append(pd.DataFrame({"token": kept, "id": i, "n": n, "pos": n - len(df) + 1 + np.arange(len(kept)), "l": chosen}))
+                place = n - len(df) + 1 + np.arange(len(kept))
+                parts.append(pd.DataFrame({"token": kept, "id": i, "n": n, "live": len(df), "pos": place, "l": chosen}))
             if parts:
                 yield pd.concat(parts)
 
     return live.select("id", "n", F.col("live.df").alias("df"), F.col("live.token").alias("token")).mapInPandas(
-        posted, "token long, id long, n long, pos long, l long"
+        posted, "token long, id long, n long, live long, pos long, l long"
     )
 
 
-def _meet(left: DataFrame, right: DataFrame, also: Column, percent: int) -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, also: Column, percent: int, signed: bool = False) -> DataFrame:
     """(a, b), a < b, of which the prefixes share as many tokens as both chose, whatever side they came from.
 
-    A common token counts only if the rest of both sets could still hold enough; the first ``min(l)``
-    common tokens of a linked pair always do.
+    A common token counts only if both sets together could still share enough; the first ``min(l)``
+    common tokens of a linked pair always do. ``signed`` rows hold signatures, too.
     """
     x, y = left.alias("x"), right.alias("y")
+    both = F.col("x.n") + F.col("y.n")
     least = F.least("x.l", "y.l")
-    enough = (least + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))) * (100 + percent) >= percent * (
-        F.col("x.n") + F.col("y.n")
-    )
-    alike = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+    # Common tokens before this one are shared with others, and it counts as one of the first min(l).
+    before = F.least(least - 1, F.col("x.pos") - 1 - F.col("x.n") + F.col("x.live"), F.col("y.pos") - 1 - F.col("y.n") + F.col("y.live"))
+    most = before + 1 + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    alike = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (most * (100 + percent) >= both * percent)
+    if signed:
+        apart = reduce(Column.__add__, (F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(LONGS)))
+        alike = alike & (apart * (100 + percent) <= both * (100 - percent))
     return (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") != F.col("y.id")) & also & alike & enough)
+        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") != F.col("y.id")) & also & alike)
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), least.alias("l"))
         .groupBy("a", "b")
         .agg(F.count("*").alias("common"), F.min("l").alias("l"))
@@ -261,26 +285,28 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, shared): every pair of different sets that link; ``sets(id, n, tokens)`` is a written table."""
-    posts = staged(postings(sets, percent), "postings")
-    return verified(_meet(posts, posts, F.col("x.id") < F.col("y.id"), percent), sets, percent)
+    """(a, b, shared): every pair of different sets that link; ``sets(id, n, tokens, bits)`` is a written table."""
+    posts = staged(postings(sets, percent).join(sets.select("id", "bits"), "id"), "postings")
+    return verified(_meet(posts, posts, F.col("x.id") < F.col("y.id"), percent, True), sets, percent)
 
 
-def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): links that join the same classes as all links do."""
-    posts = staged(postings(sets, percent), "postings")
+def _stars(posts: DataFrame, order: list[Column], sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): verified links of each list's members to its first member by ``order``; ``posts`` may hold classes."""
+    columns = [c for c in posts.columns if c != "token"]
     hubs = (
         posts.groupBy("token")
-        .agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n", "pos", "l")).alias("hub"))
+        .agg(F.count("*").alias("members"), F.min(F.struct(*(o.alias(f"o{k}") for k, o in enumerate(order)), *columns)).alias("hub"))
         .where("members > 1")
-        .select("token", "hub.id", "hub.n", "hub.pos", "hub.l")
+        .select("token", *(F.col(f"hub.{c}").alias(c) for c in columns))
     )
-    stars = staged(verified(_meet(posts, hubs, F.lit(True), percent), sets, percent).select("a", "b"), "stars")
-    roots = components(stars)
-    labelled = posts.join(roots, F.col("id") == F.col("node"), "left").select(
-        "token", "id", "n", "pos", "l", F.coalesce("root", "id").alias("class")
-    )
-    labelled = staged(labelled, "labelled")
+    other = F.col("x.class") != F.col("y.class") if "class" in columns else F.lit(True)
+    return verified(_meet(posts, hubs, other, percent), sets, percent).select("a", "b")
+
+
+def _open(posts: DataFrame, found: DataFrame) -> DataFrame:
+    """Lists that still hold several classes: postings with their class and the class with the most members."""
+    hung = posts.select("token", "id", "n", "live", "pos", "l").join(components(found), F.col("id") == F.col("node"), "left")
+    labelled = staged(hung.select("token", "id", "n", "live", "pos", "l", F.coalesce("root", "id").alias("class")), "labelled")
     mixed = (
         labelled.groupBy("token", "class")
         .agg(F.count("*").alias("members"))
@@ -289,10 +315,21 @@ def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         .where("classes > 1")
         .select("token", F.col("most.class").alias("major"))
     )
-    open_ = staged(labelled.join(mixed, "token"), "open")
+    return staged(labelled.join(mixed, "token"), "open")
+
+
+def class_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): links that join the same classes as all links do; ``sets(id, n, tokens, bits)`` is a written table."""
+    posts = staged(postings(sets, percent), "postings")
+    by_hash = F.xxhash64("id")
+    found = staged(_stars(posts, [F.col("n") - F.col("live"), by_hash], sets, percent), "stars")
+    posts = _open(posts, found)
+    found = staged(found.union(_stars(posts.drop("major"), [by_hash], sets, percent)), "stars")
+    posts = _open(posts, found).join(sets.select("id", "bits"), "id")
+    posts = staged(posts, "signed")
     across = (F.col("x.class") != F.col("y.class")) & ((F.col("y.class") == F.col("y.major")) | (F.col("x.id") < F.col("y.id")))
-    rest = verified(_meet(open_.where("class <> major"), open_, across, percent), sets, percent)
-    return stars.union(rest.select("a", "b"))
+    rest = verified(_meet(posts.where("class <> major"), posts, across, percent, True), sets, percent)
+    return found.union(rest.select("a", "b"))
 
 
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -308,20 +345,19 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     total = rows.agg(F.sum("n")).first()[0] or 0
     keys = candidates(given.where("text IS NOT NULL").select("key", "text"), total, words, percent).distinct()
     # One text for each set.
-    chosen = staged(rows.where("n > 0").join(keys, "key").groupBy("digest").agg(F.min("key").alias("key")), "chosen")
+    chosen = staged(rows.where("n > 0").select("key", "digest").distinct().join(keys, "key").groupBy("digest").agg(F.min("key").alias("key")), "chosen")
     texts = given.join(small_side(chosen, SMALL), "key").groupBy("key", "digest").agg(F.first("text").alias("text"))
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices([len(t) for t in batch["text"]]):
                 part = batch.iloc[a:b]
-                sets = [s.view(np.int64) for s in shingle_sets(part["text"].tolist(), words)]
-                yield pd.DataFrame({"digest": part["digest"].tolist(), "n": [len(s) for s in sets], "tokens": sets})
+                yield set_rows(part["text"].tolist(), words).assign(digest=part["digest"].tolist())
 
     sets = staged(
-        texts.mapInPandas(hashed, "digest string, n long, tokens array<long>").withColumn("id", F.monotonically_increasing_id()), "sets"
+        texts.mapInPandas(hashed, "n long, tokens array<long>, bits array<long>, digest string").withColumn("id", F.monotonically_increasing_id()), "sets"
     )
-    hung = components(class_links(sets.select("id", "n", "tokens"), percent))
+    hung = components(class_links(sets.select("id", "n", "tokens", "bits"), percent))
     named = sets.select("id", "digest").join(hung, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("root"))
     lows = rows.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("low")).join(named, "digest", "left")
     firsts = lows.where("root IS NOT NULL").groupBy("root").agg(F.min("low").alias("first"))

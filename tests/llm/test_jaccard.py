@@ -10,6 +10,13 @@ from quotemart.llm import jaccard, sql
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+SETS = "id long, n long, tokens array<long>, bits array<long>"
+
+
+def row_of(hashes):
+    return len(hashes), hashes.view(np.int64).tolist(), jaccard.signature(hashes).tolist()
+
+
 def brute_sets(texts, words=5):
     found = []
     for text in texts:
@@ -114,7 +121,7 @@ def test_links_are_all_pairs(spark, words, percent):
     given = sorted(set(texts()))
     found = {s.tobytes(): (k, s) for k, s in enumerate(jaccard.shingle_sets(given, words)) if len(s)}
     places = [k for k, _ in found.values()]
-    table = spark.createDataFrame([(k, len(s), s.view(np.int64).tolist()) for k, s in found.values()], "id long, n long, tokens array<long>")
+    table = spark.createDataFrame([(k, *row_of(s)) for k, s in found.values()], SETS)
     got = {(r.a, r.b) for r in jaccard.links(table, percent).collect()}
     sets = brute_sets(given, words)
     want = {(places[i], places[j]) for i, j in brute_links([sets[k] for k in places], percent)}
@@ -150,11 +157,40 @@ def test_many_copies_make_few_links(spark, tmp_path):
     given = {" ".join([*template[:p], f"x{i}", *template[p + 1 :]]) for i in range(300) for p in [rng.randrange(200)]}
     sets = [s for s in jaccard.shingle_sets(sorted(given), 5)]
     path = str(tmp_path / "sets")
-    spark.createDataFrame([(k, len(s), s.view(np.int64).tolist()) for k, s in enumerate(sets)], "id long, n long, tokens array<long>").write.parquet(path)
+    spark.createDataFrame([(k, *row_of(s)) for k, s in enumerate(sets)], SETS).write.parquet(path)
     found = jaccard.class_links(spark.read.parquet(path)).count()
     assert found < 10 * len(sets)
 
 
+def test_signatures_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 30, 900):
+        x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: size // 2], rng.integers(0, 2**64, size // 3, dtype=np.uint64)]))
+        bits = sum(int(b).bit_count() for b in (jaccard.signature(x) ^ jaccard.signature(y)).view(np.uint64))
+        assert 0 < bits <= len(np.setxor1d(x, y)) and (jaccard.signature(x) == jaccard.signature(x[::-1])).all()
+
+
+def test_a_group_alike_but_not_enough_makes_few_pairs(spark, tmp_path):
+    # Each text changes 10 of 400 words of its own choice: any two share too little, and all share the same lists.
+    rng = random.Random(6)
+    template = [f"t{k}" for k in range(400)]
+    given = []
+    for i in range(200):
+        copy = list(template)
+        for place in rng.sample(range(400), 10):
+            copy[place] = f"x{i}.{place}"
+        given.append(" ".join(copy))
+    path = str(tmp_path / "sets")
+    spark.createDataFrame([(k, *row_of(s)) for k, s in enumerate(jaccard.shingle_sets(given, 5))], SETS).write.parquet(path)
+    sets = spark.read.parquet(path)
+    posts = jaccard.postings(sets).join(sets.select("id", "bits"), "id").cache()
+    every = jaccard._meet(posts, posts, F.col("x.id") < F.col("y.id"), 80).count()
+    kept = jaccard._meet(posts, posts, F.col("x.id") < F.col("y.id"), 80, True).count()
+    assert kept * 20 < every
+    assert {(r.a, r.b) for r in jaccard.links(sets).collect()} == brute_links(brute_sets(given))
+
+
 def test_empty_table(spark):
     assert jaccard.classes(spark.createDataFrame([], DOCS)).collect() == []
     assert jaccard.classes(spark.createDataFrame([(1, None), (2, " ")], "doc_id long, text string")).count() == 2
