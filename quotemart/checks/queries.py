@@ -33,9 +33,9 @@ from quotemart.operators.upsert import insert_absent, merge_companies, upsert, u
 from quotemart.plans import dimensions, normalize
 from quotemart.plans.fact import daily_fact, ticker_keys
 from quotemart.plans.jobs import load_feeds, load_warehouse, references_of, snapshot_tables
-from quotemart.schemas import FOREIGN, LENGTHS, REQUIRED, SCHEMAS, UNIQUE
+from quotemart.schemas import DIMENSIONS, FACT, FOREIGN, LENGTHS, REQUIRED, SCHEMAS, UNIQUE
 from quotemart.session import scratch_dir
-from quotemart.sinks.fact import read_fact
+from quotemart.sinks.fact import read_fact, sizes_of, spread, write_days
 from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import landing
@@ -424,6 +424,22 @@ def fact_replace_days(g: Given) -> DataFrame:
     return plain(replace_days(old, fresh, touched))
 
 
+@query
+def fact_publish_days(g: Given) -> DataFrame:
+    """All days are loaded, then some are replaced and some emptied, each load checked and swapped in."""
+    folder = scratch_dir(g.spark, "fact")
+    store = Store(g.spark, f"{folder}/warehouse")
+    tables = {t: store.stage(t, df) for t, df in source_tables(g).items() if t in [*DIMENSIONS, FACT]}
+    sizes, parents = sizes_of(dimensions.days(g.raw_bars())), references_of(tables, FACT)
+    tasks, _ = spread(sizes, g.spark.sparkContext.defaultParallelism)
+    rows = tables[FACT].repartition(tasks, "date_key")
+    write_days(rows, fact_path(store), sizes, parents)
+    touched = {day: n for day, n in sizes.items() if day % 5 == 0}
+    fresh = rows.where("date_key % 10 = 5").withColumn("volume", F.col("volume") + 1)
+    write_days(fresh, fact_path(store), touched, parents)
+    return plain(read_fact(g.spark, fact_path(store)))
+
+
 @query
 def fact_null_purge(g: Given) -> DataFrame:
     holes = fact(g).withColumn("company_key", F.when(F.col("company_key") % 10 != 0, F.col("company_key")))

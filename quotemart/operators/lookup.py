@@ -10,14 +10,17 @@ BROADCAST_ROWS = 100_000
 
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a DataFrame has at most ``rows`` rows; never reads more than it has to."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether a DataFrame has at most ``rows`` rows; counted in the tasks that read it."""
+    return df.count() <= rows
 
 
-def lookup_side(df: DataFrame, bound: DataFrame | None = None, rows: int = BROADCAST_ROWS) -> DataFrame:
+def lookup_side(df: DataFrame, bound: DataFrame | None = None, rows: int = BROADCAST_ROWS, size: int | None = None) -> DataFrame:
     """Mark the small side of a join for broadcast if its size is proven small.
 
-    ``bound`` is a cheaper DataFrame known to have no fewer rows than ``df``. Beyond the bound the
-    join is left to a shuffle, whose hot partitions adaptive execution splits.
+    ``size`` is a number of rows that ``df`` is known not to exceed, as its write has counted them;
+    with it no job is started. Without it rows are counted: those of ``bound``, a cheaper DataFrame
+    known to have no fewer, or of ``df``. Beyond the bound the join is left to a shuffle, whose hot
+    partitions adaptive execution splits.
     """
-    return F.broadcast(df) if has_at_most(df if bound is None else bound, rows) else df
+    small = size <= rows if size is not None else has_at_most(df if bound is None else bound, rows)
+    return F.broadcast(df) if small else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,12 +83,12 @@ def resolve_sic(feed: DataFrame) -> DataFrame:
     return _disposed(rows, checks, F.lit("inserted"))
 
 
-def resolve_exchanges(feed: DataFrame, regions: DataFrame) -> DataFrame:
-    """Exchange rows with their region id; names match case-sensitively."""
+def resolve_exchanges(feed: DataFrame, regions: DataFrame, size: int | None = None) -> DataFrame:
+    """Exchange rows with their region id; names match case-sensitively. ``size`` bounds the regions, if known."""
     known = regions.select(
         F.col("region_name").alias("region"), F.col("region_id").alias("exchange_region_id")
     )
-    rows = feed.join(lookup_side(known), "region", "left").withColumnRenamed("name", "exchange_name")
+    rows = feed.join(lookup_side(known, size=size), "region", "left").withColumnRenamed("name", "exchange_name")
     checks = [
         (~present(F.col("exchange_name")), "skipped", "no name"),
         (F.col("exchange_region_id").isNull(), "error", "unknown region"),
@@ -104,14 +104,17 @@ def resolve_companies(
     sics: DataFrame,
     companies: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    sizes: Mapping[str, int | None] | None = None,
 ) -> DataFrame:
     """Company rows with exchange, industry and SIC ids and the fate of every row.
 
     Unknown industry or SIC codes give NULL ids; an unknown exchange rejects the row, and so does
     an empty one, because the table needs an exchange. ``known`` tells whether the key was in the
     table before the batch. Of a new key only the first acceptable row is inserted. The checked rows
-    are read twice; ``stage`` may write them so that the joins run once.
+    are read twice; ``stage`` may write them so that the joins run once. ``sizes`` bounds the lookup
+    tables by name, where known.
     """
+    known = sizes or {}
     rows = feed.select(
         "pos",
         F.col("name").alias("company_name"),
@@ -133,10 +136,10 @@ def resolve_companies(
     sic_ids = sics.select(F.col("sic_id").alias("company_sic_id"), F.lit(True).alias("_sic_known"))
     held = companies.select("company_ticker", "company_is_delisted", F.lit(True).alias("known"))
     joined = (
-        rows.join(lookup_side(exchange_ids), "exchange_name", "left")
-        .join(lookup_side(industry_ids), ["industry_name", "industry_sector"], "left")
-        .join(lookup_side(sic_ids), "company_sic_id", "left")
-        .join(lookup_side(held), ["company_ticker", "company_is_delisted"], "left")
+        rows.join(lookup_side(exchange_ids, size=known.get("exchanges")), "exchange_name", "left")
+        .join(lookup_side(industry_ids, size=known.get("industries")), ["industry_name", "industry_sector"], "left")
+        .join(lookup_side(sic_ids, size=known.get("sicindustries")), "company_sic_id", "left")
+        .join(lookup_side(held, size=known.get("companies")), ["company_ticker", "company_is_delisted"], "left")
         .withColumn("known", F.coalesce("known", F.lit(False)))
         .withColumn("company_sic_id", F.when(F.col("_sic_known"), F.col("company_sic_id")))
         .drop("_sic_known")

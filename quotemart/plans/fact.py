@@ -74,15 +74,19 @@ def ticker_keys(
 
 
 def daily_fact(
-    bars: DataFrame, keys: DataFrame, keys_bound: DataFrame | None = None, spread: tuple[int, int] | None = None
+    bars: DataFrame,
+    keys: DataFrame,
+    keys_bound: DataFrame | None = None,
+    spread: tuple[int, int] | None = None,
+    keys_size: int | None = None,
 ) -> DataFrame:
     """One row per distinct bar of a ticker that resolves in every dimension.
 
     ``spread`` (tasks, slices) gathers the rows for a write by day: a day goes to as many tasks as
     slices, told by its company. Repeated rows meet there as well, so they need no shuffle of their own.
 
-    ``keys_bound`` is a cheap table with at least as many rows as ``keys``; it decides whether the
-    keys are broadcast. The trend comes from the unrounded change, and repeated rows go before
+    ``keys_bound`` is a cheap table with at least as many rows as ``keys``, ``keys_size`` their number
+    if it is known; they decide whether the keys are broadcast. The trend comes from the unrounded change, and repeated rows go before
     rounding.
     """
     day = F.to_date("timestamp")
@@ -98,7 +102,7 @@ def daily_fact(
         change.alias("price_change"),
     )
     resolved = (
-        priced.join(lookup_side(keys, keys_bound, KEY_ROWS), "ticker")
+        priced.join(lookup_side(keys, keys_bound, KEY_ROWS, keys_size), "ticker")
         .drop("ticker")
         .dropna("any", subset=["company_key", "industry_key", "exchange_key"])
     )

@@ -27,9 +27,11 @@ from quotemart.operators.resolve import (
 )
 from quotemart.operators.upsert import insert_absent, merge_companies, shaped, upsert, upsert_sic
 from quotemart.plans import dimensions, normalize
-from quotemart.plans.fact import daily_fact, first_bars, ticker_keys
+from quotemart.plans.fact import daily_fact, ticker_keys
+from quotemart.plans.lake import has_bars, lake_bars, publish_bars, unreadable_files
 from quotemart.schemas import (
     DIMENSIONS,
+    FACT,
     FOREIGN,
     REQUIRED,
     SCHEMAS,
@@ -41,7 +43,7 @@ from quotemart.sinks.fact import init_fact, sizes_of, spread, write_days
 from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import files
-from quotemart.sources.landing import bare_market_texts, company_texts, landing_texts, read_bars, read_companies, read_markets, unreadable
+from quotemart.sources.landing import bare_market_texts, company_texts, read_companies, read_markets, unreadable
 from quotemart.sources.snapshots import read_snapshot
 
 SNAPSHOT = "snapshot_date"
@@ -138,58 +140,42 @@ def load_feeds(
     staged: dict[str, DataFrame] = {}
     if markets is not None:
         staged["regions"] = store.stage("regions", resolve_regions(entities["regions"]))
-        store.write(
+        columns = ["region_market_type", "region_local_open", "region_local_close"]
+        store.change(
             "regions",
-            upsert(
-                store.read("regions"),
-                accepted(staged["regions"]),
-                ["region_name"],
-                ["region_market_type", "region_local_open", "region_local_close"],
-                "region_id",
-                STAMPS["regions"],
-                now,
-            ),
+            lambda old: upsert(old, accepted(staged["regions"]), ["region_name"], columns, "region_id", STAMPS["regions"], now),
         )
     if feed is not None:
         staged["industries"] = store.stage("industries", resolve_industries(entities["industries"]))
-        store.write(
+        pair = ["industry_name", "industry_sector"]
+        store.change(
             "industries",
-            insert_absent(
-                store.read("industries"),
-                accepted(staged["industries"]),
-                ["industry_name", "industry_sector"],
-                "industry_id",
-                STAMPS["industries"],
-                now,
-            ),
+            lambda old: insert_absent(old, accepted(staged["industries"]), pair, "industry_id", STAMPS["industries"], now),
         )
         staged["sicindustries"] = store.stage("sicindustries", resolve_sic(entities["sicindustries"]))
         # Codes that differ as text but not as numbers: the later text updates the earlier row.
         codes = keep_first(accepted(staged["sicindustries"]), ["sic_id"], [F.col("pos").desc()])
-        store.write(
-            "sicindustries", upsert_sic(store.read("sicindustries"), codes, STAMPS["sicindustries"], now)
-        )
+        store.change("sicindustries", lambda old: upsert_sic(old, codes, STAMPS["sicindustries"], now))
     if markets is not None:
-        rows = resolve_exchanges(entities["exchanges"], store.read("regions"))
+        rows = resolve_exchanges(entities["exchanges"], store.read("regions"), store.rows("regions"))
         staged["exchanges"] = store.stage("exchanges", rows)
-        store.write(
+        region = ["exchange_region_id"]
+        store.change(
             "exchanges",
-            upsert(
-                store.read("exchanges"),
-                accepted(staged["exchanges"]),
-                ["exchange_name"],
-                ["exchange_region_id"],
-                "exchange_id",
-                STAMPS["exchanges"],
-                now,
-            ),
+            lambda old: upsert(old, accepted(staged["exchanges"]), ["exchange_name"], region, "exchange_id", STAMPS["exchanges"], now),
         )
     if feed is not None:
-        others = [store.read(t) for t in ("exchanges", "industries", "sicindustries", "companies")]
-        staged["companies"] = store.stage("companies", resolve_companies(feed, *others, lambda rows: store.stage("companies_checked", rows, kept=1)))
-        store.write(
-            "companies", merge_companies(store.read("companies"), staged["companies"], STAMPS["companies"], now)
-        )
+
+        def merged(old: DataFrame) -> DataFrame:
+            """Which keys are known depends on the version that is changed, so rows are resolved for each attempt."""
+            names = ["exchanges", "industries", "sicindustries"]
+            sizes = {t: store.rows(t) for t in [*names, "companies"]}
+            once = lambda rows: store.stage("companies_checked", rows, kept=1)
+            rows = resolve_companies(feed, *[store.read(t) for t in names], old, once, sizes)
+            staged["companies"] = store.stage("companies", rows)
+            return merge_companies(old, staged["companies"], STAMPS["companies"], now)
+
+        store.change("companies", merged)
     require_or_revert(store, list(staged), constraints({t: store.read(t) for t in SOURCE_TABLES}, SOURCE_TABLES))
     empty = spark.createDataFrame([], "entity string, disposition string, rows bigint")
     return quality.report([empty, *[disposition_counts(name, rows) for name, rows in staged.items()]])
@@ -198,7 +184,7 @@ def load_feeds(
 def snapshot_tables(
     tables: Mapping[str, DataFrame], bars: DataFrame | None, lake: str, token: str
 ) -> dict[str, int]:
-    """Publish table snapshots and bars to the lake, empty ones left out; older snapshots go."""
+    """Publish table snapshots, and a whole set of bars as one, to the lake; empty ones left out, older ones go."""
     rows = {}
     for name, df in tables.items():
         rows[name] = write_snapshot(shaped(df, SCHEMAS[name]), f"{lake}/db/{name}", SNAPSHOT, token)
@@ -210,15 +196,17 @@ def snapshot_tables(
 
 
 def publish(spark: SparkSession, landing: str, source: Store, lake: str, token: str) -> dict[str, int]:
-    """Snapshot the source tables and all landed bars; returns rows by table, and how many bar files can't be read.
+    """Snapshot the source tables and bring the lake's bars up to date from new files.
 
-    The names of those files are staged for audit.
+    Returns rows by table, how many bar files were read, and how many can't be read; the names of
+    the latter are staged for audit in every run.
     """
-    tables = {t: source.read(t) for t in SOURCE_TABLES}
+    done = snapshot_tables({t: source.read(t) for t in SOURCE_TABLES}, None, lake, token)
     if not files.names(spark, f"{landing}/bars"):
-        return snapshot_tables(tables, None, lake, token)
-    bad = report_unreadable(landing_texts(spark, f"{landing}/bars"), "bars", source).count()
-    return snapshot_tables(tables, first_bars(read_bars(spark, f"{landing}/bars")), lake, token) | {f"bars_{UNREADABLE}": bad}
+        return done
+    done |= publish_bars(spark, f"{landing}/bars", lake, token)
+    source.stage(UNREADABLE, unreadable_files(spark, lake).select(F.lit("bars").alias("feed"), "file"))
+    return done
 
 
 def load_dimensions(lake_tables: Mapping[str, DataFrame], store: Store, append: bool = False) -> None:
@@ -239,7 +227,9 @@ def load_dimensions(lake_tables: Mapping[str, DataFrame], store: Store, append:
     }
     change = append_current if append else expire_and_insert
     for table, (rows, natural, key) in plans.items():
-        store.write(table, change(store.read(table), rows, natural, key))
+        # Read three times by the change: against the current rows, for new ones and for their keys.
+        rows = store.stage(f"{table}_rows", rows, kept=1)
+        store.change(table, lambda old, rows=rows, natural=natural, key=key: change(old, rows, natural, key))
 
 
 def load_fact(
@@ -249,13 +239,11 @@ def load_fact(
     every_listing: bool = False,
     industry_by_name: bool = False,
 ) -> dict[str, int]:
-    """Add the bars' days to the date dimension and replace those days in the fact."""
+    """Add the bars' days to the date dimension and replace those days in the fact, once it is checked."""
     # One row per day of the calendar; used by the date dimension and the replaced days.
-    touched = dimensions.days(bars).cache()
+    touched = store.stage("days", dimensions.days(bars), kept=1)
     sizes = sizes_of(touched)
-    store.write(
-        "dim_date", insert_absent(store.read("dim_date"), dimensions.calendar(touched), ["date_key"])
-    )
+    store.change("dim_date", lambda old: insert_absent(old, dimensions.calendar(touched), ["date_key"]))
     keys = ticker_keys(
         lake_tables["companies"],
         lake_tables["exchanges"],
@@ -268,11 +256,9 @@ def load_fact(
     )
     keys = store.stage("ticker_keys", keys)
     path = fact_path(store)
-    if not files.exists(store.spark, path):
-        init_fact(store.spark, path)
-    touched.unpersist()
     cores = store.spark.sparkContext.defaultParallelism
-    return write_days(daily_fact(bars, keys, spread=spread(sizes, cores)), path, sizes)
+    fact = daily_fact(bars, keys, spread=spread(sizes, cores), keys_size=store.rows("audit/ticker_keys"))
+    return write_days(fact, path, sizes, references_of({t: store.read(t) for t in DIMENSIONS}, FACT))
 
 
 def init_warehouse(store: Store) -> None:
@@ -298,7 +284,10 @@ def load_warehouse(
     ``ticker_keys``.
     """
     tables = {t: read_snapshot(spark, f"{lake}/db/{t}", SNAPSHOT, SCHEMAS[t]) for t in SOURCE_TABLES}
-    bars = read_snapshot(spark, f"{lake}/bars", SNAPSHOT, SCHEMAS["bars"], snapshot)
+    if has_bars(spark, lake):
+        bars = lake_bars(spark, lake, snapshot, None if trading_date is None else [trading_date])
+    else:
+        bars = read_snapshot(spark, f"{lake}/bars", SNAPSHOT, SCHEMAS["bars"], snapshot)
     if trading_date is not None:
         day = F.to_timestamp_ntz(F.lit(str(trading_date)), F.lit("yyyyMMdd"))
         bars = bars.where((F.col("timestamp") >= day) & (F.col("timestamp") < day + F.expr("INTERVAL '1' DAY")))

@@ -20,6 +20,7 @@ _SCHEMAS = {
     "company_update_time_stamp timestamp_ntz",
     "bars": "ticker string, open double, high double, low double, close double, volume double, vwap double, "
     "timestamp timestamp_ntz, transactions bigint, otc boolean",
+    "bar_files": "file string, bytes bigint, modified bigint, days array<int>, readable boolean",
     "dim_date": "date_key int, full_date timestamp_ntz, day int, month int, year int, quarter int, "
     "day_of_week string, week_of_year int, is_weekend boolean, is_holiday boolean",
     "dim_company": "company_key int, company_ticker string, company_name string, company_category string, "
@@ -34,6 +35,7 @@ _SCHEMAS = {
 }
 _TYPES = {
     "int": T.IntegerType(),
+    "array<int>": T.ArrayType(T.IntegerType()),
     "bigint": T.LongType(),
     "double": T.DoubleType(),
     "string": T.StringType(),

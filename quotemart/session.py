@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A load compiles some hundred stages; the default of 100 would compile them anew on every run.
     "spark.sql.codegen.cache.maxEntries": "2000",
+    # Listing a table by day takes this many tasks at most, not one for each day.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.parquet.compression.codec": "snappy",
 }

@@ -1,14 +1,15 @@
-"""The daily fact: a Parquet table partitioned by day, replaced by whole days."""
+"""The daily fact: a Parquet table partitioned by day, replaced by whole days once they are checked."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from collections.abc import Mapping
 
-from quotemart.operators.days import drop_null_keys
+from pyspark.sql import DataFrame, SparkSession
+
+from quotemart.operators import quality
+from quotemart.operators.days import FACT_KEYS
 from quotemart.schemas import FACT, SCHEMAS
-from quotemart.sources import files
+from quotemart.sinks.daytable import DayTable
 
 DAY = "date_key"
 # A fact row takes some 50 bytes: about 500 MB per task.
@@ -16,18 +17,19 @@ ROWS_PER_TASK = 10_000_000
 TASKS_PER_CORE = 4
 
 
+def fact_table(spark: SparkSession, path: str) -> DayTable:
+    """The fact below a path."""
+    return DayTable(spark, path, DAY, SCHEMAS[FACT])
+
+
 def init_fact(spark: SparkSession, path: str) -> None:
     """Make the table empty."""
-    if files.exists(spark, path):
-        files.delete(spark, path)
-    spark.createDataFrame([], SCHEMAS[FACT]).write.partitionBy(DAY).parquet(path)
+    fact_table(spark, path).clear()
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The table in its column order; filters on the day prune partitions."""
-    schema = SCHEMAS[FACT]
-    by_day = StructType([f for f in schema.fields if f.name != DAY] + [schema[DAY]])
-    return spark.read.schema(by_day).parquet(path).select(*schema.names)
+def read_fact(spark: SparkSession, path: str, days: list[int] | None = None) -> DataFrame:
+    """The table in its column order, or some of its days; filters on the day prune partitions."""
+    return fact_table(spark, path).read(days)
 
 
 def sizes_of(touched: DataFrame) -> dict[int, int]:
@@ -47,28 +49,26 @@ def spread(sizes: dict[int, int], cores: int) -> tuple[int, int]:
     return max(1, min(len(sizes) * slices, needed)), slices
 
 
-def write_days(fact: DataFrame, path: str, sizes: dict[int, int]) -> dict[str, int]:
-    """Replace every day of ``sizes`` by its rows in ``fact`` and return row and day counts.
+def write_days(
+    fact: DataFrame, path: str, sizes: Mapping[int, int], references: Mapping[str, tuple[DataFrame, str]] | None = None
+) -> dict[str, int]:
+    """Replace every day of ``sizes`` by its rows in ``fact``; returns rows, days, emptied days and dropped rows.
 
-    ``fact`` should come gathered by day, see ``spread``. One write: dynamic overwrite stages all
-    partitions, and when the job commits it deletes and renames one after the other. A job that
-    fails before leaves the table as it was; one that fails in the commit leaves some days replaced
-    and others not, and the load has to be run again, which replaces the same days. A day without
-    rows would keep its old partition, so it is deleted after the commit.
+    ``fact`` should come gathered by day, see ``spread``. Rows are written aside first. Rows without
+    a day are dropped and counted; a null in any other key, or a key that ``references`` does not
+    hold, raises, and the table stays as it was. Then one rename lets all days count at once: a day
+    without rows is emptied by it, too.
     """
-    spark = fact.sparkSession
-    seen = Observation()
-    observed = drop_null_keys(fact).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(DAY).alias("days")
-    )
-    (
-        observed.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
-    written = set(seen.get["days"])
-    emptied = [d for d in sorted(set(sizes) - written) if files.exists(spark, f"{path}/{DAY}={d}")]
-    for day in emptied:
-        files.delete(spark, f"{path}/{DAY}={day}")
-    return {"rows": seen.get["rows"], "days": len(written), "emptied": len(emptied)}
+    table = fact_table(fact.sparkSession, path)
+    staged = table.stage(fact, [k for k in FACT_KEYS if k != DAY])
+    try:
+        missing = [f"{FACT}: not null ({c}) x {n}" for c, n in staged.nulls.items() if n]
+        if missing:
+            raise quality.ConstraintError("; ".join(missing))
+        if references:
+            quality.require([quality.foreign_keys(staged.rows, FACT, references)])
+    except Exception:
+        table.discard(staged)
+        raise
+    emptied = table.publish(staged, sizes)
+    return {"rows": sum(staged.days.values()), "days": len(staged.days), "emptied": len(emptied), "dropped": staged.dropped}

@@ -56,8 +56,8 @@ def latest_file(spark: SparkSession, folder: str, suffix: str = ".json") -> str
     return newest.first()["path"]
 
 
-def landing_texts(spark: SparkSession, path: str) -> DataFrame:
-    """One row per landing file: file, value."""
+def landing_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per landing file of a folder, or of a list of files: file, value."""
     reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
     texts = reader.load(path)
     return texts.select(F.col("_metadata.file_name").alias("file"), "value")

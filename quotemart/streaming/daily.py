@@ -1,5 +1,9 @@
 """Incremental daily load: only new landing files are parsed and only their days are rebuilt.
 
+The state between batches is the lake's bars by day: the first bar of every ticker and time, with its
+place in the landing files. A batch reads the days it touches, as many rows as there are tickers, and
+replaces them, so neither rows nor files of a day grow with the batches.
+
 The result equals that of the full load as long as company, exchange and industry rows stay as they
 are; a day is resolved against them when it is rebuilt.
 """
@@ -8,20 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from quotemart.functions.calendar import day_key
-from quotemart.plans.fact import first_bars
 from quotemart.plans.jobs import load_fact, report_unreadable
-from quotemart.schemas import SCHEMAS
+from quotemart.plans.lake import bar_table, dated, lake_bars, merge_bars
 from quotemart.sinks.store import Store
 from quotemart.sources.landing import bar_feed, records
 
-BATCH, DAY = "batch", "day"
-
 
 def stream_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Bar landing files as a stream of texts: file, value."""
@@ -31,50 +30,25 @@ def stream_texts(spark: SparkSession, folder: str) -> DataFrame:
     return texts.select(F.col("_metadata.file_name").alias("file"), "value")
 
 
-def log_schema(feed: DataFrame) -> StructType:
-    """Schema of the bar log: the feed, its batch and its day."""
-    extra = [StructField(BATCH, StringType()), StructField(DAY, IntegerType())]
-    return StructType([*feed.schema.fields, *extra])
-
-
-def append_batch(feed: DataFrame, log: str, batch: int) -> list[int]:
-    """Write one batch to the bar log, by day and then by batch, and return its days.
-
-    Overwriting is by partition, so a batch that runs again replaces itself. The days are told by
-    the rows written; there are no more of them than days in the calendar.
-    """
-    day = F.coalesce(day_key(F.to_date("timestamp")), F.lit(0))
-    seen = Observation()
-    tagged = feed.withColumn(DAY, day).withColumn(BATCH, F.lit(f"{batch:09d}")).observe(seen, F.collect_set(DAY).alias("days"))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, BATCH).parquet(log)
-    return sorted(seen.get["days"])
-
-
-def logged_bars(spark: SparkSession, log: str, schema: StructType, days: list[int]) -> DataFrame:
-    """All logged bars of the given days, and no folder of any other day: the days are constants of the plan."""
-    return spark.read.schema(schema).parquet(log).where(F.col(DAY).isin(days)).drop(DAY, BATCH)
-
-
-def load_batch(texts: DataFrame, log: str, batch: int, lake_tables: Mapping[str, DataFrame], store: Store) -> None:
-    """Log one batch of bars and rebuild the fact of its days from all logged bars of those days.
+def load_batch(texts: DataFrame, lake: str, batch: int, lake_tables: Mapping[str, DataFrame], store: Store) -> None:
+    """Merge one batch of bars into the lake and rebuild the fact of the days it touches.
 
-    The names of files that can't be read are staged for audit.
+    The names of files that can't be read are staged for audit. A batch that runs again changes
+    nothing, and rebuilds its days again.
     """
     spark = texts.sparkSession
     report_unreadable(texts, "bars", store)
-    feed = bar_feed(records(texts))
-    schema = log_schema(feed)
-    days = append_batch(feed, log, batch)
+    # The batch is parsed once: its days and the merge read the staged rows.
+    fresh = store.stage("batch_bars", dated(bar_feed(records(texts))), kept=1)
+    days = merge_bars(bar_table(spark, lake), fresh, label=f"batch {batch}")
     if days:
-        bars = first_bars(logged_bars(spark, log, schema, days)).select(*SCHEMAS["bars"].names)
-        # Staged once: days, dimensions and fact all read it.
-        load_fact(store.stage("batch_bars", bars, kept=1), lake_tables, store)
+        load_fact(lake_bars(spark, lake, days=sorted(days)), lake_tables, store)
 
 
 def follow_bars(
     spark: SparkSession,
     landing: str,
-    log: str,
+    lake: str,
     checkpoint: str,
     lake_tables: Mapping[str, DataFrame],
     store: Store,
@@ -82,7 +56,7 @@ def follow_bars(
     """Load all landing files not seen before, then stop."""
     return (
         stream_texts(spark, landing)
-        .writeStream.foreachBatch(lambda texts, batch: load_batch(texts, log, batch, lake_tables, store))
+        .writeStream.foreachBatch(lambda texts, batch: load_batch(texts, lake, batch, lake_tables, store))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quotemart.operators.quality import ConstraintError, require
 from quotemart.plans import dimensions, fact
 from quotemart.plans.fact import daily_fact, first_bars, ticker_keys
+from quotemart.plans.lake import lake_bars
 from quotemart.plans.jobs import (
     constraints,
     init_warehouse,
@@ -27,7 +28,7 @@ from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import database, files
 from quotemart.sources.landing import read_bars
 from quotemart.sources.snapshots import read_snapshot, snapshot_tokens
-from quotemart.streaming.daily import append_batch, follow_bars, log_schema, logged_bars
+from quotemart.streaming.daily import follow_bars
 
 MARKETS = {
     "markets": [
@@ -174,7 +175,7 @@ def test_warehouse_load_and_rerun(spark, loaded, warehouse, rows):
     lake = loaded[1]
     init_warehouse(warehouse)
     done = load_warehouse(spark, lake, warehouse)
-    assert done == {"rows": 4, "days": 2, "emptied": 0}
+    assert done == {"rows": 4, "days": 2, "emptied": 0, "dropped": 0}
     assert rows(fact_view(spark, warehouse)) == FACT_ROWS
     first = {t: rows(warehouse.read(t)) for t in DIMENSIONS}
     facts = rows(fact_sink.read_fact(spark, fact_path(warehouse)))
@@ -195,11 +196,11 @@ def test_changed_company_moves_and_an_emptied_day_goes(spark, loaded, warehouse,
     left = source.read("companies").where("company_ticker NOT IN ('AAA', 'EEE')")
     tables = {t: source.read(t) for t in SOURCE_TABLES}
     tables["companies"] = left.withColumn("company_location", location)
-    bars = read_snapshot(spark, f"{old_lake}/bars", "snapshot_date", SCHEMAS["bars"])
+    bars = lake_bars(spark, old_lake)
     lake = folder("lake")
     snapshot_tables(tables, bars, lake, "2024_01_05")
     done = load_warehouse(spark, lake, warehouse)
-    assert done == {"rows": 1, "days": 1, "emptied": 1}
+    assert done == {"rows": 1, "days": 1, "emptied": 1, "dropped": 0}
     assert rows(fact_view(spark, warehouse)) == [(20240102, "BBB", "NASDAQ", "Money", 1.0, 10, "down")]
     versions = rows(warehouse.read("dim_company").where("company_ticker = 'BBB'"), "company_location", "is_current")
     assert versions == [("CA", False), ("TX", True)]
@@ -222,13 +223,13 @@ def test_append_mode_fans_out_on_a_second_run(spark, loaded, warehouse):
 def test_stream_gives_the_same_fact_as_the_full_load(spark, loaded, landing, land, warehouse, rows, folder):
     source, old_lake = loaded
     tables = {t: source.read(t) for t in SOURCE_TABLES}
-    daily, lake = Store(spark, folder("daily")), folder("lake")
+    daily = Store(spark, folder("daily"))
     for store in (daily, warehouse):
         load_dimensions(tables, store)
-    log, checkpoint = folder("log"), folder("checkpoint")
+    lake, checkpoint = folder("daily_lake"), folder("checkpoint")
 
     def follow():
-        query = follow_bars(spark, f"{landing}/bars", log, checkpoint, tables, daily)
+        query = follow_bars(spark, f"{landing}/bars", lake, checkpoint, tables, daily)
         assert query.awaitTermination(120) and query.exception() is None
 
     follow()
@@ -313,7 +314,7 @@ def test_written_days_come_back(spark, folder, rows):
         F.lit("unchanged").alias("price_trend"),
     )
     sizes = fact_sink.sizes_of(df.groupBy("date_key").agg(F.count("*").alias("bars")))
-    assert fact_sink.write_days(df, path, sizes) == {"rows": 100, "days": 3, "emptied": 0}
+    assert fact_sink.write_days(df, path, sizes) == {"rows": 100, "days": 3, "emptied": 0, "dropped": 0}
     assert rows(fact_sink.read_fact(spark, path)) == rows(df.select(*SCHEMAS[FACT].names))
 
 
@@ -344,7 +345,7 @@ def test_hot_ticker_beyond_the_broadcast_bound(spark, monkeypatch):
     for name, setting in settings.items():
         spark.conf.set(name, setting)
     try:
-        monkeypatch.setattr(fact, "lookup_side", lambda df, bound=None, rows=0: df)
+        monkeypatch.setattr(fact, "lookup_side", lambda df, bound=None, rows=0, size=None: df)
         got = daily_fact(bars, keys).groupBy("company_key").count()
         assert {tuple(r) for r in got.collect()} == wanted
         assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
@@ -416,19 +417,6 @@ def test_unreadable_files_are_named_in_every_run(spark, land, tmp_path):
     assert found["companies", "unreadable"] == 1 and found["regions", "inserted"] == 1 and ("markets", "unreadable") not in found
 
 
-def test_stream_batches_and_single_days_read_only_their_folders(spark, folder):
-    log = folder("log")
-    feed = spark.range(40).select(
-        F.lit("f").alias("file"), F.col("id").cast("int").alias("pos"), (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 4).cast("int"))).alias("timestamp")
-    )
-    assert append_batch(feed, log, 0) == append_batch(feed, log, 0) == [20240101, 20240102, 20240103, 20240104]
-    assert append_batch(feed.where("id % 4 = 1"), log, 1) == [20240102] and append_batch(feed.limit(0), log, 2) == []
-    got = logged_bars(spark, log, log_schema(feed), [20240102])
-    assert got.count() == 20 and got.columns == feed.columns
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0] and "20240102" in plan.split("PartitionFilters: [")[1].split("]")[0]
-
-
 def test_a_load_that_breaks_a_constraint_leaves_the_former_tables(spark, store):
     store.init(SOURCE_TABLES)
     store.write("exchanges", spark.createDataFrame([(1, 99, "NYSE", None)], SCHEMAS["exchanges"]))
