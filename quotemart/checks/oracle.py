@@ -446,6 +446,7 @@ ORACLE = {
     "parquet_roundtrip": "SELECT * FROM fx_bars",
     "warehouse_load": "SELECT * FROM fact",
 }
+ORACLE["bars_by_day_batches"] = ORACLE["bars_from_lines"] = ORACLE["bars_dedup_first"]
 ORACLE["fact_publish_days"] = ORACLE["fact_replace_days"]
 ORACLE["json_roundtrip"] = ORACLE["exchanges_first_wins"]
 

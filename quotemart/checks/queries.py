@@ -31,8 +31,9 @@ from quotemart.operators.resolve import (
 )
 from quotemart.operators.upsert import insert_absent, merge_companies, upsert, upsert_sic
 from quotemart.plans import dimensions, normalize
-from quotemart.plans.fact import daily_fact, ticker_keys
+from quotemart.plans.fact import daily_fact, first_bars, ticker_keys
 from quotemart.plans.jobs import load_feeds, load_warehouse, references_of, snapshot_tables
+from quotemart.plans.lake import KEPT_SCHEMA, bar_table, dated, merge_bars
 from quotemart.schemas import DIMENSIONS, FACT, FOREIGN, LENGTHS, REQUIRED, SCHEMAS, UNIQUE
 from quotemart.session import scratch_dir
 from quotemart.sinks.fact import read_fact, sizes_of, spread, write_days
@@ -123,6 +124,39 @@ def bars_dedup_first(g: Given) -> DataFrame:
     return g.bars()
 
 
+def placed_bars(g: Given) -> DataFrame:
+    """All bars as a feed; the places in the files follow the order of the first-wins rule."""
+    file = F.concat_ws("_", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"), F.lpad(F.col("l_partkey").cast("string"), 12, "0"))
+    absent = {c: F.lit(None).cast(SCHEMAS["bars"][c].dataType) for c in ("vwap", "transactions", "otc")}
+    rows = g.raw_bars().withColumns(absent | {"file": file, "pos": (F.col("open") * 100).cast("int"), "millis": F.unix_millis(F.col("timestamp").cast("timestamp"))})
+    return rows.select("l_orderkey", *[c for c in KEPT_SCHEMA.names if c != "trading_day"])
+
+
+@query
+def bars_by_day_batches(g: Given) -> DataFrame:
+    """Bars brought into the lake in two batches that share days, the second with bars that come before held ones."""
+    folder = scratch_dir(g.spark, "lake")
+    store, table = Store(g.spark, f"{folder}/batches"), bar_table(g.spark, folder)
+    feed = placed_bars(g)
+    for late in (True, False):
+        merge_bars(table, store.stage("batch", dated(feed.where((F.col("l_orderkey") % 3 == 0) != late)), kept=1))
+    return table.read().select("ticker", "timestamp", "open", "close", "high", "low", "volume")
+
+
+@query
+def bars_from_lines(g: Given) -> DataFrame:
+    """Bars landed as JSON lines and read back by splits."""
+    folder = scratch_dir(g.spark, "lines")
+    order = ["l_orderkey", "file", "pos"]
+    told = ["ticker", "open", "close", "high", "low", "volume", F.col("millis").alias("timestamp")]
+    feed = placed_bars(g).repartitionByRange(4, *order).sortWithinPartitions(*order)
+    feed.select(*told).write.json(f"{folder}/bars")
+    store = Store(g.spark, f"{folder}/staged")
+    lines = store.stage("lines", landing.landing_lines(g.spark, f"{folder}/bars", landing.ARRAYS))
+    kept = first_bars(landing.bar_feed(landing.line_records(lines)))
+    return kept.select("ticker", "timestamp", "open", "close", "high", "low", "volume")
+
+
 def bar_texts(g: Given) -> DataFrame:
     """A JSON array of one bar per event, under long or short keys; some texts are broken."""
     key = F.col("event_id")

@@ -11,6 +11,7 @@ from quotemart.functions.values import flag, money, price_trend, share_volume
 from quotemart.operators.dedup import keep_first
 from quotemart.operators.history import current
 from quotemart.operators.lookup import lookup_side
+from quotemart.operators.skew import spread_join
 
 
 # A row of keys holds a ticker of at most 10 characters and three integers: some 100 MB at this bound.
@@ -79,6 +80,7 @@ def daily_fact(
     keys_bound: DataFrame | None = None,
     spread: tuple[int, int] | None = None,
     keys_size: int | None = None,
+    total: int | None = None,
 ) -> DataFrame:
     """One row per distinct bar of a ticker that resolves in every dimension.
 
@@ -86,7 +88,8 @@ def daily_fact(
     slices, told by its company. Repeated rows meet there as well, so they need no shuffle of their own.
 
     ``keys_bound`` is a cheap table with at least as many rows as ``keys``, ``keys_size`` their number
-    if it is known; they decide whether the keys are broadcast. The trend comes from the unrounded change, and repeated rows go before
+    if it is known; they decide whether the keys are broadcast. If they are not, and the number of bars is given
+    as ``total``, heavy tickers are joined in pieces. The trend comes from the unrounded change, and repeated rows go before
     rounding.
     """
     day = F.to_date("timestamp")
@@ -101,11 +104,9 @@ def daily_fact(
         share_volume(F.col("volume")).alias("volume"),
         change.alias("price_change"),
     )
-    resolved = (
-        priced.join(lookup_side(keys, keys_bound, KEY_ROWS, keys_size), "ticker")
-        .drop("ticker")
-        .dropna("any", subset=["company_key", "industry_key", "exchange_key"])
-    )
+    side = lookup_side(keys, keys_bound, KEY_ROWS, keys_size)
+    joined = spread_join(priced, keys, "ticker", total) if side is keys and total else priced.join(side, "ticker")
+    resolved = joined.drop("ticker").dropna("any", subset=["company_key", "industry_key", "exchange_key"])
     if spread:
         tasks, slices = spread
         sliced = resolved.withColumn("_slice", F.pmod(F.hash("company_key"), F.lit(slices)))

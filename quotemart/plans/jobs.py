@@ -257,7 +257,8 @@ def load_fact(
     keys = store.stage("ticker_keys", keys)
     path = fact_path(store)
     cores = store.spark.sparkContext.defaultParallelism
-    fact = daily_fact(bars, keys, spread=spread(sizes, cores), keys_size=store.rows("audit/ticker_keys"))
+    known = store.rows("audit/ticker_keys")
+    fact = daily_fact(bars, keys, spread=spread(sizes, cores), keys_size=known, total=sum(sizes.values()))
     return write_days(fact, path, sizes, references_of({t: store.read(t) for t in DIMENSIONS}, FACT))
 
 

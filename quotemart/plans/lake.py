@@ -8,6 +8,8 @@ others; then all files of its days are read again and these days are built from
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -19,7 +21,17 @@ from quotemart.sinks.daytable import Conflict, DayTable
 from quotemart.sinks.fact import spread
 from quotemart.sinks.store import Store
 from quotemart.sources import files
-from quotemart.sources.landing import bar_feed, landing_texts, records, unreadable
+from quotemart.sources.landing import (
+    ARRAYS,
+    LINES,
+    bar_feed,
+    broken_files,
+    landing_lines,
+    landing_texts,
+    line_records,
+    records,
+    unreadable,
+)
 
 DAY, LEDGER = "trading_day", "bar_files"
 # Bars without a time are kept, too.
@@ -77,14 +89,24 @@ def merge_bars(table: DayTable, fresh: DataFrame, rebuilt: set[int] = frozenset(
 
 def listed(spark: SparkSession, folder: str) -> DataFrame:
     """The landing files of a folder: path, file, bytes, modified; no content is read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folder)
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.{json,jsonl}").load(folder)
     return found.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.unix_micros("modificationTime").alias("modified"))
 
 
 def parsed(spark: SparkSession, paths: list[str], store: Store) -> tuple[DataFrame, DataFrame]:
-    """The dated bars of some files, and the names of those that can't be read; both staged."""
-    texts = landing_texts(spark, paths)
-    return store.stage("new_bars", dated(bar_feed(records(texts))), kept=1), store.stage("new_unreadable", unreadable(texts).select("file"), kept=1)
+    """The dated bars of some files, arrays or lines, and the names of those that can't be read; both staged."""
+    arrays, lines = ([p for p in paths if p.endswith(glob[1:])] for glob in (ARRAYS, LINES))
+    bars, bad = [], []
+    if arrays:
+        texts = landing_texts(spark, arrays)
+        bars.append(records(texts))
+        bad.append(unreadable(texts).select("file"))
+    if lines:
+        staged = store.stage("lines", landing_lines(spark, lines), kept=1)
+        bars.append(line_records(staged))
+        bad.append(broken_files(staged))
+    fresh = reduce(DataFrame.unionByName, [dated(bar_feed(b)) for b in bars])
+    return store.stage("new_bars", fresh, kept=1), store.stage("new_unreadable", reduce(DataFrame.unionByName, bad), kept=1)
 
 
 def publish_bars(spark: SparkSession, folder: str, lake: str, token: str) -> dict[str, int]:

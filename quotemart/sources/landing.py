@@ -3,18 +3,25 @@
 A file is parsed as a whole because a JSON array cannot be split and a broken file must be dropped
 whole; files are the unit of parallel work. The shared reader keeps (file, position), which the
 first-wins rules need, and tells an absent key from a null one.
+
+Bars may also land as JSON lines, one object a line. Such a file is split: every split numbers its
+lines, and the lines of the splits before it are added, so that lines get the places that the
+elements of an array would have.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotemart.functions.calendar import millis_to_timestamp
 from quotemart.functions.values import flag
+from quotemart.operators.lookup import lookup_side
 from quotemart.schemas import SCHEMAS
 
 RECORDS_TYPE = "array<map<string,string>>"
+RECORD_TYPE = "map<string,string>"
+ARRAYS, LINES = "*.json", "*.jsonl"
 
 # The keys read from each feed.
 COMPANY_FIELDS = [
@@ -58,7 +65,7 @@ def latest_file(spark: SparkSession, folder: str, suffix: str = ".json") -> str
 
 def landing_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per landing file of a folder, or of a list of files: file, value."""
-    reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", ARRAYS)
     texts = reader.load(path)
     return texts.select(F.col("_metadata.file_name").alias("file"), "value")
 
@@ -77,6 +84,42 @@ def unreadable(texts: DataFrame, value: str = "value") -> DataFrame:
     return texts.where(F.from_json(value, RECORDS_TYPE).isNull()).drop(value)
 
 
+def landing_lines(spark: SparkSession, path: str | list[str], glob: str = LINES) -> DataFrame:
+    """One row per line of the landing files: file, split, line, value.
+
+    ``line`` rises along a split, by one a line. Splits are read whole and in order, so the rows
+    should be staged before they are numbered in files.
+    """
+    lines = spark.read.format("text").option("pathGlobFilter", glob).load(path)
+    return lines.select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+    )
+
+
+def placed_lines(lines: DataFrame) -> DataFrame:
+    """Staged lines with their place in their file: file, pos, value."""
+    # One row for each split.
+    splits = lines.groupBy("file", "split").agg(F.min("line").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(lookup_side(starts), ["file", "split"]).select("file", (F.col("line") + F.col("shift")).cast("int").alias("pos"), "value")
+
+
+def broken_files(lines: DataFrame) -> DataFrame:
+    """The files with a line that is neither blank nor an object: file."""
+    bad = (F.trim("value") != "") & F.from_json("value", RECORD_TYPE).isNull()
+    return lines.where(bad).select("file").distinct()
+
+
+def line_records(lines: DataFrame) -> DataFrame:
+    """The objects of staged lines: file, pos, record; a file with a broken line gives no rows."""
+    whole = placed_lines(lines).join(lookup_side(broken_files(lines)), "file", "left_anti")
+    return whole.where(F.trim("value") != "").select("file", "pos", F.from_json("value", RECORD_TYPE).alias("record"))
+
+
 def field(name: str) -> Column:
     """Value of a key, NULL if it is null or absent."""
     return F.try_element_at("record", F.lit(name))

@@ -1,0 +1,100 @@
+"""Heavy keys in shuffled joins."""
+
+import datetime as dt
+import json
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from quotemart.operators.skew import heavy_keys, spread_join
+from quotemart.plans.fact import daily_fact, first_bars
+from quotemart.plans.lake import lake_bars, publish_bars
+from quotemart.sources.landing import bar_feed, landing_lines, line_records, records
+
+ROWS = 60_000
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Adaptive execution off, no broadcasts by size, eight tasks."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_bars(spark):
+    return spark.range(0, ROWS, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), (F.col("id") % 500).cast("string"))).alias("ticker"),
+        F.lit(1.0).alias("open"),
+        (F.col("id") + 2.0).alias("high"),
+        F.lit(1.0).alias("low"),
+        (F.col("id") + 1.0).alias("close"),
+        F.lit(1.0).alias("volume"),
+        F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("timestamp"),
+    )
+
+
+def ticker_rows(spark):
+    tickers = spark.range(500).select(F.concat(F.lit("t"), "id").alias("ticker")).union(spark.createDataFrame([("hot",)], "ticker string"))
+    return tickers.select("ticker", F.hash("ticker").alias("company_key"), F.lit(1).alias("industry_key"), F.lit(1).alias("exchange_key"))
+
+
+def task_sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+
+
+def test_a_third_on_one_ticker_overloads_no_task(shuffled):
+    bars, keys = hot_bars(shuffled), ticker_rows(shuffled)
+    got = spread_join(bars, keys, "ticker", ROWS)
+    plain = bars.join(keys, "ticker")
+    assert max(task_sizes(got)) <= 2 * statistics.median(task_sizes(got)) < max(task_sizes(plain))
+    order = ["ticker", "close"]
+    assert got.select(*plain.columns).orderBy(*order).collect() == plain.orderBy(*order).collect()
+    assert [(r.ticker, r._pieces) for r in heavy_keys(bars, "ticker", ROWS // 32).collect()] == [("hot", 11)]
+
+
+def test_the_fact_of_a_hot_ticker_is_whole_beyond_the_broadcast_bound(shuffled):
+    bars, keys = hot_bars(shuffled), ticker_rows(shuffled)
+    got = daily_fact(bars, keys, keys_size=10**9, total=ROWS)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_piece" in plan
+    count = lambda df: {tuple(r) for r in df.groupBy("company_key", "volume").count().collect()}
+    assert count(got) == count(daily_fact(bars, keys, keys_size=1)) and got.count() == ROWS
+
+
+def bar(ticker, day, price):
+    at = dt.datetime(2024, 1, day, 20, tzinfo=dt.timezone.utc)
+    return {"T": ticker, "o": price, "h": None, "c": price, "t": int(at.timestamp() * 1000)}
+
+
+def test_lines_read_by_many_tasks_give_the_bars_of_the_array(spark, tmp_path, folder, rows):
+    bars = [bar(f"T{k % 50}", 1 + k % 7, float(k)) for k in range(3000)]
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l/a.jsonl").write_text("".join(json.dumps(b) + "\n" + ("\n" if k % 100 == 0 else "") for k, b in enumerate(bars)))
+    (tmp_path / "l/b.jsonl").write_text("\n".join(json.dumps(bar("T1", 1, -1.0)) for _ in range(5)))
+    (tmp_path / "l/broken.jsonl").write_text(json.dumps(bar("X", 1, 1.0)) + "\n[1]\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        lines = landing_lines(spark, str(tmp_path / "l"))
+        assert lines.rdd.getNumPartitions() > 8
+        staged = folder("lines")
+        lines.write.parquet(staged)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    kept = spark.read.parquet(staged)
+    assert kept.where("file = 'a.jsonl'").select("split").distinct().count() > 8
+    array = spark.createDataFrame([("a.jsonl", json.dumps(bars)), ("b.jsonl", json.dumps([bar("T1", 1, -1.0)] * 5))], "file string, value string")
+    placed = line_records(kept)
+    assert rows(first_bars(bar_feed(placed))) == rows(first_bars(bar_feed(records(array))))
+    assert placed.where("file = 'a.jsonl'").agg(F.max("pos")).first()[0] == 3000 + 30 - 1
+
+    lake = folder("lake")
+    done = publish_bars(spark, str(tmp_path / "l"), lake, "t1")
+    assert done == {"bars": 350, "bar_files_read": 3, "bars_unreadable": 1} and lake_bars(spark, lake).count() == 350
