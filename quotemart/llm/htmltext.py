@@ -54,6 +54,14 @@ UNLIKELY = re.compile(
     r"legal|copyright|disclaimer|skip-?link|skip|hidden|sr-only|visually-hidden|print-?only|feedback|rating|reviews?|author-?box|byline-?box)(?:$|[\s_-])"
 )
 LIKELY = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|post|story|text|page|hentry|prose)(?:$|[\s_-])")
+# Inside an article a name counts only if all of its parts are furniture words or say no more than what kind of box it is.
+BOX = (
+    r"box|list|section|container|area|wrapper|wrap|block|bar|links?|form|inner|items?|posts?|articles?|stories|buttons?|icons?|panel|content|title|"
+    r"thread|body|meta|author|count|unit|slot|module|group|row|cell|col|card|teaser|site|page|main|global|top|bottom|left|right|media|js|wp|\d+"
+)
+COMMENT = re.compile(r"(?:^|[\s_-])(?:comments?|comment-?list|disqus|respon[ds]\w*|repl(?:y|ies))(?:$|[\s_-])")
+# Words that as an id may as well name a section of the article.
+WEAK = frozenset("legal follow side rail popular alert notice notices tags tag rating feedback review reviews header foot skip share social related notes disclaimer copyright".split())
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -69,16 +77,29 @@ SHARE, FLOOR, PROSE, FEW_LINKS = 0.2, 10.0, 80, 0.25
 class Node:
     """An element: its children are nodes and texts, in page order."""
 
-    __slots__ = ("tag", "parent", "children", "furniture", "score", "chars", "linked", "order")
+    __slots__ = ("tag", "parent", "children", "furniture", "inside", "score", "chars", "linked", "order")
 
     def __init__(self, tag: str, parent: Node | None, furniture: bool = False):
         self.tag, self.parent, self.furniture = tag, parent, furniture
+        # Whether it lies in an article or main, or is one.
+        self.inside = False
         self.children: list[Node | str] = []
         self.score, self.chars, self.linked, self.order = 0.0, 0, 0, 0
 
 
-def is_furniture(tag: str, raw: str) -> bool:
-    """Whether an element is page furniture by its name, role, class or id."""
+WORDS = UNLIKELY.pattern.removeprefix(r"(?:^|[\s_-])").removesuffix(r"(?:$|[\s_-])")
+WHOLE = re.compile(rf"(?:(?:{BOX})[_-])*{WORDS}(?:[_-](?:{WORDS}|{BOX}))*")
+
+
+def named_furniture(classes: str, name: str) -> bool:
+    """Whether the names of an element inside an article say that it is furniture: a class or an id as a whole."""
+    if COMMENT.search(f"{classes} {name}") and any(WHOLE.fullmatch(w) for w in f"{classes} {name}".split()):
+        return True
+    return any(WHOLE.fullmatch(w) for w in classes.split()) or any(WHOLE.fullmatch(w) and w not in WEAK for w in name.split())
+
+
+def is_furniture(tag: str, raw: str, inside: bool = False) -> bool:
+    """Whether an element is page furniture by its name, role, class or id; ``inside`` an article more is asked of names."""
     if tag in FURNITURE:
         return True
     if not raw or raw.isspace():
@@ -88,8 +109,14 @@ def is_furniture(tag: str, raw: str) -> bool:
         return True
     if found.get("role", "").lower() in ROLES:
         return True
-    if tag in ("html", "body", "article", "main") or tag in HEADINGS:
+    if tag in ("html", "body", "main") or tag in HEADINGS:
         return False
+    classes, name = (CAMEL.sub("-", found.get(k, "")).lower() for k in ("class", "id"))
+    if tag == "article":
+        # Reader comments are often marked up as articles.
+        return bool(COMMENT.search(f"{classes} {name}")) and named_furniture(classes, name)
+    if inside:
+        return named_furniture(classes, name)
     named = CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}").lower()
     return bool(UNLIKELY.search(named)) and not (LIKELY.search(named) and tag in ("section", "div") and "comment" not in named and not re.search(r"(?:^|\s)(?:ads?|sidebar|footer|header|nav)(?:$|\s)", named))
 
@@ -97,7 +124,7 @@ def is_furniture(tag: str, raw: str) -> bool:
 def parse(page: str) -> Node:
     """Tree of a page, whatever its markup."""
     root = Node("#root", None)
-    open_ = root
+    open_, forms = root, False
     at, size = 0, len(page)
     while at < size:
         lt = page.find("<", at)
@@ -140,6 +167,9 @@ def parse(page: str) -> Node:
                 node = node.parent
             if closed:
                 open_ = closed.parent
+        raw = found[3]
+        if tag in ("svg", "math") and raw.rstrip().endswith("/"):
+            continue
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
@@ -147,14 +177,39 @@ def parse(page: str) -> Node:
         if tag == "plaintext":
             open_.children.append(page[at:])
             break
-        raw = found[3]
-        node = Node(tag, open_, is_furniture(tag, raw))
+        node = Node(tag, open_, is_furniture(tag, raw, open_.inside))
+        node.inside = open_.inside or tag in ("article", "main")
+        forms = forms or tag == "form"
         open_.children.append(node)
         if tag not in VOID and not raw.rstrip().endswith("/") or tag in BLOCK and tag not in VOID:
             open_ = node
+    if forms:
+        forms_as_containers(root)
     return root
 
 
+def forms_as_containers(root: Node) -> None:
+    """A form around an article, or around most of the page's text, is no furniture."""
+    chars: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    stack: list[tuple[Node, bool]] = [(root, False)]
+    forms = []
+    while stack:
+        node, done = stack.pop()
+        if not done:
+            stack.append((node, True))
+            stack += [(c, False) for c in node.children if isinstance(c, Node)]
+            continue
+        inner = [c for c in node.children if isinstance(c, Node)]
+        chars[id(node)] = sum(len(c.strip()) for c in node.children if isinstance(c, str)) + sum(chars[id(c)] for c in inner if not c.furniture or c.tag == "form")
+        holds[id(node)] = any(holds[id(c)] or c.tag in ("article", "main") and not c.furniture for c in inner)
+        if node.tag == "form" and node.furniture:
+            forms.append(node)
+    for form in forms:
+        if holds[id(form)] or chars[id(form)] >= PROSE and 2 * chars[id(form)] > chars[id(root)]:
+            form.furniture = False
+
+
 def squeezed(parts: list[str]) -> str:
     """Texts joined, character references decoded, white space turned into single spaces, trimmed."""
     return WHITE.sub(" ", html.unescape("".join(parts))).strip()
@@ -245,6 +300,7 @@ def containers(blocks: list[tuple[Node, str, int]], nodes: list[Node]) -> list[N
             best = node
             break
         node = node.parent
+    best = shared_main(best, nodes, value)
     if best.parent is None:
         return [best]
     least, kept = max(FLOOR, value.get(id(best), 0) * SHARE), []
@@ -263,6 +319,23 @@ def containers(blocks: list[tuple[Node, str, int]], nodes: list[Node]) -> list[N
     return kept
 
 
+def shared_main(best: Node, nodes: list[Node], value: dict[int, float]) -> Node:
+    """The main element around the best article if it holds several articles of prose, else the best."""
+    main = best
+    while main is not None and main.tag != "main":
+        main = main.parent
+    if best.tag != "article" or main is None:
+        return best
+    least, found = value.get(id(best), 0) * SHARE, 0
+    for node in nodes:
+        if node.tag == "article" and node.chars >= PROSE and node.linked / node.chars < FEW_LINKS and value.get(id(node), 0) >= least:
+            above = node.parent
+            while above is not None and above is not main and above.tag != "article":
+                above = above.parent
+            found += above is main
+    return main if found > 1 else best
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in page order, one to a line; empty if there is none."""
     if not page:

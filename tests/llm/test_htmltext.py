@@ -91,3 +91,87 @@ def test_an_article_split_over_unequal_parts_stays_whole():
         links = '<a href="x">' + "c" * 200 + "</a>"
         got = main_text(f"<body><div><{tag}>{a}</{tag}><{tag}>{b}</{tag}><{tag}>{links} d</{tag}></div></body>")
         assert got.count(short) == 2 and got.count("word") == 12 and "c" * 200 not in got
+
+
+def page_of(inner):
+    return f"<html><body><nav><a href=x>Home</a></nav>{inner}<footer>Imprint</footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    "comment",
+    [
+        '<article class="comment">%s</article>',
+        '<article id="comment-12" class="comment">%s</article>',
+        '<section id="comments"><article class="comment-body">%s</article></section>',
+        '<div class="comment-list"><p>%s</p></div>',
+        '<ol class="commentlist replies"><li>%s</li></ol>',
+    ],
+)
+def test_comments_inside_the_article_go(comment):
+    page = page_of(f"<article><p>{PROSE}</p>{comment % 'I was first, and I do not agree, sorry.'}<p>End, of it.</p></article>")
+    assert main_text(page) == f"{PROSE}\nEnd, of it."
+
+
+@pytest.mark.parametrize(
+    "tag,names",
+    [
+        ("section", 'id="social-history"'),
+        ("section", 'id="related-work"'),
+        ("div", 'id="legal-aspects"'),
+        ("p", 'class="follow-up"'),
+        ("section", 'id="legal"'),
+        ("div", 'class="side-effects"'),
+        ("section", 'id="header-compression"'),
+        ("div", 'class="share-of-the-market"'),
+    ],
+)
+def test_sections_named_by_their_matter_stay(tag, names):
+    for around in ("article", "main"):
+        page = page_of(f"<{around}><p>{PROSE}</p><{tag} {names}>More of it, here.</{tag}></{around}>")
+        assert main_text(page) == f"{PROSE}\nMore of it, here."
+
+
+@pytest.mark.parametrize("names", ['class="related-posts"', 'class="social-share-buttons"', 'class="newsletter-signup box"', 'id="sidebar"', 'class="ad"', 'class="share"'])
+def test_furniture_inside_the_article_goes(names):
+    page = page_of(f"<article><p>{PROSE}</p><div {names}>Read these, too.</div></article>")
+    assert main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("drawing", ["<svg/>", '<svg viewBox="0 0 1 1" />', "<math/>", "<svg><path d='M0'/><text>x</text></svg>"])
+def test_a_drawing_ends_where_it_ends(drawing):
+    assert main_text(page_of(f"<article><p>{PROSE}</p>{drawing}<p>End, of it.</p></article>")) == f"{PROSE}\nEnd, of it."
+
+
+def test_a_form_around_the_page_is_a_container():
+    inner = f'<input type="hidden" name="state"><article><p>{PROSE}</p></article>'
+    assert main_text(page_of(f"<form action=x>{inner}</form>")) == PROSE
+    assert main_text(f"<form><div><p>{PROSE}</p><p>{PROSE}</p></div><form><p>Name, please</p></form></form>") == f"{PROSE}\n{PROSE}"
+    assert main_text(page_of(f"<article><p>{PROSE}</p><form><p>Your name, and your address, please.</p></form></article>")) == PROSE
+
+
+def test_all_articles_of_main_stay():
+    page = page_of(f"<main><article><h2>One</h2><p>{PROSE}</p></article><article><h2>Two</h2><p>{PROSE} Again.</p></article></main>")
+    assert main_text(page) == f"One\n{PROSE}\nTwo\n{PROSE} Again."
+    teasers = "".join(f'<article><a href="{k}">Another story, number {k}</a></article>' for k in range(3))
+    assert main_text(page_of(f"<main><article><p>{PROSE}</p></article>{teasers}</main>")) == PROSE
+
+
+def test_generated_articles_equal_a_second_extractor():
+    """Pages from a grammar that says of every block whether it belongs to the article."""
+    rng = random.Random(8)
+    kept = ["<p>%s</p>", '<section id="related-work"><p>%s</p></section>', "<div><p>%s</p></div>", "<blockquote>%s</blockquote>", "<ul><li>%s</li></ul>", '<p class="follow-up">%s</p>', "<h2>%s</h2>"]
+    gone = ['<article class="comment"><p>%s</p></article>', '<div class="ad">%s</div>', "<aside><p>%s</p></aside>", '<section id="comments"><div><p>%s</p></div></section>', "<form><p>%s</p></form>", "<script>%s</script>", '<div class="related-posts"><a href=x>%s</a></div>']
+    for k in range(150):
+        inner, want = [], []
+        for n in range(rng.randint(1, 12)):
+            text = f"Block {k} {n}, {PROSE if rng.random() < 0.7 else 'short, but there'}"
+            if n == 0 or rng.random() < 0.6:
+                want.append(text)
+                inner.append(rng.choice(kept) % text)
+            else:
+                inner.append(rng.choice(gone) % text)
+            if rng.random() < 0.2:
+                inner.append("<svg/>")
+        article = f"<article>{''.join(inner)}</article>"
+        page = page_of(rng.choice(["%s", "<main>%s</main>", "<div>%s</div>", "<form>%s</form>"]) % article)
+        assert main_text(page) == "\n".join(want), page
