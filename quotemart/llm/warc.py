@@ -427,18 +427,19 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
 
     The others revisit it. A null page has an empty payload. Among rows that share the largest id one
     is stored and the others revisit it; a null id is smaller than any, and is left out of the
-    record's headers. Only one row for each payload that several rows have is joined back; a payload
+    record's headers. Ids are percent-encoded there, so that any text comes back as it was. Rows are
+    numbered once, in a written table, so all of them agree on which row is stored. Whole payloads
+    count, however long. Only one row for each payload that several rows have is joined back; a payload
     that many rows have is reduced in the map tasks, and adaptive execution splits its rows.
     """
-    # One file split after the other, whatever the columns read: equal scans number rows alike.
-    rows = pages.select(
+    numbered = pages.select(
         F.col(page_id).cast("string").alias("page"),
         F.col(page_id).alias("id"),
         F.col(url).alias("target_uri"),
         F.coalesce(F.col(page).cast("binary"), F.lit(b"")).alias("payload"),
         F.monotonically_increasing_id().alias("row"),
     ).select("*", F.sha1("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("http_length"))
-    rows = rows.withColumn("record_id", record_id(F.concat_ws("|", "page", F.col("row").cast("string"))))
+    rows = staged(numbered.withColumn("record_id", record_id(F.concat_ws("|", "page", F.col("row").cast("string")))), "rows")
     kept = staged(
         rows.where(F.col("http_length") >= least)
         .groupBy("payload_digest", "http_length")
@@ -457,7 +458,7 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", p
         F.when(revisit, F.col("refers_to")).alias("refers_to"),
         "payload_digest",
         "http_length",
-        F.map_from_arrays(F.array(F.lit(PAGE), F.lit(REFERS_TO_PAGE)), F.array(F.col("page"), F.when(revisit, F.col("refers_to_page")))).alias("headers"),
+        F.map_from_arrays(F.array(F.lit(PAGE), F.lit(REFERS_TO_PAGE)), F.array(F.url_encode("page"), F.when(revisit, F.url_encode("refers_to_page")))).alias("headers"),
         F.when(~revisit, F.col("payload")).alias("payload"),
     )
 
@@ -475,8 +476,8 @@ def archived(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
     responses = read(spark, folder).where(F.col("record_type") == "response")
     revisits = read(spark, folder, payload=False).where(F.col("record_type") == "revisit")
     columns = lambda length, digest: (
-        F.col("headers")[PAGE].cast(kind).alias("page_id"), length.cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type",
-        F.col("headers")[REFERS_TO_PAGE].cast(kind).alias("refers_to"), F.col("target_uri").alias("url"),
+        F.url_decode(F.col("headers")[PAGE]).cast(kind).alias("page_id"), length.cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type",
+        F.url_decode(F.col("headers")[REFERS_TO_PAGE]).cast(kind).alias("refers_to"), F.col("target_uri").alias("url"),
     )
     stored = responses.select(*columns(F.octet_length("payload"), F.sha1("payload")))
     return stored.union(revisits.select(*columns(F.col("http_length"), F.col("payload_digest"))))

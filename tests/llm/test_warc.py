@@ -108,3 +108,21 @@ def test_pages_are_archived_once(spark):
         want.append((p, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", kept if revisit else None))
     assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(want, key=repr)
     assert archived(docs.limit(0)).collect() == []
+
+
+def test_ids_of_any_text_come_back(spark):
+    ids = [" a ", "a", "b\nc", "b%0Ac", "100%", "x+y z", "Ä: ü", "", "\t", "c\r\nX-Evil: 1"]
+    rows = [(i, f"http://x/{k}", f"page {k % 3} " * 300) for k, i in enumerate(ids)] + [(None, None, "small")]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string").repartition(4)
+    got = {r.page_id: r for r in warc.archived(pages).collect()}
+    assert set(got) == {*ids, None}
+    best = {k: max(ids[k::3], key=lambda i: i.encode()) for k in range(3)}
+    for k, i in enumerate(ids):
+        keeps = best[k % 3]
+        assert (got[i].record_type, got[i].refers_to) == (("response", None) if i == keeps else ("revisit", keeps))
+
+
+def test_rows_that_come_in_another_order_each_time_keep_one_payload(spark):
+    pages = spark.range(40).select((F.col("id") % 2).alias("page_id"), F.lit("u").alias("url"), F.lit("same text " * 200).alias("html"))
+    got = warc.archived(pages.orderBy(F.rand()).repartition(5)).groupBy("record_type").count().collect()
+    assert sorted(tuple(r) for r in got) == [("response", 1), ("revisit", 39)]
