@@ -24,6 +24,8 @@ from quotemart.llm.common import staged
 SHARDS, PER_REGION, PER_RACK = 24, 12, 4
 # Rows of a shard are numbered in so many parts, each in one task.
 PARTS = 256
+# Equal rows are numbered in pieces of at most so many, which lie in parts of their own.
+PIECE = 100_000
 # A draw uses so many hex digits of a hash.
 DIGITS = 13
 
@@ -94,27 +96,31 @@ def descend(rows: DataFrame, key: Column, root: Node, shard: str) -> DataFrame:
     return rows.withColumn(shard, F.element_at(F.array(*(F.lit(n.shard).cast("int") for n in nodes)), F.col(shard) + 1))
 
 
-def placed(docs: DataFrame, before: Node, after: Node | None = None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def placed(
+    docs: DataFrame, before: Node, after: Node | None = None, text: str = "text", doc_id: str = "doc_id", piece: int = PIECE
+) -> DataFrame:
     """(doc_id, size, text_crc32, shard, grown_shard, slot) for every document row.
 
     The id alone decides the shard; a null id counts as the empty key. A null text has no bytes: the
     crc32 of nothing is 0 and the size 8. Slots count the rows of a shard from 0, without gaps, in
     the order of hash part, id, crc32 and size; rows equal in all of these are alike, so that any of
-    them may have any of their slots. They are counted before they are numbered, so no key or text,
-    however common, is gathered in one task. An empty table gives no rows; other columns play no part.
+    them may have any of their slots. They are counted before they are numbered, and numbered in
+    pieces of at most ``piece``, so no key or text, however common, is gathered in one task. An empty table gives no rows; other columns play no part.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    found = descend(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n")), key, before, "shard")
+    found = descend(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("all")), key, before, "shard")
     found = descend(found, key, after, "grown_shard") if after else found.withColumn("grown_shard", F.lit(None).cast("int"))
-    part = F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)).cast("int")
-    alike = staged(found.withColumn("part", part), "placed")
+    cut = found.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(all - 1) div {piece}"))))
+    cut = cut.withColumn("n", F.least(F.lit(piece).cast("long"), F.col("all") - F.col("piece") * piece)).drop("all")
+    part = F.pmod(F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(PARTS)) + F.col("piece"), F.lit(PARTS)).cast("int")
+    alike = staged(cut.withColumn("part", part), "placed")
     # At most one row for each shard and part.
     sums = alike.groupBy("shard", "part").agg(F.sum("n").alias("n"))
     ahead = sums.alias("a").join(F.broadcast(sums.alias("b")), (F.col("a.shard") == F.col("b.shard")) & (F.col("b.part") < F.col("a.part")), "left")
     offsets = ahead.groupBy(F.col("a.shard").alias("shard"), F.col("a.part").alias("part")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("shard", "part").orderBy("doc_id", "text_crc32", "size", "piece").rowsBetween(Window.unboundedPreceding, -1)
     numbered = alike.withColumn("ahead", F.coalesce(F.sum("n").over(within), F.lit(0))).join(F.broadcast(offsets), ["shard", "part"])
     first = F.col("offset") + F.col("ahead")
     return numbered.withColumn("slot", F.explode(F.sequence(first, first + F.col("n") - 1))).select(

@@ -84,3 +84,10 @@ def test_every_row_is_placed_once(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert {r.grown_shard for r in placed(docs, tree(24)).collect()} == {None}
     assert placed(docs.limit(0), tree(24)).collect() == []
+
+
+def test_equal_rows_are_numbered_in_pieces(spark):
+    docs = spark.range(3000).select(F.lit(5).alias("doc_id"), F.when(F.col("id") < 2950, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    got = placed(docs, tree(24), tree(25), piece=7).collect()
+    assert sorted(r.slot for r in got) == list(range(3000)) and len({r.shard for r in got}) == 1
+    assert sum(r.size == 12 for r in got) == 2950 + 50
