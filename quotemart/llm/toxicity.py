@@ -67,6 +67,10 @@ DISGUISED = re.compile(
 # A token, and its signs that may be mere punctuation before and after it.
 TOKEN, BEFORE, AFTER = re.compile(MIXED), re.compile(r"[^\w]*"), re.compile(r"[^\w]*$")
 WORD = re.compile(r"[^\W\d_]+")
+# From so many steps at a place on, states are kept in a table.
+MANY = 300
+# Pieces decoded that a worker keeps.
+KEPT = 60_000
 # The channel's probabilities.
 CHANNEL = {"letter": 0.0, "lookalike": log(0.3), "end": log(0.1), "dropped": log(0.5), "parted": log(0.2), "once": log(0.6), "twice": log(0.3)}
 
@@ -106,7 +110,10 @@ def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
     """
     # State: the last two symbols; its value: log probability and the text so far as a linked list.
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    for choices in [*lattice(piece, ends), [(" ", 0.0)]]:
+    places = [*lattice(piece, ends), [(" ", 0.0)]]
+    for place, choices in enumerate(places):
+        if len(states) * len(choices) >= MANY:
+            return _decode_wide(states, places[place:], model)
         after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (value, said) in states.items():
             for text, chance in choices:
@@ -120,13 +127,74 @@ def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
                 if (x, y) not in after or total > after[x, y][0]:
                     after[x, y] = (total, (said, text) if text else said)
         states = after
-    parts, said = [], max(states.values(), key=lambda v: v[0])[1]
+    return _told(max(states.values(), key=lambda v: v[0])[1], [])
+
+
+def _told(said: tuple | None, parts: list[str]) -> str:
+    """The text of a linked list and of the parts that follow it, last first."""
     while said:
         said, text = said
         parts.append(text)
     return "".join(reversed(parts)).strip()
 
 
+def _symbols(text: str) -> list[int]:
+    """Symbols of a text; the model counts other letters by their bytes."""
+    return [s for c in text for s in ([SYMBOL[c]] if c in SYMBOL else [0] if c == " " else [27] * len(c.encode("utf-8", "surrogatepass")))]
+
+
+def _decode_wide(states: dict[tuple[int, int], tuple[float, tuple | None]], places: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """The rest of a decoding with all pairs of symbols at once: a place is a step over a table of states."""
+    value = np.full((SYMBOLS, SYMBOLS), -np.inf)
+    for (a, b), (total, _) in states.items():
+        value[a, b] = total
+    # What follows the end of a word does not end it again.
+    model = model.copy()
+    model[:, 0, 0] = 0.0
+    steps = []
+    for choices in places:
+        after = np.full((SYMBOLS, SYMBOLS), -np.inf)
+        back, chosen = np.zeros((2, SYMBOLS, SYMBOLS), dtype=np.int64)
+        kinds: dict[tuple[int, bool], list[int]] = {}
+        sequences = [_symbols(text) for text, _ in choices]
+        for k, sequence in enumerate(sequences):
+            kinds.setdefault((len(sequence), len(set(sequence)) < 2), []).append(k)
+        for (size, alike), which in kinds.items():
+            if size in (1, 2) and alike:
+                letters = np.array([sequences[k][0] for k in which])
+                total = (value[:, :, None] + np.array([choices[k][1] for k in which])) + model[:, :, letters]
+                if size == 1:
+                    at = total.argmax(0)
+                    best, rows, columns = np.take_along_axis(total, at[None], 0)[0], np.arange(SYMBOLS)[:, None], letters[None, :]
+                    sources = at * SYMBOLS + rows
+                else:
+                    flat = (total + model[:, letters, letters][None]).reshape(SYMBOLS * SYMBOLS, -1)
+                    sources = flat.argmax(0)
+                    best, rows, columns = flat[sources, np.arange(len(which))], letters, letters
+                better = best > after[rows, columns]
+                numbers = np.broadcast_to(np.array(which), best.shape)
+                r, c = (np.broadcast_to(x, best.shape)[better] for x in (rows, columns))
+                after[r, c], back[r, c], chosen[r, c] = best[better], np.broadcast_to(sources, best.shape)[better], numbers[better]
+                continue
+            for k in which:
+                total, source = value + choices[k][1], np.arange(SYMBOLS * SYMBOLS).reshape(SYMBOLS, SYMBOLS)
+                for s in sequences[k]:
+                    grown = total + model[:, :, s]
+                    at = grown.argmax(0)
+                    total, moved = np.full_like(value, -np.inf), np.zeros_like(source)
+                    total[:, s], moved[:, s] = grown[at, np.arange(SYMBOLS)], source[at, np.arange(SYMBOLS)]
+                    source = moved
+                better = total > after
+                after[better], back[better], chosen[better] = total[better], source[better], k
+        steps.append((back, chosen))
+        value = after
+    state, parts = int(value.argmax()), []
+    for (back, chosen), choices in zip(reversed(steps), reversed(places), strict=True):
+        parts.append(choices[int(chosen.flat[state])][0])
+        state = int(back.flat[state])
+    return _told(states[divmod(state, SYMBOLS)][1], parts)
+
+
 def spelt(token: str, model: np.ndarray) -> set[str]:
     """The likeliest words if all signs of a token are letters, with and without punctuation before and after."""
     if not TOKEN.fullmatch(token):
@@ -174,8 +242,8 @@ class Restorer:
     """Restores texts; keeps the latest pieces decoded."""
 
     def __init__(self, model: np.ndarray):
-        self.decode = lru_cache(maxsize=20_000)(lambda piece: decode(piece, model))
-        self.spelt = lru_cache(maxsize=20_000)(lambda piece: spelt(piece, model))
+        self.decode = lru_cache(maxsize=KEPT)(lambda piece: decode(piece, model))
+        self.spelt = lru_cache(maxsize=KEPT)(lambda piece: spelt(piece, model))
 
     def words(self, text: str | None) -> set[str]:
         """The words of the restored text, and those that signs spell if all are letters."""

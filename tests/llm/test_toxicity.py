@@ -177,3 +177,23 @@ def test_long_pieces_are_decoded_in_one_pass(letters):
     for shift in range(6):
         piece = "s " * shift + "  " + spaced(words * 60)
         assert decode(piece, letters).split()[-100:] == words * 50
+
+
+def test_states_in_a_table_decode_to_the_same_words(monkeypatch):
+    rng = random.Random(12)
+    text = " ".join(["the idiot was of no use", "débile et stupide", "a moron in town", "who are you then"] * 40)
+    counts = np.zeros((toxicity.SYMBOLS,) * 3)
+    symbols = [0, 0, *(toxicity.CODES[b] for b in text.encode())]
+    for a, b, c in zip(symbols, symbols[1:], symbols[2:]):  # noqa: B905
+        counts[a if b else 0, b, c] += 1 + rng.random() / 1000
+    model = toxicity.letter_model(counts)
+    signs = "".join(toxicity.LOOKALIKES)
+    pieces = ["of%%", "of%%%%", "%%of", "1d1*t", "i d # # t", "***", "id***t", "d#b%le", "éé%%%é", "stup1####"]
+    pieces += ["".join(rng.choices("idotmrné" + signs, k=rng.randint(2, 9))) for _ in range(250)]
+    for ends in (True, False):
+        found = []
+        for many in (1, toxicity.MANY, 10**9):
+            monkeypatch.setattr(toxicity, "MANY", many)
+            found.append([toxicity.decode(p, model, ends) for p in pieces])
+            monkeypatch.undo()
+        assert found[0] == found[1] == found[2]
