@@ -21,7 +21,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from math import log, sqrt
 
 import numpy as np
@@ -57,6 +57,9 @@ CODES = bytes(c - 64 if 65 <= c <= 90 else c - 96 if 97 <= c <= 122 else 27 if c
 
 SIGNS = re.escape("".join(c for c in LOOKALIKES))
 SEPARATORS = r" \t.\-_*~/\\"
+PARTING = " \t.-_~/\\"
+# Punctuation that stands for no letter; three equal letters.
+MARKS, TRIPLE = ".,;:?)\"'", re.compile(r"(.)\1\1")
 # Spaced-out letters; tokens of letters and lookalikes, at least one of each; three equal letters.
 MIXED = rf"(?<![^\W\d_])(?<![{SIGNS}])(?:[^\W\d_]++[{SIGNS}]|[{SIGNS}]++[^\W\d_])(?:[^\W\d_]|[{SIGNS}])*+"
 DISGUISED = re.compile(
@@ -71,14 +74,23 @@ WORD = re.compile(r"[^\W\d_]+")
 MANY = 300
 # Pieces decoded that a worker keeps.
 KEPT = 60_000
+# Longer stretches and runs of tokens are not kept.
+SHORT = 64
+# Runs of one character; white space; a spaced-out piece.
+RUN, GAP = re.compile(r"(.)\1*", re.S), re.compile(r"(\s+)")
+SPACED = re.compile(rf"\W*\w[{SEPARATORS}]")
 # The channel's probabilities.
 CHANNEL = {"letter": 0.0, "lookalike": log(0.3), "end": log(0.1), "dropped": log(0.5), "parted": log(0.2), "once": log(0.6), "twice": log(0.3)}
 
 
-def lattice(piece: str, ends: bool = True) -> list[list[tuple[str, float]]]:
-    """For each place the texts that may stand behind it, with the logarithms of the channel's probabilities; ``ends``: signs may end words."""
+def lattice(piece: str, ends: bool = True, spaced: bool | None = None) -> list[list[tuple[str, float]]]:
+    """For each place the texts that may stand behind it, with the logarithms of the channel's probabilities.
+
+    ``ends``: signs may end words; ``spaced``: separators may part letters, by default if the piece begins so.
+    """
     places, at = [], 0
-    spaced = bool(re.match(rf"\W*\w[{SEPARATORS}]", piece))
+    if spaced is None:
+        spaced = bool(SPACED.match(piece))
     while at < len(piece):
         c, run = piece[at], 1
         while at + run < len(piece) and piece[at + run] == c:
@@ -108,9 +120,13 @@ def decode(piece: str, model: np.ndarray, ends: bool = True) -> str:
 
     Time and memory are in proportion to the piece.
     """
+    return path((0, 0), [*lattice(piece, ends), [(" ", 0.0)]], model).strip()
+
+
+def path(state: tuple[int, int], places: list[list[tuple[str, float]]], model: np.ndarray) -> str:
+    """The likeliest text of a lattice that is entered with two symbols before it."""
     # State: the last two symbols; its value: log probability and the text so far as a linked list.
-    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
-    places = [*lattice(piece, ends), [(" ", 0.0)]]
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {state: (0.0, None)}
     for place, choices in enumerate(places):
         if len(states) * len(choices) >= MANY:
             return _decode_wide(states, places[place:], model)
@@ -135,7 +151,7 @@ def _told(said: tuple | None, parts: list[str]) -> str:
     while said:
         said, text = said
         parts.append(text)
-    return "".join(reversed(parts)).strip()
+    return "".join(reversed(parts))
 
 
 def _symbols(text: str) -> list[int]:
@@ -197,13 +213,16 @@ def _decode_wide(states: dict[tuple[int, int], tuple[float, tuple | None]], plac
 
 def spelt(token: str, model: np.ndarray) -> set[str]:
     """The likeliest words if all signs of a token are letters, with and without punctuation before and after."""
+    return {w for core in cores(token) for w in WORD.findall(decode(core, model, ends=False))}
+
+
+def cores(token: str) -> set[str]:
+    """A token with all, the outermost, all but the innermost or none of the signs at its ends taken for punctuation."""
     if not TOKEN.fullmatch(token):
         return set()
     start, stop = BEFORE.match(token).end(), AFTER.search(token).start()
-    # All of it, the outermost sign, all but the innermost or none may be punctuation.
     firsts, lasts = {0, min(1, start), max(start - 1, 0), start}, {stop, min(stop + 1, len(token)), max(len(token) - 1, stop), len(token)}
-    cores = {core for a in firsts for b in lasts if TOKEN.fullmatch(core := token[a:b])}
-    return {w for core in cores for w in WORD.findall(decode(core, model, ends=False))}
+    return {core for a in firsts for b in lasts if TOKEN.fullmatch(core := token[a:b])}
 
 
 def letter_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -239,28 +258,107 @@ def letter_model(counts: np.ndarray) -> np.ndarray:
 
 
 class Restorer:
-    """Restores texts; keeps the latest pieces decoded."""
+    """Restores texts; keeps the latest short stretches and tokens decoded.
+
+    Two letters in a row that stand for themselves bring all paths of a lattice together in one
+    state. What lies before them is decoded by itself, once for each two symbols it may follow: the
+    text is that of the whole lattice's best path.
+    """
 
     def __init__(self, model: np.ndarray):
-        self.decode = lru_cache(maxsize=KEPT)(lambda piece: decode(piece, model))
-        self.spelt = lru_cache(maxsize=KEPT)(lambda piece: spelt(piece, model))
+        self.model = model
+        self._kept_stretch = lru_cache(maxsize=KEPT)(self._stretch)
+        self._kept_piece = lru_cache(maxsize=KEPT)(self._piece)
+        self._kept_words = lru_cache(maxsize=KEPT)(self._words)
+        self._plain = lru_cache(maxsize=KEPT)(plain)
+
+    def _stretch(self, state: tuple[int, int], piece: str, ends: bool, last: bool) -> str:
+        places = lattice(piece, ends, False)
+        return path(state, [*places, [(" ", 0.0)]] if last else places, self.model)
+
+    def decode(self, piece: str, ends: bool = True) -> str:
+        """The text of ``decode``, stretch by stretch."""
+        if SPACED.match(piece):
+            return decode(piece, self.model, ends)
+        state, held, fixed, out = (0, 0), [], (), []
+        of = self._stretch if len(piece) > SHORT else self._kept_stretch
+        for m in RUN.finditer(piece):
+            run = m[0]
+            if len(run) > 2 or not (run[0] in SYMBOL or run[0].isalpha()):
+                held.append(run)
+                fixed = ()
+                continue
+            symbols = _symbols(run)
+            if held:
+                held.append(run)
+                fixed = (*fixed, *symbols)
+                if len(fixed) > 1:
+                    out.append(of(state, "".join(held), ends, False))
+                    state, held, fixed = fixed[-2:], [], ()
+            else:
+                out.append(run)
+                state = (*state, *symbols)[-2:]
+        if held:
+            out.append(of(state, "".join(held), ends, True))
+        return "".join(out).strip()
 
-    def words(self, text: str | None) -> set[str]:
-        """The words of the restored text, and those that signs spell if all are letters."""
-        pieces = set()
+    def _piece(self, piece: str) -> tuple[str, set[str]]:
+        return self.decode(piece), {w for core in cores(piece) for w in WORD.findall(self.decode(core, False))}
+
+    def _words(self, run: str) -> set[str]:
+        found = set()
 
         def restored(m: re.Match) -> str:
-            pieces.add(m[0])
-            return self.decode(m[0])
+            text, spelt = self._kept_piece(m[0]) if len(m[0]) <= SHORT else self._piece(m[0])
+            found.update(spelt)
+            return text
+
+        return found.union(WORD.findall(DISGUISED.sub(restored, run)))
 
-        found = set(WORD.findall(DISGUISED.sub(restored, (text or "").lower())))
-        return found.union(*map(self.spelt, pieces))
+    def words(self, text: str | None) -> set[str]:
+        """The words of the restored text, and those that signs spell if all are letters.
+
+        A disguised piece lies within one token or within a run of tokens that may hold parts of it;
+        other tokens are looked up.
+        """
+        parts = GAP.split((text or "").lower())
+        tokens = parts[::2]
+        known = {t: self._plain(t) if len(t) <= SHORT else plain(t) for t in set(tokens)}
+        found = set().union(*filter(None, known.values()))
+        odd = [k for k, t in enumerate(tokens) if known[t] is None]
+        first = 0
+        for k in range(len(odd)):
+            if k + 1 == len(odd) or odd[k + 1] > odd[k] + 1:
+                run = "".join(parts[2 * odd[first] : 2 * odd[k] + 1])
+                found |= self._kept_words(run) if len(run) <= SHORT else self._words(run)
+                first = k + 1
+        return found
 
     def __call__(self, text: str | None) -> str:
         """The text in lower case with its disguised pieces decoded."""
         return DISGUISED.sub(lambda m: self.decode(m[0]), (text or "").lower())
 
 
+def plain(token: str) -> tuple[str, ...] | None:
+    """The words of a token that holds no disguised piece nor part of one; None for other tokens."""
+    core = token.strip(MARKS)
+    if len(core) > 1 and core.isalpha() and not TRIPLE.search(core):
+        return (core,)
+    return None if is_open(token) or DISGUISED.search(token) else tuple(WORD.findall(token))
+
+
+def is_open(token: str) -> bool:
+    """Whether a spaced-out piece may go on into the next token or come from the one before.
+
+    That takes a single letter or sign, or none, between separators at an end; a star may be either.
+    """
+    first, last = token.lstrip(PARTING), token.rstrip(PARTING)
+    if "*" in token or not first:
+        return True
+    single = lambda c, beside: (c in LOOKALIKES or c.isalnum()) and not beside.isalnum()
+    return single(first[0], first[1:2]) or single(last[-1], last[-2:-1])
+
+
 @dataclass
 class Model:
     """Letter model, and marks (words and stems) with the chance that a document with the mark is toxic."""
@@ -268,6 +366,11 @@ class Model:
     letters: np.ndarray
     marked: dict[str, float]
 
+    @cached_property
+    def heads(self) -> set[str]:
+        """First letters of all marks; other words have none."""
+        return {m.removesuffix(END)[:STEM] for m in self.marked}
+
 
 def surely(with_: int, of: int, z: float = 1.96) -> float:
     """Lower confidence bound of a share."""
@@ -323,8 +426,10 @@ def marks_of(word: str) -> list[str]:
 
 def rate(text: str | None, model: Model, restore: Restorer) -> float:
     """Chance that a text is toxic."""
-    get, best = model.marked.get, {}
+    get, heads, best = model.marked.get, model.heads, {}
     for word in restore.words(text):
+        if word[:STEM] not in heads:
+            continue
         sure = max([get(m, 0.0) for m in marks_of(word)])
         if sure:
             best[word[:STEM]] = max(sure, best.get(word[:STEM], 0.0))

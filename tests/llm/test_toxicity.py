@@ -197,3 +197,33 @@ def test_states_in_a_table_decode_to_the_same_words(monkeypatch):
             found.append([toxicity.decode(p, model, ends) for p in pieces])
             monkeypatch.undo()
         assert found[0] == found[1] == found[2]
+
+
+def whole(text, model):
+    """Words of a text whose pieces are sought in the whole of it, and each decoded as one lattice."""
+    text, pieces = (text or "").lower(), set()
+
+    def restored(m):
+        pieces.add(m[0])
+        return decode(m[0], model)
+
+    found = set(toxicity.WORD.findall(toxicity.DISGUISED.sub(restored, text)))
+    return found.union(*(toxicity.spelt(p, model) for p in pieces))
+
+
+def test_stretches_and_tokens_give_the_words_of_whole_lattices(letters):
+    rng = random.Random(13)
+    signs = "".join(toxicity.LOOKALIKES) + " .-_~/\\\t\n,(é١ß"
+    texts = ["".join(rng.choice("abiost" if rng.random() < 0.6 else signs) for _ in range(rng.randint(1, 25))) for _ in range(1500)]
+    texts += ["".join(rng.choices("ab1*- !", k=rng.randint(1, 14))) for _ in range(1500)]
+    texts += ["the!! of%%% and*** i - d - i o t", "a **xy b", "xy** a b c", "i\nd\ni o t", "x" * 200 + "!! b", "1d10t!! " * 30, None, "", " \t"]
+    restore = Restorer(letters)
+    for text in texts:
+        assert restore.words(text) == whole(text, letters), text
+        assert restore(text) == toxicity.DISGUISED.sub(lambda m: decode(m[0], letters), (text or "").lower()), text
+
+
+def test_words_without_marks_are_passed_over(letters):
+    model, restore = Model(letters, {"sh$": 0.8, "idio": 0.9, "moron$": 0.9}), Restorer(letters)
+    for text, high in (("sh", True), ("shot", False), ("idioty", True), ("moron", True), ("moro", False), ("morons", False)):
+        assert (rate(text, model, restore) > 0.7) == high, text
