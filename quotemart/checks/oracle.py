@@ -174,7 +174,7 @@ PARTS = {
         FROM dim_company_rows r WHERE CAST(company_cik AS BIGINT) % 7 <> 3""",
     "next_rows": """
         SELECT * REPLACE (CASE WHEN CAST(company_cik AS BIGINT) % 5 = 0 THEN 'Moved' ELSE company_location END AS company_location)
-        FROM dim_company_rows WHERE CAST(company_cik AS BIGINT) % 11 <> 4""",
+        FROM dim_company_rows WHERE CAST(company_cik AS BIGINT) % 11 <> 4 OR CAST(company_cik AS BIGINT) % 7 = 3""",
 }
 
 ORACLE = {
@@ -273,7 +273,7 @@ ORACLE = {
         WITH old AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS region_id, c_name AS region_name, c_mktsegment AS region_market_type,
                 '09:30:00' AS region_local_open, '16:00:00' AS region_local_close FROM customer WHERE c_custkey % 2 = 0),
             new AS (SELECT c_name AS region_name, 'Equity' AS region_market_type, '08:00:00' AS region_local_open,
-                CASE WHEN c_custkey % 9 <> 0 THEN '17:00:00' END AS region_local_close FROM customer WHERE c_custkey % 3 = 0)
+                CASE WHEN c_custkey % 9 <> 0 THEN '17:00:00' END AS region_local_close FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 3 = 0)
         SELECT o.* FROM old o ANTI JOIN new n USING (region_name)
         UNION ALL SELECT o.region_id, n.* FROM old o JOIN new n USING (region_name)
         UNION ALL SELECT CAST((SELECT max(region_id) FROM old) + row_number() OVER (ORDER BY md5(region_name)) AS INTEGER), n.*
@@ -282,7 +282,7 @@ ORACLE = {
         WITH old AS (SELECT CAST(c_custkey + 1 AS INTEGER) AS exchange_id, c_nationkey + 1 AS exchange_region_id, c_name AS exchange_name
                 FROM customer WHERE c_custkey % 2 = 0),
             new AS (SELECT (c_nationkey + 1) % 25 + 1 AS exchange_region_id, c_name AS exchange_name
-                FROM customer WHERE c_custkey % 3 = 0)
+                FROM customer WHERE c_custkey % 2 = 1 OR c_custkey % 3 = 0)
         SELECT o.* FROM old o ANTI JOIN new n USING (exchange_name)
         UNION ALL SELECT o.exchange_id, n.* FROM old o JOIN new n USING (exchange_name)
         UNION ALL SELECT CAST((SELECT max(exchange_id) FROM old) + row_number() OVER (ORDER BY md5(exchange_name)) AS INTEGER), n.*
@@ -290,7 +290,7 @@ ORACLE = {
     "upsert_sic_codes": """
         WITH old AS (SELECT p_partkey AS sic_id, p_partkey AS src FROM part WHERE p_partkey % 2 = 0),
             new AS (SELECT p_partkey AS sic_id, CASE WHEN p_partkey % 5 = 0 THEN p_partkey - p_partkey % 2 + 2
-                WHEN p_partkey % 7 = 0 THEN -7 ELSE -p_partkey - 100 END AS src FROM part WHERE p_partkey % 3 = 0),
+                WHEN p_partkey % 7 = 0 THEN -7 ELSE -p_partkey - 100 END AS src FROM part WHERE p_partkey % 2 = 1 OR p_partkey % 3 = 0),
             effective AS (SELECT n.* FROM new n
                 WHERE NOT EXISTS (SELECT 1 FROM old h WHERE h.src = n.src AND h.sic_id <> n.sic_id)
                 AND NOT EXISTS (SELECT 1 FROM new e WHERE e.src = n.src AND e.sic_id < n.sic_id

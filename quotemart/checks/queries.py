@@ -380,7 +380,7 @@ def upsert_regions(g: Given) -> DataFrame:
         F.lit("09:30:00").alias("region_local_open"),
         F.lit("16:00:00").alias("region_local_close"),
     )
-    new = g.table("customer").where(key % 3 == 0).select(
+    new = g.table("customer").where((key % 2 == 1) | (key % 3 == 0)).select(
         F.col("c_name").alias("region_name"),
         F.lit("Equity").alias("region_market_type"),
         F.lit("08:00:00").alias("region_local_open"),
@@ -398,7 +398,7 @@ def upsert_exchanges(g: Given) -> DataFrame:
         (F.col("c_nationkey") + 1).alias("exchange_region_id"),
         F.col("c_name").alias("exchange_name"),
     )
-    new = g.table("customer").where(key % 3 == 0).select(
+    new = g.table("customer").where((key % 2 == 1) | (key % 3 == 0)).select(
         F.col("c_name").alias("exchange_name"),
         ((F.col("c_nationkey") + 1) % 25 + 1).alias("exchange_region_id"),
     )
@@ -420,7 +420,7 @@ def upsert_sic_codes(g: Given) -> DataFrame:
     old = part.where(key % 2 == 0).select(key.cast("int").alias("sic_id"), *sic_pair(key))
     # The pair of another old row, one pair shared by many new rows, or a pair of its own.
     source = F.when(key % 5 == 0, key - key % 2 + 2).when(key % 7 == 0, -7).otherwise(-key - 100)
-    new = part.where(key % 3 == 0).select(key.alias("pos"), key.cast("int").alias("sic_id"), *sic_pair(source))
+    new = part.where((key % 2 == 1) | (key % 3 == 0)).select(key.alias("pos"), key.cast("int").alias("sic_id"), *sic_pair(source))
     return upsert_sic(old, new)
 
 
@@ -481,11 +481,11 @@ def fact_null_purge(g: Given) -> DataFrame:
 
 
 def company_versions(g: Given) -> tuple[DataFrame, DataFrame]:
-    """A loaded company dimension, and the rows of the next load: some changed, new or absent."""
+    """A loaded company dimension, and the rows of the next load: some changed, new or absent; every company is in one of them."""
     first = dimensions.company_rows(g.companies().where("company_id % 7 <> 3"))
     loaded = assign_keys(first, list(company_key().values()), "company_key")
     dim = loaded.withColumn("is_current", F.lit(True)).select(*SCHEMAS["dim_company"].names)
-    moved = g.companies().where("company_id % 11 <> 4").withColumn(
+    moved = g.companies().where("company_id % 11 <> 4 OR company_id % 7 = 3").withColumn(
         "company_location", F.when(F.col("company_id") % 5 == 0, "Moved").otherwise(F.col("company_location"))
     )
     return dim, dimensions.company_rows(moved)
