@@ -255,7 +255,7 @@ ORACLE = {
     "company_lists_union": """
         WITH ends AS (SELECT c_mktsegment AS seg, max(c_custkey) + 1 AS n FROM customer GROUP BY c_mktsegment)
         SELECT CAST(c_custkey + coalesce((SELECT sum(n) FROM ends WHERE seg < c_mktsegment), 0) AS BIGINT) AS pos, c_name, c_mktsegment
-        FROM customer WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""",
+        FROM customer WHERE c_mktsegment IS NOT NULL""",
     "resolve_exchange_rows": "SELECT * FROM exchange_resolved",
     "resolve_company_rows": """
         SELECT pos, ticker AS company_ticker, delisted AS company_is_delisted, exchange_id AS company_exchange_id,

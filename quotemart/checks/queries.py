@@ -37,7 +37,7 @@ from quotemart.plans.lake import KEPT_SCHEMA, bar_table, dated, merge_bars
 from quotemart.schemas import DIMENSIONS, FACT, FOREIGN, LENGTHS, REQUIRED, SCHEMAS, UNIQUE
 from quotemart.session import scratch_dir
 from quotemart.sinks.fact import read_fact, sizes_of, spread, write_days
-from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot
+from quotemart.sinks.snapshots import keep_latest, write_json, write_snapshot, write_snapshots
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import landing
 from quotemart.sources.snapshots import only_latest, read_all_snapshots, read_snapshot
@@ -312,7 +312,8 @@ def companies_per_exchange_limit(g: Given) -> DataFrame:
 @query
 def company_lists_union(g: Given) -> DataFrame:
     rows = g.table("customer").select(F.col("c_custkey").alias("pos"), "c_name", "c_mktsegment")
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    # One list per segment.
+    segments = sorted(s for (s,) in rows.select("c_mktsegment").where("c_mktsegment IS NOT NULL").distinct().collect())
     lists = [rows.where(F.col("c_mktsegment") == segment) for segment in segments]
     return normalize.join_lists(lists, None)
 
@@ -625,11 +626,10 @@ def json_roundtrip(g: Given) -> DataFrame:
 
 @query
 def retention_latest(g: Given) -> DataFrame:
-    """A snapshot per calendar year is written, all but the latest are removed, the rest is read."""
+    """A snapshot per calendar year, all written by one job; all but the latest are removed, the rest is read."""
     folder = scratch_dir(g.spark, "orders")
     rows = g.table("orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    for (year,) in rows.select("year").distinct().collect():
-        write_snapshot(rows.where(F.col("year") == year), folder, "snapshot_date", f"{year}_01_01")
+    write_snapshots(rows.withColumn("snapshot_date", F.concat(F.col("year").cast("string"), F.lit("_01_01"))), folder, "snapshot_date")
     keep_latest(g.spark, folder, "snapshot_date")
     return read_all_snapshots(g.spark, folder, rows.schema).drop("snapshot_date")
 

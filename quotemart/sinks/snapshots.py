@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quotemart.sources import files
-from quotemart.sources.snapshots import snapshot_tokens
+from quotemart.sources.snapshots import COMPLETE, snapshot_tokens
 
 
 def write_snapshot(df: DataFrame, table: str, column: str, token: str) -> int:
@@ -23,6 +23,23 @@ def write_snapshot(df: DataFrame, table: str, column: str, token: str) -> int:
     return rows
 
 
+def write_snapshots(df: DataFrame, table: str, column: str) -> list[str]:
+    """Write the snapshots that ``column`` names, over former ones of these tokens, and return the tokens.
+
+    All are written by one job, and count as complete once all of it has ended; other snapshots stay.
+    Rows without a token raise.
+    """
+    spark = df.sparkSession
+    token = F.when(F.col(column).isNull(), F.raise_error(F.lit(f"rows without {column}"))).otherwise(F.col(column).cast("string"))
+    seen = Observation()
+    # One token for each snapshot.
+    rows = df.withColumn(column, token).observe(seen, F.array_sort(F.collect_set(column)).alias("tokens"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(table)
+    for name in (tokens := seen.get["tokens"]):
+        files.write_text(spark, f"{table}/{column}={name}/{COMPLETE}", "")
+    return tokens
+
+
 def write_json(df: DataFrame, folder: str, column: str, token: str) -> None:
     """Write one snapshot of a processed entity as JSON lines."""
     df.write.mode("overwrite").json(f"{folder}/{column}={token}")

@@ -23,7 +23,7 @@ from quotemart.plans.jobs import (
 )
 from quotemart.schemas import DIMENSIONS, FACT, SCHEMAS, SOURCE_TABLES
 from quotemart.sinks import fact as fact_sink
-from quotemart.sinks.snapshots import keep_latest, write_snapshot
+from quotemart.sinks.snapshots import keep_latest, write_snapshot, write_snapshots
 from quotemart.sinks.store import Store, fact_path
 from quotemart.sources import database, files
 from quotemart.sources.landing import read_bars
@@ -425,3 +425,16 @@ def test_a_load_that_breaks_a_constraint_leaves_the_former_tables(spark, store):
         load_feeds(spark, None, markets, store)
     assert store.read("regions").count() == 0
     assert [r.exchange_name for r in store.read("exchanges").collect()] == ["NYSE"]
+
+
+def test_snapshots_of_one_job_replace_their_own_tokens_only(spark, tmp_path):
+    table = str(tmp_path / "snapshots")
+    make = lambda rows: spark.createDataFrame(rows, "x int, snapshot_date string")
+    assert write_snapshots(make([(1, "2024_01_01"), (2, "2024_01_02"), (3, "2024_01_02")]), table, "snapshot_date") == ["2024_01_01", "2024_01_02"]
+    assert write_snapshots(make([(4, "2024_01_02"), (5, "2024_01_03")]), table, "snapshot_date") == ["2024_01_02", "2024_01_03"]
+    assert snapshot_tokens(spark, table, "snapshot_date") == ["2024_01_01", "2024_01_02", "2024_01_03"]
+    assert sorted(tuple(r) for r in spark.read.parquet(table).select("x").collect()) == [(1,), (4,), (5,)]
+    with pytest.raises(Exception, match="rows without snapshot_date"):
+        write_snapshots(make([(6, None)]), table, "snapshot_date")
+    assert keep_latest(spark, table, "snapshot_date") == ["2024_01_01", "2024_01_02"]
+    assert write_snapshots(make([]), table, "snapshot_date") == []
