@@ -44,6 +44,8 @@ from quotemart.sources.snapshots import only_latest, read_all_snapshots, read_sn
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Landed files, and rows of each in larger feeds: some 65 MB shuffled to the task that writes it.
+LANDED_FILES, LANDED_ROWS = 4, 1_000_000
 
 
 def query(build: Callable[[Given], DataFrame]) -> Callable[[Given], DataFrame]:
@@ -143,14 +145,20 @@ def bars_by_day_batches(g: Given) -> DataFrame:
     return table.read().select("ticker", "timestamp", "open", "close", "high", "low", "volume")
 
 
+def land_lines(feed: DataFrame, order: list[str], told: list[str | Column], folder: str, rows: int = LANDED_ROWS) -> int:
+    """Write a feed as JSON lines whose files and lines follow an order; returns the files asked for, one for so many rows."""
+    count = max(LANDED_FILES, -(-feed.count() // rows))
+    feed.repartitionByRange(count, *order).sortWithinPartitions(*order).select(*told).write.json(folder)
+    return count
+
+
 @query
 def bars_from_lines(g: Given) -> DataFrame:
     """Bars landed as JSON lines and read back by splits."""
     folder = scratch_dir(g.spark, "lines")
     order = ["l_orderkey", "file", "pos"]
     told = ["ticker", "open", "close", "high", "low", "volume", F.col("millis").alias("timestamp")]
-    feed = placed_bars(g).repartitionByRange(4, *order).sortWithinPartitions(*order)
-    feed.select(*told).write.json(f"{folder}/bars")
+    land_lines(placed_bars(g), order, told, f"{folder}/bars")
     store = Store(g.spark, f"{folder}/staged")
     lines = store.stage("lines", landing.landing_lines(g.spark, f"{folder}/bars", landing.ARRAYS))
     kept = first_bars(landing.bar_feed(landing.line_records(lines)))

@@ -1,6 +1,11 @@
 import datetime as dt
+import json
 import os
+from pathlib import Path
 
+from pyspark.sql import functions as F
+
+from quotemart.checks.queries import land_lines
 from quotemart.operators.resolve import resolve_industries, resolve_regions, resolve_sic
 from quotemart.plans import normalize
 from quotemart.plans.fact import first_bars
@@ -147,3 +152,13 @@ def test_lists_follow_one_another_whole(spark, rows):
     lists = [spark.createDataFrame([(i, f"{n}{i}") for i in range(size)], "pos int, name string") for n, size in (("a", 3), ("b", 2), ("c", 2))]
     assert rows(normalize.join_lists(lists, None)) == [(0, "a0"), (1, "a1"), (2, "a2"), (3, "b0"), (4, "b1"), (5, "c0"), (6, "c1")]
     assert rows(normalize.join_lists(lists, 3), "name") == [("a0",), ("b0",), ("c0",)]
+
+
+def test_larger_feeds_land_in_more_files_in_order(spark, tmp_path):
+    feed = spark.range(1000).select((999 - F.col("id")).alias("id"))
+    for rows, files in ((100, 10), (1000, 4)):
+        folder = f"{tmp_path}/{files}"
+        assert land_lines(feed, ["id"], ["id"], folder, rows) == files
+        landed = {f.name: [json.loads(line)["id"] for line in f.read_text().splitlines()] for f in Path(folder).glob("*.json")}
+        assert [k for name in sorted(landed) for k in landed[name]] == list(range(1000))
+        assert len(landed) == files and max(map(len, landed.values())) < 2 * rows
