@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
@@ -43,6 +43,12 @@ _PLACE = [
     StructField(DAY, IntegerType()),
 ]
 KEPT_SCHEMA = StructType([*SCHEMAS["bars"].fields, *_PLACE])
+# Equal bars have the same key; the one with the first place counts.
+KEY, PLACE = [DAY, "ticker", "millis"], ["file", "pos"]
+# A bar takes some 200 bytes in a sort: about 400 MB per task.
+BARS_PER_TASK = 2_000_000
+# Parts of a day whose sizes tell whether a bar has too many repeats.
+PARTS = 64
 
 
 def bar_table(spark: SparkSession, lake: str) -> DayTable:
@@ -57,29 +63,51 @@ def dated(feed: DataFrame) -> DataFrame:
 
 def first_of(bars: DataFrame) -> DataFrame:
     """The first bar of every ticker and raw millisecond in file order; equal times lie on one day."""
-    return keep_first(bars, [DAY, "ticker", "millis"], [F.col("file"), F.col("pos")])
+    return keep_first(bars, KEY, [F.col(c) for c in PLACE])
 
 
-def merge_bars(table: DayTable, fresh: DataFrame, rebuilt: set[int] = frozenset(), label: str = "", always: bool = False) -> set[int]:
+def part_of(count: int) -> Column:
+    """Which of so many parts of a day a bar belongs to; a ticker's bars are in one."""
+    return F.pmod(F.hash("ticker"), F.lit(count))
+
+
+def first_by_day(bars: DataFrame, tasks: int, slices: int) -> DataFrame:
+    """The first bars, gathered for the write: a day goes to as many tasks as slices.
+
+    Repeats of a bar meet in its slice of the day, so telling the first ones takes no shuffle of its
+    own; the day leads the sort, so the write needs no other.
+    """
+    gathered = bars.withColumn("_slice", part_of(slices)).repartition(tasks, DAY, "_slice")
+    window = Window.partitionBy(DAY, "_slice", F.xxhash64("ticker", "millis"), "ticker", "millis").orderBy(*PLACE)
+    return gathered.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank", "_slice")
+
+
+def sizes_by_day(fresh: DataFrame) -> tuple[dict[int, int], int]:
+    """Rows of each day, and the most that a part of a day has; a calendar bounds the days."""
+    parts = fresh.groupBy(DAY, part_of(PARTS).alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+    counted = parts.groupBy(DAY).agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    return {r[DAY]: r["n"] for r in counted}, max((r["most"] for r in counted), default=0)
+
+
+def merge_bars(table: DayTable, fresh: DataFrame, rebuilt: set[int] = frozenset(), label: str = "", always: bool = False, rows: int = BARS_PER_TASK) -> set[int]:
     """Bring the days of ``fresh`` up to date and return the days that may have changed.
 
     ``fresh`` is a dated feed as a written table; only its days are read, and ``rebuilt`` days lose
     what they held. Bars that are merged again change nothing. If another load changes one of the
     days meanwhile, the merge starts again from that load's content. ``always`` publishes a version
-    under the label even if no day changes.
+    under the label even if no day changes. A task gets about so many ``rows``.
     """
-    # A calendar bounds the days.
-    sizes = {r[DAY]: r["n"] for r in fresh.groupBy(DAY).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes, most = sizes_by_day(fresh)
+    # A part of a day that outweighs a task may be one bar's repeats: these go in the tasks that read them.
+    new = first_of(fresh) if most > rows else fresh
     touched = sizes.keys() | rebuilt
     if not touched and not always:
         return set()
     while True:
         ground = table.version()
         held = {d: p.rows for d, p in ground.days.items() if d in sizes and d not in rebuilt}
-        merged = first_of(table.read(held, version=ground).unionByName(fresh))
-        tasks, slices = spread({d: n + held.get(d, 0) for d, n in sizes.items()}, table.spark.sparkContext.defaultParallelism)
-        gathered = merged.withColumn("_slice", F.pmod(F.hash("ticker"), F.lit(slices))).repartition(tasks, DAY, "_slice").drop("_slice")
-        staged = table.stage(gathered)
+        tasks, slices = spread({d: n + held.get(d, 0) for d, n in sizes.items()}, table.spark.sparkContext.defaultParallelism, rows)
+        staged = table.stage(first_by_day(table.read(held, version=ground).unionByName(new), tasks, slices))
         try:
             table.publish(staged, touched, label, ground)
             return set(touched)

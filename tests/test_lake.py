@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quotemart.plans import lake as lake_plan
 from quotemart.plans.fact import first_bars
 from quotemart.plans.jobs import load_warehouse
-from quotemart.plans.lake import bar_table, dated, lake_bars, merge_bars, publish_bars, unreadable_files
+from quotemart.plans.lake import bar_table, dated, first_by_day, first_of, lake_bars, merge_bars, publish_bars, unreadable_files
 from quotemart.schemas import SCHEMAS
 from quotemart.sinks import daytable
 from quotemart.sources import files
@@ -141,3 +141,19 @@ def test_two_merges_of_a_day_at_once_both_count(spark, folder, rows, monkeypatch
     merge_bars(table, feed_of(spark, "c", [bar("C", 2, 3.0), bar("A", 2, 9.0)]))
     assert rows(table.read(), "ticker", "open") == [("A", 1.0), ("A", 1.0), ("B", 2.0), ("C", 3.0)]
     assert not table.read().where(F.col("open") == 9.0).count()
+
+
+def test_bars_meet_in_one_shuffle_before_their_days_are_written(spark, folder, rows):
+    bars = feed_of(spark, "a", [bar(t, d, p) for p in (1.0, 2.0) for d in range(1, 10) for t in "ABC"])
+    found = first_by_day(bars, 3, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(found) == rows(first_of(bars)) and found.count() == 27
+
+
+@pytest.mark.parametrize("most", [1, 5, 1000])
+def test_repeats_that_outweigh_a_task_change_nothing(spark, folder, rows, most):
+    table = bar_table(spark, folder("heavy"))
+    for name, price in (("b", 2.0), ("a", 1.0)):
+        merge_bars(table, feed_of(spark, name, [bar("A", 2, price)] * 40 + [bar("B", 3, price)]), rows=most)
+    assert rows(table.read(), "ticker", "open", "file", "pos") == [("A", 1.0, "a", 0), ("B", 1.0, "a", 40)]
