@@ -42,6 +42,8 @@ KEPT = 300_000
 # Short words are merged so many at a time, in rows of these widths. The rank of what doesn't merge.
 WIDTHS, TOGETHER = (8, 12, 16, 32), 8_000
 LAST = np.int32(2**31 - 1)
+# Rows of words that are done stay among the others up to this share of open ones.
+KEEP = 0.8
 # Fewer words than this are merged one by one.
 FEW = 64
 # Turns of a short word that are looked at in one go, those of them drawn first, and turns of 16 bits in a number drawn.
@@ -237,57 +239,61 @@ class Merges:
 
     def symbols(self, words: list[str], width: int) -> np.ndarray:
         """Symbols of words of up to ``width`` letters: ids of pieces, ``other`` plus the code point of others, -1 after the end."""
-        points = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
-        out = np.where(self.points[at] == points, self.letters[at], self.other + points.astype(np.int32)).reshape(-1, width)
-        sizes = np.fromiter((len(w) for w in words), dtype=np.int64, count=len(words))
-        out[np.arange(width) >= sizes[:, None]] = -1
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        out = np.full((len(words), width), -1, dtype=np.int32)
+        out[np.arange(width) < sizes[:, None]] = np.where(self.points[at] == points, self.letters[at], self.other + points.astype(np.int32))
         return out
 
     def segment(self, words: list[str], width: int, skipped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Final symbols of the words, a row each, and how many turns they had: one more than ``skipped`` has columns if these are too few."""
-        now = self.symbols(words, width)
-        done, turns = np.full_like(now, -1), np.zeros(len(words), dtype=np.int64)
-        row = np.arange(len(words))
-        scores, wholes = self.pairs(now[:, :-1], now[:, 1:])
+        """Final symbols of the words, a row each with -1 in the places that merges left, and how many turns they had: one more than ``skipped`` has columns if these are too few."""
+        count, wide = len(words), width + 1
+        # The last place of a row stands for whatever lies before or after the word.
+        now = np.full((count, wide), -1, dtype=np.int32)
+        now[:, :width] = self.symbols(words, width)
+        done, turns = np.full((count, width), -1, dtype=np.int32), np.zeros(count, dtype=np.int64)
+        scores, wholes = np.full((count, wide), LAST, dtype=np.int32), np.zeros((count, wide), dtype=np.int32)
+        there = np.flatnonzero(now[:, 1:].ravel() >= 0)
+        there += there // width
+        scores.ravel()[there], wholes.ravel()[there] = self.pairs(now.ravel()[there], now.ravel()[there + 1])
+        # The places of the symbols beside each symbol.
+        after = np.tile(np.arange(1, wide + 1, dtype=np.int8), (count, 1))
+        before = np.tile(np.append(width, np.arange(width)).astype(np.int8), (count, 1))
+        row = np.arange(count)
         turn = 0
         while len(row):
             at = scores.argmin(1)
-            each = np.arange(len(row))
-            open_ = scores[each, at] != LAST
+            start = np.arange(len(row)) * wide
+            open_ = scores.ravel()[start + at] != LAST
             if turn == skipped.shape[1]:
                 turns[row[open_]] = turn + 1
-                turns[row[~open_]] = turn
-                done[row] = now
+                done[row] = now[:, :width]
                 break
-            if not open_.all():
-                turns[row[~open_]] = turn
-                done[row[~open_]] = now[~open_]
-                row, now, scores, wholes, at = row[open_], now[open_], scores[open_], wholes[open_], at[open_]
-                each = np.arange(len(row))
-                if not len(row):
-                    break
-            gone = skipped[row, turn]
-            scores[each[gone], at[gone]] = LAST
-            merging = each[~gone]
+            going = np.flatnonzero(open_)
+            if len(going) < KEEP * len(row):
+                # Closed rows go, once they are many.
+                done[row[~open_]] = now[~open_, :width]
+                row, now, scores, wholes, after, before, at = (x[going] for x in (row, now, scores, wholes, after, before, at))
+                going = np.arange(len(row))
+                start = going * wide
+            turns[row[going]] = turn + 1
+            gone = skipped[row[going], turn]
+            off = going[gone]
+            scores.ravel()[start[off] + at[off]] = LAST
+            merging = going[~gone]
             turn += 1
-            k = at[merging]
-            now[merging, k] = wholes[merging, k]
-            # What lies after the merged pair moves up by one place.
-            places = np.arange(width, dtype=np.int32)
-            source = np.minimum(places + (places > k[:, None]), width - 1)
-            moved = np.take_along_axis(now[merging], source, 1)
-            moved[:, -1] = -1
-            now[merging] = moved
-            source = np.minimum(places[:-1] + (places[:-1] >= k[:, None]), width - 2)
-            s, w = np.take_along_axis(scores[merging], source, 1), np.take_along_axis(wholes[merging], source, 1)
-            s[:, -1] = LAST
-            rows = np.arange(len(k))
-            right = k < width - 1
-            s[rows[right], k[right]], w[rows[right], k[right]] = self.pairs(moved[rows[right], k[right]], moved[rows[right], k[right] + 1])
-            left = k > 0
-            s[rows[left], k[left] - 1], w[rows[left], k[left] - 1] = self.pairs(moved[rows[left], k[left] - 1], moved[rows[left], k[left]])
-            scores[merging], wholes[merging] = s, w
+            base = start[merging]
+            flat, score, whole, right, left = now.ravel(), scores.ravel(), wholes.ravel(), after.ravel(), before.ravel()
+            k = base + at[merging]
+            gap = base + right[k]
+            far, near = base + right[gap], base + left[k]
+            flat[k], flat[gap], score[gap] = whole[k], -1, LAST
+            right[k], left[far] = right[gap], at[merging]
+            # What lies outside the word merges with nothing.
+            merged = flat[k]
+            score[k], whole[k] = self.pairs(merged, flat[far])
+            score[near], whole[near] = self.pairs(flat[near], merged)
         return done, turns
 
 

@@ -6,7 +6,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from quotemart.llm import pieces
-from quotemart.llm.pieces import MODEL, Encoder, Turns, Vocabulary, decode_ids, segment
+from quotemart.llm.pieces import MODEL, TURNS, WIDTHS, Encoder, Merges, Skips, Turns, Vocabulary, decode_ids, segment
 
 TEXTS = [
     "Hello  world\n\tx", " lead", "trail ", "▁lit ▁▁", " nb é 日本 😀", "a\r\nb", "", " ", "   ", "ﬁ ½ x² ²x.", "\x00x", "don't (stop) e.g. a_b __ 1,000.5%",
@@ -138,3 +138,28 @@ def test_every_occurrence_has_its_own_draw(vocabulary):
     want = ["".join(p + "|" for p in d).replace("▁", " ") for d in drawn]
     assert len(got) == 8000 and abs(got.count(usual) - want.count(usual)) < 300
     assert len(set(got)) > 0.7 * len(set(want)) > 40
+
+
+def test_words_merged_together_are_merged_as_one_by_one(vocabulary):
+    rng = random.Random(5)
+    merges, order = Merges(vocabulary), vocabulary.order
+    letters = "▁etaoinshr" * 3 + "é中😀\u0001-.'"
+    names = dict(map(reversed, vocabulary.ids.items()))
+    for width in WIDTHS:
+        words = ["".join(rng.choices(letters, k=rng.randint(1, width))) for _ in range(300)]
+        skipped = np.array([[rng.random() < 0.2 for _ in range(TURNS)] for _ in words])
+        symbols, turns = merges.segment(words, width, skipped)
+        for word, bits, row, had in zip(words, skipped, symbols, turns, strict=True):
+            skips = Skips(sum(1 << t for t in np.flatnonzero(bits).tolist()))
+            parts = segment(word, order, skips)
+            assert [names.get(k) or chr(k - merges.other) for k in row.tolist() if k >= 0] == parts
+            assert had == skips.turn
+
+
+def test_no_pair_is_looked_up_outside_the_words(vocabulary, monkeypatch):
+    merges, looked = Merges(vocabulary), []
+    pairs = merges.pairs
+    monkeypatch.setattr(merges, "pairs", lambda a, b: looked.append(a.size) or pairs(a, b))
+    merges.segment(["abc"] * 100, 32, np.zeros((100, TURNS), dtype=bool))
+    # The pairs at first, and two after each of at most two merges.
+    assert looked[0] == 200 and sum(looked) <= 1000
