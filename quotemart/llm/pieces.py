@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -49,6 +50,8 @@ FEW = 64
 # Turns of a short word that are looked at in one go, those of them drawn first, and turns of 16 bits in a number drawn.
 TURNS, FIRST, PER = 64, 16, 4
 MASK = 2**64 - 1
+# Ids that are turned to bytes in one go.
+DECODED = 1 << 16
 # Odd steps between the numbers of neighbouring words and blocks of turns.
 PLACE, BLOCK = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
@@ -59,9 +62,10 @@ def word_pattern(pieces: Iterable[str]) -> str:
     Letters that some piece has before a sign or a space mark count as signs.
     """
     open_ = {a for p in pieces for a, b in zip(p, p[1:], strict=False) if re.match(r"\w\W", a + b)}
-    other = "|[" + re.escape("".join(sorted(open_))) + "]" if open_ else ""
+    other = "|[" + re.escape("".join(sorted(open_))) + "]+" if open_ else ""
     letter = r"[^\W" + re.escape("".join(sorted(open_))) + "]"
-    return f"\n|{MARK}*(?:(?:[^\\w{MARK}\n]{other})+{letter}*|{letter}+)|{MARK}+"
+    # The commonest kind of word comes first; no text begins words of two kinds.
+    return f"{MARK}*{letter}+|{MARK}*(?:[^\\w{MARK}\n]+{other})+{letter}*|\n|{MARK}+"
 
 
 @dataclass
@@ -108,6 +112,15 @@ def salt(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
+def salts(words: list[str]) -> np.ndarray:
+    """The words' parts in their keys."""
+    try:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    except UnicodeEncodeError:
+        # Some word has a mark that the text itself holds.
+        return np.fromiter(map(salt, words), np.uint64, len(words))
+
+
 def drawn(keys: np.ndarray, first: int, last: int, below: int) -> np.ndarray:
     """Bit ``t`` tells whether a key's turn ``t`` is skipped, for turns from ``first`` to before ``last``, both multiples of ``PER``."""
     out = np.zeros(len(keys), dtype=np.uint64)
@@ -221,29 +234,53 @@ class Merges:
                     found[a, b] = (order[piece], whole)
         # Symbols from ``other`` on are no piece: they stand for the code points of letters.
         self.other = len(vocabulary.pieces)
-        self.kind = np.int32 if self.other < 46_000 else np.int64
+        self.kind = np.uint32 if self.other < 2**16 else np.uint64
         rank = {score: k for k, score in enumerate(sorted({v[0] for v in found.values()}))}
-        codes = sorted(found)
-        self.codes = np.array([a * self.other + b for a, b in codes], dtype=self.kind)
-        self.ranks = np.array([rank[found[c][0]] for c in codes], dtype=np.int32)
-        self.wholes = np.array([found[c][1] for c in codes], dtype=np.int32)
-        letters = {ord(p): k for p, k in ids.items() if len(p) == 1}
-        self.points = np.array(sorted(letters), dtype=np.uint32)
-        self.letters = np.array([letters[p] for p in self.points.tolist()], dtype=np.int32)
+        codes = np.array([a * self.other + b for a, b in found], dtype=self.kind)
+        # Pairs lie by slot; most slots have one or none, so that a look at the first nearly always tells.
+        bits = (4 * len(codes)).bit_length()
+        self.shift = self.kind(8 * codes.itemsize - bits)
+        slots = self.slots(codes)
+        order = np.argsort(slots, kind="stable")
+        self.held = np.bincount(slots, minlength=2**bits).astype(np.int32)
+        self.first = (np.cumsum(self.held) - self.held).astype(np.int32)
+        # An empty slot at the end has something to look at, too.
+        order = np.append(order, order[-1:])
+        self.codes = codes[order]
+        self.ranks = np.array([rank[score] for score, _ in found.values()], dtype=np.int32)[order]
+        self.wholes = np.array([whole for _, whole in found.values()], dtype=np.int32)[order]
+        # The symbol of each code point.
+        self.letters = np.arange(self.other, self.other + sys.maxunicode + 1, dtype=np.int32)
+        for piece, k in ids.items():
+            if len(piece) == 1:
+                self.letters[ord(piece)] = k
+
+    def slots(self, codes: np.ndarray) -> np.ndarray:
+        """Slots of codes of pairs, evenly spread."""
+        return codes * self.kind(PLACE >> (64 - 8 * codes.itemsize) | 1) >> self.shift
 
     def pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of pairs of symbols, the best first, and what they merge to; what is no piece merges with nothing."""
-        code = np.where((a >= 0) & (b >= 0) & (a < self.other) & (b < self.other), a.astype(self.kind) * self.other + b, -1).astype(self.kind)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, self.ranks[at], LAST), self.wholes[at]
+        # Without a sign, the place after the end is above all pieces, too.
+        a, b = a.view(np.uint32), b.view(np.uint32)
+        codes = a.astype(self.kind) * self.kind(self.other) + b
+        slots = self.slots(codes)
+        at = self.first[slots]
+        same = self.codes[at] == codes
+        rest, step = np.flatnonzero(~same), 1
+        while len(rest := rest[self.held[slots[rest]] > step]):
+            at[rest] += 1
+            same[rest] = self.codes[at[rest]] == codes[rest]
+            rest, step = rest[~same[rest]], step + 1
+        same &= (a < self.other) & (b < self.other)
+        return np.where(same, self.ranks[at], LAST), self.wholes[at]
 
     def symbols(self, words: list[str], width: int) -> np.ndarray:
         """Symbols of words of up to ``width`` letters: ids of pieces, ``other`` plus the code point of others, -1 after the end."""
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         out = np.full((len(words), width), -1, dtype=np.int32)
-        out[np.arange(width) < sizes[:, None]] = np.where(self.points[at] == points, self.letters[at], self.other + points.astype(np.int32))
+        out[np.arange(width) < sizes[:, None]] = self.letters[points]
         return out
 
     def segment(self, words: list[str], width: int, skipped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,11 +329,23 @@ class Merges:
             right[k], left[far] = right[gap], at[merging]
             # What lies outside the word merges with nothing.
             merged = flat[k]
-            score[k], whole[k] = self.pairs(merged, flat[far])
-            score[near], whole[near] = self.pairs(flat[near], merged)
+            beside = np.concatenate([k, near])
+            score[beside], whole[beside] = self.pairs(np.concatenate([merged, flat[near]]), np.concatenate([flat[far], merged]))
         return done, turns
 
 
+class Roots(dict[str, int]):
+    """Nodes of words; a word looked up for the first time is noted with a number below -1, from -2 down."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = found = -1 - len(self.new)
+        return found
+
+
 class Encoder:
     """Encodes texts; keeps what it found for short words.
 
@@ -316,13 +365,12 @@ class Encoder:
 
     def clear(self) -> None:
         """Forget the words found so far."""
-        self.roots: dict[str, int] = {}
+        self.roots = Roots()
         self.children: dict[int, int] = {}
         # Of each node: its word, skipped turns, and where its ids start; then the ids of all.
         self.named: list[str] = []
-        self.masks: list[int] = []
         self.count, self.filled = 0, 0
-        self.salts = np.zeros(1024, dtype=np.uint64)
+        self.salts, self.masks = (np.zeros(1024, dtype=np.uint64) for _ in range(2))
         self.turns, self.starts, self.sizes = (np.zeros(1024, dtype=np.int64) for _ in range(3))
         self.pool = np.zeros(8192, dtype=np.int32)
 
@@ -340,33 +388,32 @@ class Encoder:
 
     def grow(self, nodes: int, ids: int) -> None:
         """Make room for so many more nodes and ids."""
-        for name, filled, more in (("salts", self.count, nodes), ("turns", self.count, nodes), ("starts", self.count, nodes), ("sizes", self.count, nodes), ("pool", self.filled, ids)):
+        for name, filled, more in (("salts", self.count, nodes), ("masks", self.count, nodes), ("turns", self.count, nodes), ("starts", self.count, nodes), ("sizes", self.count, nodes), ("pool", self.filled, ids)):
             old = getattr(self, name)
             if filled + more > len(old):
                 setattr(self, name, np.concatenate([old, np.zeros(max(len(old) // 2, filled + more - len(old)), dtype=old.dtype)]))
 
-    def add(self, words: list[str], masks: list[int], salts: np.ndarray) -> np.ndarray:
+    def add(self, words: list[str], masks: np.ndarray, salts: np.ndarray) -> np.ndarray:
         """Make nodes of short words and their skipped turns, and say which they are."""
         first, order = self.count, np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
         out = np.empty(len(words), dtype=np.int64)
         out[order] = first + np.arange(len(words))
-        words, masks = [words[k] for k in order.tolist()], [masks[k] for k in order.tolist()]
+        words, masks = [words[k] for k in order.tolist()], masks[order]
         sizes = list(map(len, words))
         ends = [bisect_right(sizes, width) for width in WIDTHS]
         self.grow(len(words), 0)
-        self.salts[first : first + len(words)] = salts[order]
+        self.salts[first : first + len(words)], self.masks[first : first + len(words)] = salts[order], masks
         for width, a, b in zip(WIDTHS, (0, *ends), ends, strict=False):
             for at in range(a, b, TOGETHER):
                 self.fill(words[at : min(at + TOGETHER, b)], masks[at : min(at + TOGETHER, b)], width)
         self.named += words
-        self.masks += masks
         return out
 
-    def fill(self, words: list[str], masks: list[int], width: int) -> None:
+    def fill(self, words: list[str], masks: np.ndarray, width: int) -> None:
         """Append pieces and numbers of turns of words of up to ``width`` letters, all at once."""
         count = len(words)
         if count >= FEW:
-            skipped = np.array(masks, dtype=np.uint64)[:, None] >> np.arange(TURNS, dtype=np.uint64) & np.uint64(1) > 0
+            skipped = masks[:, None] >> np.arange(TURNS, dtype=np.uint64) & np.uint64(1) > 0
             symbols, turns = self.merges.segment(words, width, skipped)
             there = symbols >= 0
             # Most words consist of pieces only; the others one by one.
@@ -377,7 +424,7 @@ class Encoder:
             turns, sizes = np.zeros((2, count), dtype=np.int64)
         starts, more = np.cumsum(sizes) - sizes, []
         for k in odd:
-            skips = Skips(masks[k])
+            skips = Skips(int(masks[k]))
             own = self.ids(segment(words[k], self.vocabulary.order, skips))
             turns[k], starts[k], sizes[k] = min(skips.turn, TURNS + 1), len(found) + len(more), len(own)
             more += own
@@ -416,9 +463,10 @@ class Encoder:
             children = list(map(self.children.get, steps))
             missing = [k for k, child in enumerate(children) if child is None]
             if missing:
-                parents = [steps[k] // TURNS for k in missing]
-                skipped = [self.masks[p] | 1 << steps[k] % TURNS for p, k in zip(parents, missing, strict=True)]
-                made = self.add([self.named[p] for p in parents], skipped, self.salts[parents]).tolist()
+                own = np.array([steps[k] for k in missing])
+                parents = own // TURNS
+                skipped = self.masks[parents] | ones << (own % TURNS).astype(np.uint64)
+                made = self.add([self.named[p] for p in parents.tolist()], skipped, self.salts[parents]).tolist()
                 for k, child in zip(missing, made, strict=True):
                     children[k] = self.children[steps[k]] = child
             out[at] = np.array(children, dtype=np.int64)[which]
@@ -437,16 +485,20 @@ class Encoder:
             own = xxhash.xxh3_64_intdigest(text.encode(), self.key)
             keys.append(np.uint64(own) + np.arange(1, len(some) + 1, dtype=np.uint64) * np.uint64(PLACE))
         keys = mixed(np.concatenate(keys)) if keys else np.zeros(0, dtype=np.uint64)
-        new = set(words).difference(self.roots)
-        missing = [w for w in new if len(w) <= WIDTHS[-1]]
-        if missing:
-            salts = np.fromiter(map(salt, missing), np.uint64, len(missing))
-            self.roots.update(zip(missing, self.add(missing, [0] * len(missing), salts).tolist(), strict=True))
-        long = dict.fromkeys(new.difference(missing), -1)
-        self.roots.update(long)
         nodes = np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
-        for word in long:
-            del self.roots[word]
+        new, self.roots.new = self.roots.new, []
+        if new:
+            # No node is kept of long words: -1 stands for them.
+            made = np.full(len(new), -1, dtype=np.int64)
+            fit = np.flatnonzero(np.fromiter(map(len, new), np.int64, len(new)) <= WIDTHS[-1])
+            some = [new[k] for k in fit.tolist()]
+            made[fit] = self.add(some, np.zeros(len(some), dtype=np.uint64), salts(some))
+            self.roots.update(zip(some, made[fit].tolist(), strict=True))
+            if len(some) < len(new):
+                for k in np.flatnonzero(made < 0).tolist():
+                    del self.roots[new[k]]
+            first = np.flatnonzero(nodes < 0)
+            nodes[first] = made[-2 - nodes[first]]
         short = np.flatnonzero(nodes >= 0)
         if self.below and len(short):
             nodes[short] = self.follow(nodes[short], keys[short])
@@ -468,13 +520,37 @@ class Encoder:
         return self.texts([text])[0]
 
 
+class Decoder:
+    """Decodes ids of many texts at a time, from the bytes of all pieces in a row."""
+
+    def __init__(self, pieces: list[bytes], prefix: bool):
+        self.prefix = prefix
+        # The last piece stands for ids outside the vocabulary.
+        self.bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.sizes = np.array([*map(len, pieces), 0], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """Bytes of the pieces one after another."""
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        return self.bytes[np.repeat(self.starts[ids] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
+
+    def texts(self, rows: list[np.ndarray]) -> list[str]:
+        """Texts of ids, which should be about a slice; ids outside the vocabulary and control pieces give nothing, broken UTF-8 the replacement mark."""
+        if not rows:
+            return []
+        ids, last = np.concatenate(rows), len(self.sizes) - 1
+        ids = np.where((ids >= 0) & (ids < last), ids, last).astype(np.int64)
+        cuts = np.append(0, np.cumsum(self.sizes[ids]))[np.cumsum([0, *map(len, rows)])].tolist()
+        raw = b"".join([self.joined(ids[at : at + DECODED]) for at in range(0, len(ids), DECODED)])
+        bare = [a + 1 if self.prefix and raw[a : min(a + 1, b)] == b" " else a for a, b in zip(cuts, cuts[1:])]  # noqa: B905
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(bare, cuts[1:], strict=True)]
+
+
 def decode_ids(ids: np.ndarray, pieces: list[bytes], prefix: bool) -> str:
-    """Text of ids; those outside the vocabulary and control pieces give nothing, broken UTF-8 the replacement mark."""
-    size = len(pieces)
-    raw = b"".join([pieces[k] for k in ids.tolist() if 0 <= k < size])
-    if prefix and raw[:1] == b" ":
-        raw = raw[1:]
-    return raw.decode("utf-8", "replace")
+    """Text of ids, as a decoder gives it."""
+    return Decoder(pieces, prefix).texts([ids])[0]
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
@@ -483,8 +559,13 @@ def decode(ids: Column, vocabulary: Vocabulary) -> Column:
 
     @F.pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        decoder = Decoder(pieces, prefix)
         for rows in batches:
-            yield pd.Series([None if r is None else decode_ids(np.asarray(r), pieces, prefix) for r in rows], dtype=object)
+            given = [np.zeros(0, dtype=np.int32) if r is None else np.asarray(r) for r in rows]
+            texts: list[str] = []
+            for a, b in slices([len(r) for r in given]):
+                texts += decoder.texts(given[a:b])
+            yield pd.Series([None if r is None else t for r, t in zip(rows, texts, strict=True)], dtype=object)
 
     return of(ids)
 
@@ -504,12 +585,12 @@ def encoded(
     given = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).alias("text"))
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(vocabulary, dropout, seed)
+        encoder, decoder = Encoder(vocabulary, dropout, seed), Decoder(vocabulary.pieces, vocabulary.prefix)
         for frame in frames:
             texts = [t or "" for t in frame["text"]]
             for a, b in slices([len(t) for t in texts]):
                 ids = encoder.texts(texts[a:b])
-                same = [decode_ids(k, vocabulary.pieces, vocabulary.prefix) == t for k, t in zip(ids, texts[a:b], strict=True)]
+                same = [found == t for found, t in zip(decoder.texts(ids), texts[a:b], strict=True)]
                 part, known = frame.iloc[a:b], frame["text"].iloc[a:b].notna()
                 rows = [k if there else None for k, there in zip(ids, known, strict=True)]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "ids": pd.Series(rows, index=part.index, dtype=object), "n_tokens": [len(k) for k in ids], "lossless": same})

@@ -163,3 +163,61 @@ def test_no_pair_is_looked_up_outside_the_words(vocabulary, monkeypatch):
     merges.segment(["abc"] * 100, 32, np.zeros((100, TURNS), dtype=bool))
     # The pairs at first, and two after each of at most two merges.
     assert looked[0] == 200 and sum(looked) <= 1000
+
+
+def test_pairs_are_found_by_slot(vocabulary, monkeypatch):
+    merges = Merges(vocabulary)
+    # Not by search.
+    monkeypatch.setattr(np, "searchsorted", None)
+    # Slots hold every merge of two pieces once, and few of them several.
+    assert merges.held.sum() == len(merges.codes) - 1 and (merges.held > 1).sum() < 0.2 * len(merges.codes)
+    ids, order = vocabulary.ids, vocabulary.order
+    names = dict(map(reversed, ids.items()))
+    rng = random.Random(2)
+    halves = [(ids[p[:k]], ids[p[k:]]) for p in ids for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids]
+    some = halves + [(rng.randrange(-1, merges.other + 300), rng.randrange(-1, merges.other + 300)) for _ in range(20_000)]
+    a, b = np.array(some, dtype=np.int32).T.copy()
+    ranks, wholes = merges.pairs(a, b)
+    want = [ids.get(names.get(x, "\n") + names.get(y, "\n")) for x, y in some]
+    assert [w if r != pieces.LAST else None for w, r in zip(wholes.tolist(), ranks.tolist(), strict=True)] == want
+    # Better scores have smaller ranks.
+    found = sorted((r, order[names[w]]) for r, w in zip(ranks.tolist(), wholes.tolist(), strict=True) if r != pieces.LAST)
+    assert [s for _, s in found] == sorted(s for _, s in found)
+
+
+def test_a_known_word_is_looked_up_once_per_occurrence(vocabulary):
+    encoder = Encoder(vocabulary, 0.1, 1)
+    long = "y" * (WIDTHS[-1] + 8)
+    text = " ".join(["one two", "two", long, "▁", long, "one"] * 5)
+    first = encoder.text(text)
+    assert set(encoder.roots) == {"▁one", "▁two", "▁" + pieces.HELD} and min(encoder.roots.values()) >= 0
+    nodes, looked = dict(encoder.roots), []
+    encoder.roots.__class__ = type("Seen", (pieces.Roots,), {"__missing__": lambda self, w: looked.append(w) or pieces.Roots.__missing__(self, w)})
+    assert (encoder.text(text) == first).all() and encoder.roots == nodes
+    # Long words are never kept: they are new to every slice, but only once.
+    assert looked == ["▁" + long]
+
+
+def test_texts_are_decoded_together(vocabulary, monkeypatch):
+    encoder, decoder = Encoder(vocabulary, 0.3, 2), pieces.Decoder(vocabulary.pieces, vocabulary.prefix)
+    rows = encoder.texts(TEXTS)
+    assert decoder.texts(rows) == TEXTS and decoder.texts([]) == [] and decoder.texts([np.zeros(0, dtype=np.int32)]) == [""]
+    monkeypatch.setattr(pieces, "DECODED", 3)
+    assert decoder.texts(rows) == TEXTS
+    # What one text lacks doesn't come from its neighbours, and only a first space goes.
+    space, byte = vocabulary.ids["▁"], vocabulary.first_byte
+    assert decoder.texts([np.array(r) for r in ([byte + 0xC3], [byte + 0xA9], [], [space, space], [10**6, -1], [space])]) == ["�", "�", "", " ", "", ""]
+
+
+def test_decode_column(spark):
+    vocabulary = Vocabulary.load()
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(TEXTS)] + [(90, None)], "doc_id long, text string")
+    found = pieces.encoded(docs, dropout=0.2, seed=3).select("doc_id", pieces.decode(F.col("ids"), vocabulary).alias("text"))
+    assert dict(found.collect()) == dict(docs.collect())
+
+
+def test_words_of_signs_and_letters(vocabulary):
+    find = Encoder(vocabulary).find
+    text = "▁▁the▁(a)_b²c...\n▁\n▁▁x▁▁"
+    assert find(text) == ["▁▁the", "▁(a", ")_b", "²c", "...", "\n", "▁", "\n", "▁▁x", "▁▁"]
+    assert "".join(find("._" * 200_000)) == "._" * 200_000
