@@ -37,13 +37,14 @@ def sizes_of(touched: DataFrame) -> dict[int, int]:
     return {r[DAY]: r["bars"] for r in touched.select(DAY, "bars").collect()}
 
 
-def spread(sizes: dict[int, int], cores: int, rows: int = ROWS_PER_TASK) -> tuple[int, int]:
+def spread(sizes: dict[int, int], cores: int, rows: int | None = None) -> tuple[int, int]:
     """How the rows are gathered for the write: tasks, and slices of a day.
 
     The largest day decides the slices, so that each fits in one task; a slice goes to one task and
     into one file. There are as many tasks as slices of days, but no more than the cores can use or
-    the rows need, at so many ``rows`` a task.
+    the rows need, at so many ``rows`` a task, by default ``ROWS_PER_TASK``.
     """
+    rows = ROWS_PER_TASK if rows is None else rows
     slices = max(1, -(-max(sizes.values(), default=0) // rows))
     needed = max(TASKS_PER_CORE * cores, -(-sum(sizes.values()) // rows))
     return max(1, min(len(sizes) * slices, needed)), slices
